@@ -34,10 +34,8 @@ def pick(values: str, index: str) -> str:
     return f"CASE {index} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(listed)) + " END"
 
 
-LINE_ID = """md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
-    CAST(l_quantity AS DECIMAL(12,2)), CAST(l_extendedprice AS DECIMAL(14,2)),
-    CAST(l_discount AS DECIMAL(4,2)), CAST(l_tax AS DECIMAL(4,2)),
-    l_returnflag, l_linestatus, CAST(l_shipdate AS DATE)))"""
+LINE_ID = """concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INTEGER),
+    CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT), CAST(l_shipdate AS DATE) - DATE '1970-01-01')"""
 PRICE = "CAST(p_retailprice AS DECIMAL(12,2))"
 COST = f"CAST({PRICE} * (40 + p_size) * 0.01 AS DECIMAL(12,2))"
 CANCELLED = "(o_orderstatus = 'P' AND (o_orderkey // 7) % 10 < 3)"

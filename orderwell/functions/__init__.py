@@ -5,5 +5,7 @@ from orderwell.functions.scalars import (  # noqa: F401
     month_start,
     ratio,
     round_cents,
+    sum_money,
+    times,
     zero_if_null,
 )

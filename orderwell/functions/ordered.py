@@ -10,6 +10,8 @@ runs inside each slice, and small per-slice totals are added as offsets.
   be held by any share of the rows, so its slice is cut again by the tiebreak
   key; all its rows are ties, hence that second cut keeps the order too.
 * The cut points steer balance only.  Results do not depend on their accuracy.
+* The input is read once per ordering and once for the cut points, so it is
+  written to the shared folder first and never computed twice.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderwell.session import materialize
+
 SLICES = 64
 
 
@@ -68,6 +72,7 @@ def order_globally(
     each of its values; a group may hold any share of the rows.
     """
     columns = list(df.columns)
+    df = materialize(df)
     cuts = df.agg(
         F.struct(
             _cut_points(key).alias("key"),
@@ -75,16 +80,17 @@ def order_globally(
         )
     ).scalar()
 
-    sliced = df
+    places: dict[str, Column] = {}
     for i, ordering in enumerate(orderings):
         value = F.col(ordering.value)
-        points = cuts.getField(f"o{i}")
+        points = F.col(f"__cuts.o{i}")
         on_cut = F.array_contains(points, value)
         position = _below(points, value) * 2 + on_cut.cast("int")
-        if ordering.descending:
-            position = -position
-        by_key = F.when(on_cut, _below(cuts.getField("key"), F.col(key))).otherwise(0)
-        sliced = sliced.withColumn(f"__p{i}", position).withColumn(f"__k{i}", by_key)
+        places[f"__p{i}"] = -position if ordering.descending else position
+        by_key = F.when(on_cut, _below(F.col("__cuts.key"), F.col(key))).otherwise(0)
+        places[f"__k{i}"] = by_key
+    # A lambda may not read a subquery directly, so the cuts become a column first.
+    sliced = df.withColumn("__cuts", cuts).withColumns(places).drop("__cuts")
 
     result = sliced
     for i, ordering in enumerate(orderings):

@@ -23,7 +23,11 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> Data
             F.percentile_approx("v", [i / SLICES for i in range(1, SLICES)], 1000)
         )
     ).scalar()
-    sliced = counts.withColumn("s", F.size(F.filter(cuts, lambda c: c < F.col("v"))))
+    sliced = (
+        counts.withColumn("cuts", cuts)
+        .withColumn("s", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
+        .drop("cuts")
+    )
     per_slice = sliced.groupBy("s").agg(F.sum("n").alias("n"))
     before = Window.partitionBy(F.lit(0)).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(

@@ -16,6 +16,26 @@ def money(value: ColumnLike, precision: int = 14) -> Column:
     return _col(value).cast(f"decimal({precision},2)")
 
 
+def times(quantity: ColumnLike, amount: ColumnLike) -> Column:
+    """Quantity times a decimal(12,2) amount.
+
+    A quantity is a two-byte number, so five digits hold it and the product
+    stays within the 18 digits that fit a machine word.
+    """
+    return _col(quantity).cast("decimal(5,0)") * _col(amount)
+
+
+def sum_money(amount: ColumnLike) -> Column:
+    """Exact sum of decimal(14,2) amounts, carried as whole cents in a bigint.
+
+    A decimal sum buffers more than 18 digits and leaves the fast path on every
+    row.  A total past the bigint range raises an error; it never wraps.
+    """
+    cents = (money(amount) * F.lit(100).cast("decimal(3,0)")).cast("bigint")
+    total = F.sum(cents).cast("decimal(19,0)") * F.lit("0.01").cast("decimal(3,2)")
+    return total.cast("decimal(18,2)")
+
+
 def zero_if_null(value: ColumnLike) -> Column:
     return F.coalesce(_col(value), F.lit(0))
 

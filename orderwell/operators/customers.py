@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from orderwell.functions import (
     month_start,
     ratio,
     round_cents,
+    sum_money,
     zero_if_null,
 )
 from orderwell.functions.ordered import Ordering, order_globally
@@ -81,9 +83,9 @@ def customer_totals(t: Tables) -> DataFrame:
             F.min("OrderDate").alias("FirstOrderDate"),
             F.max("OrderDate").alias("LastOrderDate"),
             F.count(F.lit(1)).alias("LifetimeOrders"),
-            F.sum("NetRevenue").alias("LifetimeRevenue"),
-            F.sum("RevenueAfterRefund").alias("LifetimeRevenueAfterRefund"),
-            F.sum("GrossProfit").alias("LifetimeGrossProfit"),
+            sum_money("NetRevenue").alias("LifetimeRevenue"),
+            sum_money("RevenueAfterRefund").alias("LifetimeRevenueAfterRefund"),
+            sum_money("GrossProfit").alias("LifetimeGrossProfit"),
             F.sum("ReturnedUnits").alias("ReturnedUnits"),
         )
         .withColumn(
@@ -254,7 +256,7 @@ def rfm_base(t: Tables, as_of: dt.date | None = None) -> DataFrame:
         .agg(
             F.max("OrderDate").alias("__last"),
             F.count(F.lit(1)).alias("Frequency"),
-            money(F.sum("RevenueAfterRefund"), 18).alias("MonetaryValue"),
+            sum_money("RevenueAfterRefund").alias("MonetaryValue"),
         )
         .select(
             snapshot.alias("SnapshotDate"),
@@ -278,11 +280,14 @@ def score_rfm(base: DataFrame, method: str = "ntile") -> DataFrame:
     if method == "ntile":
         orderings = [Ordering(v, ntiles={f"__{k}": 5}) for k, v in measures.items()]
     else:
-        orderings = [Ordering(v, row_number=f"__n{k}", total="__total" if k == "R" else None) for k, v in measures.items()]
+        orderings = [
+            Ordering(v, row_number=f"__n{k}", total="__customers" if k == "R" else None)
+            for k, v in measures.items()
+        ]
     scored = order_globally(base, "CustomerId", orderings)
     if method == "percentile":
         fifths = {
-            f"__{k}": F.ceil(F.col(f"__n{k}") * 5 / F.col("__total")).cast("int") for k in measures
+            f"__{k}": F.ceil(F.col(f"__n{k}") * 5 / F.col("__customers")).cast("int") for k in measures
         }
         scored = scored.withColumns(fifths)
     scored = scored.withColumns(
@@ -347,15 +352,13 @@ def customer_360(t: Tables, customer_id: int) -> dict[str, DataFrame]:
     must_exist(t["customers"], "CustomerId", customer_id, "CustomerId")
     own_orders = t["orders"].filter(F.col("CustomerId") == customer_id)
     ids = own_orders.select("OrderId")
-    mine = {
-        **t,
-        "customers": t["customers"].filter(F.col("CustomerId") == customer_id),
-        "orders": own_orders,
-        **{
-            name: t[name].join(ids, "OrderId", "left_semi")
-            for name in ("order_items", "returns", "shipments")
-        },
+    own = {
+        name: t[name].join(ids, "OrderId", "left_semi")
+        for name in ("order_items", "returns", "shipments")
     }
+    own["customers"] = t["customers"].filter(F.col("CustomerId") == customer_id)
+    own["orders"] = own_orders
+    mine = ChainMap(own, t)
     profile_columns = [
         "CustomerId", "CustomerName", "AcquisitionDate", "AcquisitionSource", "SegmentName",
         "FirstOrderDate", "LastOrderDate", "LifetimeOrders", "LifetimeRevenue",

@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderwell.functions import date_key, money, month_start, ratio, zero_if_null
+from orderwell.functions import date_key, money, month_start, ratio, sum_money, times, zero_if_null
 from orderwell.functions.sequence import HOT_FLOOR, first_orders, neighbour_dates, number_orders
 
 Tables = Mapping[str, DataFrame]
@@ -102,7 +102,7 @@ def returns_by_line(t: Tables) -> DataFrame:
         .groupBy("OrderItemId")
         .agg(
             F.sum("ReturnQuantity").alias("ReturnedQuantity"),
-            F.sum("RefundAmount").alias("RefundAmount"),
+            sum_money("RefundAmount").alias("RefundAmount"),
         )
     )
 
@@ -113,21 +113,20 @@ def returns_by_order(t: Tables) -> DataFrame:
         .groupBy("OrderId")
         .agg(
             F.sum("ReturnQuantity").alias("ReturnedUnits"),
-            F.sum("RefundAmount").alias("RefundAmount"),
+            sum_money("RefundAmount").alias("RefundAmount"),
         )
     )
 
 
 def lines_by_order(t: Tables) -> DataFrame:
-    gross = F.col("Quantity") * F.col("UnitPrice")
     return (
         t["order_items"]
         .groupBy("OrderId")
         .agg(
             F.sum("Quantity").alias("Units"),
-            F.sum(money(gross)).alias("GrossRevenue"),
-            F.sum("DiscountAmount").alias("DiscountAmount"),
-            F.sum(money(F.col("Quantity") * F.col("UnitCost"))).alias("COGS"),
+            sum_money(times("Quantity", "UnitPrice")).alias("GrossRevenue"),
+            sum_money("DiscountAmount").alias("DiscountAmount"),
+            sum_money(times("Quantity", "UnitCost")).alias("COGS"),
         )
     )
 
@@ -279,13 +278,13 @@ def line_facts(
             {
                 "ReturnedQuantity": zero_if_null("ReturnedQuantity"),
                 "RefundAmount": money(zero_if_null("RefundAmount")),
-                "GrossRevenue": money(F.col("Quantity") * F.col("UnitPrice")),
+                "GrossRevenue": money(times("Quantity", "UnitPrice")),
                 "IsValidOrder": is_valid().cast("int"),
             }
         )
     )
     booked = F.when(is_valid(), F.col("GrossRevenue") - F.col("DiscountAmount")).otherwise(0)
-    cost = F.when(is_valid(), F.col("Quantity") * F.col("UnitCost")).otherwise(0)
+    cost = F.when(is_valid(), times("Quantity", "UnitCost")).otherwise(0)
     refund = F.when(is_valid(), F.col("RefundAmount")).otherwise(0)
     facts = facts.withColumns(
         {

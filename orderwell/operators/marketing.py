@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwell.functions import ratio, zero_if_null
+from orderwell.functions import ratio, sum_money, zero_if_null
 from orderwell.functions.scalars import count_if
 from orderwell.operators.facts import Tables, valid_orders
 
@@ -37,10 +37,10 @@ def campaign_performance(t: Tables) -> DataFrame:
         .groupBy("PromotionId")
         .agg(
             F.count(F.lit(1)).alias("AttributedOrders"),
-            F.sum("NetRevenue").alias("AttributedRevenue"),
-            F.sum("RevenueAfterRefund").alias("AttributedRevenueAfterRefund"),
-            F.sum("GrossProfit").alias("AttributedGrossProfit"),
-            F.sum("DiscountAmount").alias("DiscountCost"),
+            sum_money("NetRevenue").alias("AttributedRevenue"),
+            sum_money("RevenueAfterRefund").alias("AttributedRevenueAfterRefund"),
+            sum_money("GrossProfit").alias("AttributedGrossProfit"),
+            sum_money("DiscountAmount").alias("DiscountCost"),
         )
     )
     measures = [c for c in funnel.columns + attributed.columns if c != "PromotionId"]
@@ -127,9 +127,9 @@ def acquisition_performance(t: Tables) -> DataFrame:
         .groupBy("CustomerId")
         .agg(
             F.count(F.lit(1)).alias("Orders"),
-            F.sum("RevenueAfterRefund").alias("RevenueAfterRefund"),
-            F.sum("GrossProfit").alias("GrossProfit"),
-            F.sum("NetRevenue").alias("NetRevenue"),
+            sum_money("RevenueAfterRefund").alias("RevenueAfterRefund"),
+            sum_money("GrossProfit").alias("GrossProfit"),
+            sum_money("NetRevenue").alias("NetRevenue"),
             F.sum("IsRepeatPurchase").alias("RepeatOrders"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwell.functions import ratio, zero_if_null
+from orderwell.functions import ratio, sum_money, zero_if_null
 from orderwell.functions.ordered import Ordering, order_globally
 from orderwell.operators.facts import Tables, line_facts, product_names
 from orderwell.operators.validation import at_least, between
@@ -18,13 +18,13 @@ def product_performance(t: Tables) -> DataFrame:
     # row count, and a product holding much of the data is spread by order.
     per_order = lines.groupBy("ProductId", "OrderId").agg(
         F.sum("Quantity").alias("UnitsSold"),
-        F.sum("GrossRevenue").alias("GrossRevenue"),
-        F.sum("DiscountAmount").alias("DiscountAmount"),
-        F.sum("NetRevenue").alias("NetRevenue"),
-        F.sum("RevenueAfterRefund").alias("RevenueAfterRefund"),
-        F.sum("GrossProfit").alias("GrossProfit"),
+        sum_money("GrossRevenue").alias("GrossRevenue"),
+        sum_money("DiscountAmount").alias("DiscountAmount"),
+        sum_money("NetRevenue").alias("NetRevenue"),
+        sum_money("RevenueAfterRefund").alias("RevenueAfterRefund"),
+        sum_money("GrossProfit").alias("GrossProfit"),
         F.sum("ReturnedQuantity").alias("ReturnedUnits"),
-        F.sum("RefundAmount").alias("RefundAmount"),
+        sum_money("RefundAmount").alias("RefundAmount"),
     )
     sums = [c for c in per_order.columns if c not in ("ProductId", "OrderId")]
     sold = per_order.groupBy("ProductId").agg(

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwell.functions import date_key, month_start, ratio, zero_if_null
+from orderwell.functions import date_key, month_start, ratio, sum_money, zero_if_null
 from orderwell.functions.scalars import growth_pct
 from orderwell.operators.facts import Tables, valid_orders
 from orderwell.operators.validation import date_range, in_range, must_exist
@@ -44,10 +44,10 @@ def _customer_months(orders: DataFrame, *keys: str) -> DataFrame:
     return orders.groupBy("CustomerId", *keys).agg(
         F.count(F.lit(1)).alias("Orders"),
         F.sum("IsRepeatPurchase").alias("RepeatOrders"),
-        F.sum("NetRevenue").alias("NetRevenue"),
-        F.sum("RevenueAfterRefund").alias("RevenueAfterRefund"),
-        F.sum("GrossProfit").alias("GrossProfit"),
-        F.sum("DiscountAmount").alias("Discounts"),
+        sum_money("NetRevenue").alias("NetRevenue"),
+        sum_money("RevenueAfterRefund").alias("RevenueAfterRefund"),
+        sum_money("GrossProfit").alias("GrossProfit"),
+        sum_money("DiscountAmount").alias("Discounts"),
         F.sum("ReturnedUnits").alias("ReturnedUnits"),
     )
 
@@ -194,8 +194,8 @@ def annual_growth(t: Tables, start: dt.date | str, end: dt.date | str) -> DataFr
     )
     per_customer = orders.groupBy("CustomerId", "CalendarYear").agg(
         F.count(F.lit(1)).alias("Orders"),
-        F.sum("NetRevenue").alias("NetRevenue"),
-        F.sum("GrossProfit").alias("GrossProfit"),
+        sum_money("NetRevenue").alias("NetRevenue"),
+        sum_money("GrossProfit").alias("GrossProfit"),
     )
     annual = (
         per_customer.groupBy("CalendarYear")

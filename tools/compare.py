@@ -76,7 +76,7 @@ def main() -> int:
             "spark.ui.showConsoleProgress": "false",
         },
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(folder)
     failed = 0
     for name, query in load_all().items():
