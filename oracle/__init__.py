@@ -2,7 +2,7 @@
 
 
 def load_all():
-    from oracle import metrics  # noqa: F401
+    from oracle import metrics, quality  # noqa: F401
     from oracle.catalog import QUERIES
 
     return QUERIES

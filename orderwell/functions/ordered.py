@@ -22,10 +22,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderwell.functions.slices import cut_points, on_cut, slice_of
 from orderwell.session import materialize
 
-SLICES = 64
-
 
 @dataclass(frozen=True)
 class Ordering:
@@ -44,15 +43,6 @@ class Ordering:
     total: str | None = None
 
 
-def _cut_points(column: str) -> Column:
-    shares = [i / SLICES for i in range(1, SLICES)]
-    return F.array_sort(F.array_distinct(F.percentile_approx(column, shares, 1000)))
-
-
-def _below(cuts: Column, value: Column) -> Column:
-    return F.size(F.filter(cuts, lambda cut: cut < value))
-
-
 def ntile_of(row_number: Column, rows: Column, tiles: int) -> Column:
     """The n-tile of a row number: the first ``rows % tiles`` tiles get one more row."""
     size = F.floor(rows / F.lit(tiles))
@@ -73,24 +63,14 @@ def order_globally(
     """
     columns = list(df.columns)
     df = materialize(df)
-    cuts = df.agg(
-        F.struct(
-            _cut_points(key).alias("key"),
-            *[_cut_points(o.value).alias(f"o{i}") for i, o in enumerate(orderings)],
-        )
-    ).scalar()
-
+    key_cuts, *value_cuts = cut_points(df, [key, *[o.value for o in orderings]])
     places: dict[str, Column] = {}
-    for i, ordering in enumerate(orderings):
-        value = F.col(ordering.value)
-        points = F.col(f"__cuts.o{i}")
-        on_cut = F.array_contains(points, value)
-        position = _below(points, value) * 2 + on_cut.cast("int")
+    for i, (ordering, cuts) in enumerate(zip(orderings, value_cuts)):
+        exact = on_cut(ordering.value, cuts)
+        position = slice_of(ordering.value, cuts) * 2 + exact.cast("int")
         places[f"__p{i}"] = -position if ordering.descending else position
-        by_key = F.when(on_cut, _below(F.col("__cuts.key"), F.col(key))).otherwise(0)
-        places[f"__k{i}"] = by_key
-    # A lambda may not read a subquery directly, so the cuts become a column first.
-    sliced = df.withColumn("__cuts", cuts).withColumns(places).drop("__cuts")
+        places[f"__k{i}"] = F.when(exact, slice_of(key, key_cuts)).otherwise(0)
+    sliced = df.withColumns(places)
 
     result = sliced
     for i, ordering in enumerate(orderings):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 64
+from orderwell.functions.slices import cut_points, slice_of
 
 
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
@@ -18,16 +18,8 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> Data
     """
     values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
     counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    cuts = values.agg(
-        F.array_distinct(
-            F.percentile_approx("v", [i / SLICES for i in range(1, SLICES)], 1000)
-        )
-    ).scalar()
-    sliced = (
-        counts.withColumn("cuts", cuts)
-        .withColumn("s", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
-        .drop("cuts")
-    )
+    (cuts,) = cut_points(values, ["v"])
+    sliced = counts.withColumn("s", slice_of("v", cuts))
     per_slice = sliced.groupBy("s").agg(F.sum("n").alias("n"))
     before = Window.partitionBy(F.lit(0)).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(
