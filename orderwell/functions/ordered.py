@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwell.functions.slices import cut_points, on_cut, slice_of
+from orderwell.functions.slices import ROWS_PER_SLICE, cut_points, on_cut, slice_of
 from orderwell.session import materialize
 
 
@@ -54,7 +54,11 @@ def ntile_of(row_number: Column, rows: Column, tiles: int) -> Column:
 
 
 def order_globally(
-    df: DataFrame, key: str, orderings: Sequence[Ordering], group: str | None = None
+    df: DataFrame,
+    key: str,
+    orderings: Sequence[Ordering],
+    group: str | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Add the columns asked for by each ordering, optionally within ``group``.
 
@@ -63,7 +67,9 @@ def order_globally(
     """
     columns = list(df.columns)
     df = materialize(df)
-    key_cuts, *value_cuts = cut_points(df, [key, *[o.value for o in orderings]])
+    key_cuts, *value_cuts = cut_points(
+        df, [key, *[o.value for o in orderings]], rows_per_slice
+    )
     places: dict[str, Column] = {}
     for i, (ordering, cuts) in enumerate(zip(orderings, value_cuts)):
         exact = on_cut(ordering.value, cuts)
@@ -92,7 +98,7 @@ def _apply(
     groups = [F.col(group)] if group else [F.lit(0)]
     sums = ordering.running_sums
 
-    # Slice totals: at most a few thousand rows per group.
+    # Slice totals: a bounded number of rows per group.
     if ordering.dense_rank:
         per_value = source.groupBy(*keys, ordering.value).agg(
             F.count(F.lit(1)).alias("__n"),
@@ -112,23 +118,26 @@ def _apply(
 
     before = Window.partitionBy(*groups).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     same_position = Window.partitionBy(*groups, F.col(f"__p{i}"))
-    # Only the first key slice of a position counts as a new distinct value
-    # when the position is a single value; otherwise there is one slice only.
+    # Of the key slices of one value only the first holds a new distinct value.
     first_slice = F.row_number().over(same_position.orderBy(f"__k{i}")) == 1
-    offsets = (
-        totals.withColumn("__d", F.when(first_slice, F.col("__d")).otherwise(0))
-        .withColumn("__rows", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-        .withColumn("__distinct", F.coalesce(F.sum("__d").over(before), F.lit(0)))
-        .withColumns(
-            {f"__b_{name}": F.coalesce(F.sum(f"__s_{name}").over(before), F.lit(0)) for name in sums}
-        )
-        .withColumn("__rows_position", F.min("__rows").over(same_position))
-        .withColumn("__distinct_position", F.min("__distinct").over(same_position))
-        .withColumn("__total", F.sum("__n").over(Window.partitionBy(*groups)))
-        .drop("__n", "__d", *[f"__s_{name}" for name in sums])
+    earlier = totals.withColumn("__d", F.when(first_slice, F.col("__d")).otherwise(0)).select(
+        *keys,
+        "__n",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__rows"),
+        F.coalesce(F.sum("__d").over(before), F.lit(0)).alias("__distinct"),
+        *[F.coalesce(F.sum(f"__s_{m}").over(before), F.lit(0)).alias(f"__b_{m}") for m in sums],
+    )
+    offsets = earlier.select(
+        *keys,
+        "__rows",
+        F.min("__rows").over(same_position).alias("__rows_position"),
+        F.min("__distinct").over(same_position).alias("__distinct_position"),
+        F.sum("__n").over(Window.partitionBy(*groups)).alias("__total"),
+        *[f"__b_{m}" for m in sums],
     )
     if group is None:
-        # 2 * SLICES positions times SLICES key slices bound this table.
+        # Slices are at most MAX_SLICES, and only as many values can be cut by
+        # key: MAX_SLICES squared bounds this table.
         offsets = F.broadcast(offsets)
 
     value = F.col(ordering.value).desc() if ordering.descending else F.col(ordering.value).asc()
@@ -136,13 +145,13 @@ def _apply(
     ties = Window.partitionBy(*keys).orderBy(value)
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    ranked = df.withColumn("__row", F.row_number().over(local))
+    numbers = {"__row": F.row_number().over(local)}
     if ordering.rank:
-        ranked = ranked.withColumn("__rank", F.rank().over(ties))
+        numbers["__rank"] = F.rank().over(ties)
     if ordering.dense_rank:
-        ranked = ranked.withColumn("__dense", F.dense_rank().over(ties))
-    for name, c in sums.items():
-        ranked = ranked.withColumn(f"__r_{name}", F.sum(c).over(running))
+        numbers["__dense"] = F.dense_rank().over(ties)
+    numbers.update({f"__r_{name}": F.sum(c).over(running) for name, c in sums.items()})
+    ranked = df.withColumns(numbers)
 
     if group:
         # eqNullSafe keeps rows whose group is NULL.
@@ -168,7 +177,5 @@ def _apply(
         out[name] = F.col(f"__b_{name}") + F.col(f"__r_{name}")
     for name, tiles in ordering.ntiles.items():
         out[name] = ntile_of(position, F.col("__total"), tiles)
-    helper = ["__row", "__rank", "__dense", "__rows", "__distinct", "__rows_position"]
-    helper += ["__distinct_position", "__total"]
-    helper += [f"__r_{n}" for n in sums] + [f"__b_{n}" for n in sums]
-    return joined.withColumns(out).drop(*helper, *place)
+    kept = [c for c in df.columns if c not in place]
+    return joined.select(*kept, *[column.alias(name) for name, column in out.items()])

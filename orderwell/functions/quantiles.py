@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwell.functions.slices import cut_points, slice_of
+from orderwell.functions.slices import ROWS_PER_SLICE, cut_points, slice_of
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, column: str, shares: Sequence[float], rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
     """One row with columns q0, q1, ...: linear interpolation between ranks.
 
     Values are counted first, so copies shrink before the shuffle; running
@@ -18,7 +20,7 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> Data
     """
     values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
     counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    (cuts,) = cut_points(values, ["v"])
+    (cuts,) = cut_points(values, ["v"], rows_per_slice)
     sliced = counts.withColumn("s", slice_of("v", cuts))
     per_slice = sliced.groupBy("s").agg(F.sum("n").alias("n"))
     before = Window.partitionBy(F.lit(0)).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)

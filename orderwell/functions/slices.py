@@ -8,22 +8,29 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 64
-ACCURACY = 1000
+# A slice is one task's share: its size is fixed and its number grows with the data.
+ROWS_PER_SLICE = 250_000
+MAX_SLICES = 256
+ACCURACY = 2_000
 
 
-def cut_points(df: DataFrame, columns: Sequence[str]) -> list[list]:
-    """At most SLICES - 1 distinct ascending cut points per column.
+def cut_points(
+    df: DataFrame, columns: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
+) -> list[list]:
+    """Distinct ascending cut points per column, fewer than MAX_SLICES each.
 
-    One aggregate pass; what reaches the driver is bounded by SLICES, not by
-    the data.  As literals the cuts keep the slice of a value fixed, whatever
+    One aggregate pass; what reaches the driver is bounded by MAX_SLICES, not
+    by the data.  As literals the cuts keep the slice of a value fixed, whatever
     is recomputed later.
     """
-    shares = [i / SLICES for i in range(1, SLICES)]
+    shares = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
     row = df.agg(
-        *[F.percentile_approx(c, shares, ACCURACY).alias(f"c{i}") for i, c in enumerate(columns)]
+        F.count(F.lit(1)).alias("n"),
+        *[F.percentile_approx(c, shares, ACCURACY).alias(f"c{i}") for i, c in enumerate(columns)],
     ).first()
-    return [sorted(set(values)) if values else [] for values in row]
+    slices = min(MAX_SLICES, max(2, -(-row["n"] // rows_per_slice)))
+    picked = [round(i * MAX_SLICES / slices) - 1 for i in range(1, slices)]
+    return [sorted({values[i] for i in picked}) if values else [] for values in row[1:]]
 
 
 def _literal(cut: int | float | Decimal) -> str:

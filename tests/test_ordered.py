@@ -39,7 +39,7 @@ def test_global_order_equals_plain_window(spark, n, group, descending):
         ntiles={"t5": 5, "t10": 10},
         total="total",
     )
-    got = order_globally(df, "key", [ordering], group=group)
+    got = order_globally(df, "key", [ordering], group=group, rows_per_slice=40)
     value = F.col("value").desc() if descending else F.col("value").asc()
     part = Window.partitionBy(*([group] if group else [F.lit(0)]))
     full = part.orderBy(value, "key")
@@ -63,7 +63,10 @@ def test_global_order_equals_plain_window(spark, n, group, descending):
 def test_two_orderings_and_doubles(spark):
     df = skewed(spark, 700, seed=5).withColumn("d", F.col("amount").cast("double") / 3)
     got = order_globally(
-        df, "key", [Ordering("d", row_number="a"), Ordering("amount", descending=True, rank="b")]
+        df,
+        "key",
+        [Ordering("d", row_number="a"), Ordering("amount", descending=True, rank="b")],
+        rows_per_slice=25,
     )
     want = df.select(
         "key",
@@ -84,7 +87,7 @@ def test_empty_input(spark):
 def test_exact_quantiles(spark, n):
     df = skewed(spark, n, seed=n + 1)
     shares = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = list(exact_quantiles(df, "amount", shares).first())
+    got = list(exact_quantiles(df, "amount", shares, rows_per_slice=100).first())
     want = df.agg(
         *[F.percentile(F.col("amount").cast("double"), F.lit(s)).alias(f"q{i}") for i, s in enumerate(shares)]
     ).first()
