@@ -27,14 +27,18 @@ def build_session(app_name: str = "orderwell", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder, or a local one where none is set."""
+    """The cluster's shared checkpoint folder; a local one only where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    fallback = tempfile.mkdtemp(prefix="orderwell-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="orderwell-")
+    return _LOCAL_FOLDERS[application]
 
 
 def materialize(df: DataFrame) -> DataFrame:
