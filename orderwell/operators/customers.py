@@ -250,7 +250,8 @@ def rfm_base(t: Tables, as_of: dt.date | None = None) -> DataFrame:
     snapshot = F.lit(as_of).cast("date") if as_of else as_of_date(t)
     orders = valid_orders(t)
     if as_of:
-        orders = orders.filter(F.col("OrderDateTime") < F.lit(as_of + dt.timedelta(days=1)).cast("timestamp_ntz"))
+        after = F.lit(as_of + dt.timedelta(days=1)).cast("timestamp_ntz")
+        orders = orders.filter(F.col("OrderDateTime") < after)
     return (
         orders.groupBy("CustomerId")
         .agg(

@@ -11,7 +11,6 @@ from orderwell.operators.facts import (
     REJECTED,
     Tables,
     customer_segments,
-    is_valid,
     order_facts,
     product_names,
 )
@@ -139,6 +138,5 @@ def delivery_risk(t: Tables, min_orders: int = 100) -> DataFrame:
 
 def delivery_performance(t: Tables) -> DataFrame:
     """All lanes of valid orders, with the median."""
-    return _lanes(order_facts(t, geography=True, shipment=True).filter(is_valid())).withColumnRenamed(
-        "AvgDeliveryDays", "AverageDeliveryDays"
-    )
+    lanes = _lanes(order_facts(t, geography=True, shipment=True, only_valid=True))
+    return lanes.withColumnRenamed("AvgDeliveryDays", "AverageDeliveryDays")

@@ -20,7 +20,7 @@ from orderwell.functions.ordered import Ordering, order_globally
 from orderwell.functions.scalars import count_if
 from orderwell.operators.customers import AT_RISK_STATUSES
 from orderwell.operators.facts import CANCELLED, REJECTED
-from orderwell.plans.star import RELATIONSHIPS
+from orderwell.plans.star import RELATIONSHIPS, Star
 
 GroupKey = tuple[str, str]
 Filter = tuple[str, Column]
@@ -147,6 +147,17 @@ BASE: dict[str, Measure] = {
     "RFM Monetary Value": _sum(RFM, "MonetaryValue"),
 }
 
+# Columns that cost a join of their own; all others come with the fact.
+JOINED_COLUMNS: dict[str, set[str]] = {
+    "Repeat Orders": {"IsRepeatPurchase"},
+    "Repeat Customers": {"IsRepeatPurchase"},
+    "Delivered Orders": {"DeliveredDate"},
+    "On-Time Deliveries": {"IsOnTime"},
+    "Late Deliveries": {"DeliveredDate", "IsOnTime"},
+    "Delivery Days Total": {"DeliveredDate", "DeliveryDays"},
+    "Delivery Days Count": {"DeliveryDays"},
+}
+
 RATIOS: dict[str, tuple[str, str]] = {
     "Gross Margin %": ("Gross Profit", "Revenue"),
     "Gross Margin After Refund %": ("Gross Profit After Refund", "Revenue After Refund"),
@@ -179,7 +190,9 @@ RATIOS: dict[str, tuple[str, str]] = {
 LINKS = {(fact, dim): (fact_key, dim_key) for fact, fact_key, dim, dim_key in RELATIONSHIPS}
 
 
-def _with_dimension(fact: DataFrame, name: str, dim: str, columns: Sequence[str], star) -> DataFrame:
+def _with_dimension(
+    fact: DataFrame, name: str, dim: str, columns: Sequence[str], star: Mapping[str, DataFrame]
+) -> DataFrame:
     fact_key, dim_key = LINKS[(name, dim)]
     picked = star[dim].select(
         F.col(dim_key).alias("__k"), *[F.col(c).alias(f"{dim}.{c}") for c in columns]
@@ -187,14 +200,33 @@ def _with_dimension(fact: DataFrame, name: str, dim: str, columns: Sequence[str]
     return fact.join(picked, F.col(fact_key) == F.col("__k"), "left").drop("__k")
 
 
+def _source(
+    star: Mapping[str, DataFrame],
+    name: str,
+    parts: Sequence[str],
+    group_by: Sequence[GroupKey],
+    filters: Sequence[Filter],
+) -> DataFrame:
+    """The fact itself, as narrow as the measures, groups and filters allow."""
+    if not isinstance(star, Star) or any(table == name for table, _ in filters):
+        return star[name]  # a condition on the fact may read any of its columns
+    wanted = {c for p in parts for c in JOINED_COLUMNS.get(p, ())}
+    wanted |= {column for table, column in group_by if table == name}
+    wanted |= {
+        LINKS[(name, table)][0] for table, _ in [*group_by, *filters] if (name, table) in LINKS
+    }
+    return star.rows(name, wanted)
+
+
 def _fact_rows(
     star: Mapping[str, DataFrame],
     name: str,
+    parts: Sequence[str],
     group_by: Sequence[GroupKey],
     filters: Sequence[Filter],
 ) -> DataFrame:
     """A fact with its filters applied and ``Table.column`` group keys attached."""
-    rows = star[name]
+    rows = _source(star, name, parts, group_by, filters)
     for table, condition in filters:
         if table == name:
             rows = rows.filter(condition)
@@ -237,7 +269,7 @@ def evaluate(
 
     results = []
     for fact, parts in needed.items():
-        rows = _fact_rows(star, fact, group_by, filters)
+        rows = _fact_rows(star, fact, parts, group_by, filters)
         quoted = [F.col(f"`{k}`") for k in keys]
         results.append(
             rows.groupBy(*quoted).agg(*[BASE[p].value().alias(p) for p in parts])
@@ -372,7 +404,9 @@ def daily_to_date(
     year = Window.partitionBy("CalendarYear").orderBy("FullDate")
     month = Window.partitionBy("CalendarYear", "MonthNumber").orderBy("FullDate")
     return (
-        spine.withColumns({"MonthToDate": F.sum("Value").over(month), "YearToDate": F.sum("Value").over(year)})
+        spine.withColumns(
+            {"MonthToDate": F.sum("Value").over(month), "YearToDate": F.sum("Value").over(year)}
+        )
         .filter(F.col("YearToDate").isNotNull())
         .select("FullDate", "Value", "MonthToDate", "YearToDate")
     )
@@ -424,7 +458,9 @@ def rfm_share(
     return result.withColumn("RFM Customer Share %", ratio("RFM Customers", total))
 
 
-def product_revenue_rank(star: Mapping[str, DataFrame], filters: Sequence[Filter] = ()) -> DataFrame:
+def product_revenue_rank(
+    star: Mapping[str, DataFrame], filters: Sequence[Filter] = ()
+) -> DataFrame:
     """Dense rank of products by revenue among the selected ones."""
     base = evaluate(star, ["Product Revenue"], [("FactOrderLines", "ProductId")], filters)
     ranked = order_globally(

@@ -76,14 +76,22 @@ EXPORTS = (
 
 
 def dim_geography(t: Tables) -> DataFrame:
-    """Distinct places orders went to, numbered in sort order.
+    """Distinct places orders went to, numbered by country, region, state and city.
 
-    The number needs all places in one order; places are a bounded list, and
-    they are made distinct per task before the shuffle.
+    Places are numbered inside their region and shifted by the regions before,
+    so only the list of regions is ever put in one order.
     """
     used = order_places(t).select(*GEOGRAPHY).distinct()
-    order = Window.partitionBy(F.lit(0)).orderBy("CountryCode", "Region", "StateProvince", "City")
-    return used.select(F.row_number().over(order).alias("GeographyKey"), *GEOGRAPHY)
+    area = ["CountryCode", "Region"]
+    areas = used.groupBy(*area).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(F.lit(0)).orderBy(*area).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = areas.select(*area, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy(*area).orderBy("StateProvince", "City"))
+    return (
+        used.withColumn("row", inside)
+        .join(offsets, area)
+        .select((F.col("offset") + F.col("row")).alias("GeographyKey"), *GEOGRAPHY)
+    )
 
 
 def order_places(t: Tables) -> DataFrame:
@@ -114,6 +122,14 @@ class Star(Mapping):
             self._built[name] = BUILDERS[name](self.t)
         return self._built[name]
 
+    def rows(self, name: str, wanted: set[str]) -> DataFrame:
+        """A table holding at least the wanted columns, without joins only others need."""
+        if name == "FactOrders":
+            return _slim_orders(self.t, wanted)
+        if name == "FactOrderLines" and "GeographyKey" not in wanted:
+            return line_facts(self.t).withColumn("OrderDateKey", date_key("OrderDate"))
+        return self[name]
+
     def __iter__(self) -> Iterator[str]:
         return iter(BUILDERS)
 
@@ -121,6 +137,23 @@ class Star(Mapping):
         return len(BUILDERS)
 
 
+SHIPMENT_COLUMNS = {
+    "Carrier", "ShippedDate", "PromisedDeliveryDate", "DeliveredDate", "DeliveryDays", "IsOnTime",
+}
+
+
+def _slim_orders(t: Tables, wanted: set[str]) -> DataFrame:
+    facts = order_facts(
+        t,
+        sequence="CustomerOrderNumber" in wanted,
+        repeat="IsRepeatPurchase" in wanted,
+        shipment=bool(wanted & SHIPMENT_COLUMNS),
+    )
+    if "GeographyKey" in wanted:
+        facts = facts.join(address_geography(t), "ShippingAddressId")
+    return facts.withColumn("OrderDateKey", date_key("OrderDate"))
+
+
 def _fact_orders(t: Tables) -> DataFrame:
     facts = order_facts(t, sequence=True, shipment=True).join(
         address_geography(t), "ShippingAddressId"

@@ -91,7 +91,9 @@ def check_constraints(t: Tables, names: Iterable[str] | None = None) -> DataFram
         )
         pairs = F.array(
             *[
-                F.struct(F.lit(f"{name}.{label}").alias("CheckName"), F.col(label).alias("Violations"))
+                F.struct(
+                    F.lit(f"{name}.{label}").alias("CheckName"), F.col(label).alias("Violations")
+                )
                 for label, _ in rules
             ]
         )

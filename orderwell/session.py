@@ -18,7 +18,9 @@ RECOMMENDED_CONF = {
 }
 
 
-def build_session(app_name: str = "orderwell", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app_name: str = "orderwell", master: str | None = None, **conf: str
+) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)

@@ -53,7 +53,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     )
     return data.select(
         *[
-            F.col(field.name) if field.name in header else F.lit(None).cast(field.dataType).alias(field.name)
+            F.col(field.name)
+            if field.name in header
+            else F.lit(None).cast(field.dataType).alias(field.name)
             for field in contract.schema
         ]
     )
@@ -115,7 +117,9 @@ def export_star(star: Mapping[str, DataFrame], folder: str, as_csv: bool = False
     return row_counts(written)
 
 
-def read_export(spark: SparkSession, folder: str, star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def read_export(
+    spark: SparkSession, folder: str, star: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
     """CSV export read back with the type of every column declared."""
     from orderwell.plans.star import EXPORTS
 
