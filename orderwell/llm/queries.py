@@ -7,8 +7,10 @@ from orderwell.llm.decontaminate import OP5_SQL, op5_decontaminate
 from orderwell.llm.pii import op2_pii
 from orderwell.llm.secrets import op9_secrets
 from orderwell.llm.token_counts import op10_token_counts
+from orderwell.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
