@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from orderwell.llm.byte_bpe import op6_byte_bpe
 from orderwell.llm.decontaminate import OP5_SQL, op5_decontaminate
+from orderwell.llm.near_duplicates import op3_near_duplicates
 from orderwell.llm.pii import op2_pii
 from orderwell.llm.secrets import op9_secrets
 from orderwell.llm.token_counts import op10_token_counts
@@ -12,6 +13,7 @@ from orderwell.llm.toxicity import op1_toxicity
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_secrets": op9_secrets,
