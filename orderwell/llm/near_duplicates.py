@@ -8,9 +8,9 @@ the probability Jaccard similarity of their weights. Registers are banded; texts
 
 Texts with equal word sequences are one representative before banding. In a bucket (texts that share a band) not all pairs
 are formed: the text that has most company in all its buckets is the pivot, and all are verified against it. What is not
-joined to the pivot's component afterwards is verified against the members that it could still be similar to: both
-distances are metric, so |d(x, pivot) - d(y, pivot)| <= 1 - similarity must hold for a similar pair, and pairs already in
-one component tell nothing new. A round takes a bounded number of such left-over texts of a bucket and rounds go on until none is left, so no link between
+joined to the largest component of a bucket afterwards (its outsiders) is compared with the bucket's members in blocks of
+bounded size, but for pairs that one component holds already, and pairs that the triangle inequality rules out: both
+distances are metric, so |d(x, pivot) - d(y, pivot)| <= 1 - similarity for a similar pair. So no link between
 components is lost. A pair is similar if its probability Jaccard or its plain Jaccard similarity is 0.8 or more.
 
 Result: one row per document with its class, the smallest doc_id in it, and the number of different texts in it. Null and
@@ -40,8 +40,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 REGISTERS = BANDS * ROWS
 
-#: Pairs of one bucket that a later round verifies at most; further left-over texts wait for the next round.
-PAIRS_A_ROUND = 1_000_000
+#: Shingle hashes of one side of a block of texts, in bytes.
+BLOCK_BYTES = 4 << 20
 
 
 def shingles(listed: list[bytes], hashes: WordHash) -> tuple[np.ndarray, np.ndarray]:
@@ -213,7 +213,7 @@ def similar(similarity: float) -> F.Column:
 
 
 def representative_classes(
-    documents: DataFrame, reps: DataFrame, similarity: float = SIMILARITY, pairs_a_round: int = PAIRS_A_ROUND
+    documents: DataFrame, reps: DataFrame, similarity: float = SIMILARITY
 ) -> DataFrame:
     """rep, component for the representatives (rep, doc_id, bands) that are similar to another one."""
     banded = reps.where(F.col("bands").isNotNull()).select("rep", F.explode("bands").alias("band"))
@@ -228,65 +228,104 @@ def representative_classes(
     known = materialize(verify(first, sets))
     links = known.where(similar(similarity)).select("a", "b")
     components = materialize(connected_components(links))
-    done = None
-    while left := _left_over(placed, known, components, done, similarity, pairs_a_round):
-        pairs, done = left
-        found = materialize(verify(pairs, sets).where(similar(similarity)).select("a", "b"))
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            components = materialize(connected_components(links))
+    more = materialize(_links_of_the_rest(placed, known, components, sets, similarity))
+    if not more.isEmpty():
+        components = connected_components(links.unionByName(more))
     return components.select(F.col("node").alias("rep"), "component")
 
 
-def _left_over(placed, known, components, done, similarity, pairs_a_round):
-    """Pairs of a bucket that may link two components, and the (band, rep) that will have been compared; or None.
+def _links_of_the_rest(placed, known, components, sets, similarity) -> DataFrame:
+    """Links between components that share a bucket.
 
-    The members of a bucket outside its largest component are its outsiders; every pair between two components has one.
+    The members of a bucket outside its largest component are its outsiders; every pair of two components has one. Blocks
+    of outsiders meet blocks of members, both bounded in bytes; a block gives links, never its pairs.
     """
     near = known.select(
         F.col("a").alias("rep"), F.col("b").alias("pivot"), F.col("plain").alias("p"), F.col("weighted").alias("w")
     )
     label = components.select(F.col("node").alias("rep"), "component")
+    sizes = sets.select("rep", F.length("items").alias("bytes"))
     rows = (
-        placed.where("size > 2").join(near, ["rep", "pivot"], "left").join(label, "rep", "left")
-        .select("band", "rep", F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("w", F.lit(0.0)).alias("w"),
+        placed.where("size > 2").join(near, ["rep", "pivot"], "left").join(label, "rep", "left").join(sizes, "rep")
+        .select("band", "rep", "bytes", F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("w", F.lit(0.0)).alias("w"),
                 F.coalesce("component", "rep").alias("component"))
     )
-    counts = rows.groupBy("band", "component").agg(F.count("*").alias("n"))
+    rows = materialize(rows)
+    counts = rows.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
     bands = (
         counts.groupBy("band")
-        .agg(F.count("*").alias("parts"), F.sum("n").alias("size"),
-             F.max_by("component", F.struct("n", "component")).alias("main"))
+        .agg(F.count("*").alias("parts"), F.sum("bytes").alias("all_bytes"),
+             F.max_by(F.struct("component", "bytes"), F.struct("n", "component")).alias("main"))
         .where("parts > 1")
+        .select("band", F.col("main.component").alias("main"),
+                F.ceil(F.col("all_bytes") / BLOCK_BYTES).cast("int").alias("n_m"),
+                F.ceil((F.col("all_bytes") - F.col("main.bytes")) / BLOCK_BYTES).cast("int").alias("n_o"))
     )
-    open_rows = rows.join(bands, "band")
-    outsiders = open_rows.where("component != main")
-    if done is not None:
-        outsiders = outsiders.join(done, ["band", "rep"], "left_anti")
-    # about as many outsiders of a bucket as make `pairs_a_round` pairs, chosen by hash; at least one by a small offset
-    outsiders = outsiders.withColumn(
-        "turn", F.pmod(F.xxhash64("rep", "band"), F.ceil(F.col("size") * F.col("size") / pairs_a_round))
-    )
-    turn = outsiders.groupBy("band").agg(F.min("turn").alias("turn"))
-    chosen = materialize(outsiders.join(turn, ["band", "turn"]).select("band", "rep", "p", "w", "component"))
-    if chosen.isEmpty():
-        return None
-    now = chosen.select("band", "rep")
+    rows = rows.join(bands, "band").join(sets, "rep")
+    part = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    # new names for both sides of the meeting, which come from the same rows
+    columns = [F.col(c).alias(c) for c in ("band", "rep", "component", "p", "w", "items", "counts")]
+    outsiders = rows.where("component != main").select(*columns, part(F.col("n_o")).alias("o"), every(F.col("n_m")).alias("m"))
+    members = rows.select(*columns, part(F.col("n_m")).alias("m"), every(F.col("n_o")).alias("o"))
+
+    def block(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        found = links_between(_texts(left), _texts(right), similarity) if left.num_rows and right.num_rows else []
+        return pa.table({n: pa.array([x[i] for x in found], pa.binary()) for i, n in enumerate("ab")})
+
+    keys = ["band", "o", "m"]
+    return outsiders.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInArrow(block, "a binary, b binary")
+
+
+class Text:
+    __slots__ = ("rep", "component", "p", "w", "items", "weights", "plain")
+
+    def __init__(self, rep, component, p, w, items, counts):
+        self.rep, self.component, self.p, self.w = rep, component, p, w
+        self.items = np.frombuffer(items, np.uint64)
+        counts = np.frombuffer(counts, np.int32)
+        self.weights, self.plain = weights(counts), bool((counts == 1).all())
+
+
+def _texts(table: pa.Table) -> list[Text]:
+    names = ("rep", "component", "p", "w", "items", "counts")
+    return [Text(*row) for row in zip(*(table.column(n).to_pylist() for n in names), strict=True)]
+
+
+def links_between(outsiders: list[Text], members: list[Text], similarity: float) -> list[tuple[bytes, bytes]]:
+    """Links that join the components of similar pairs; pairs whose components are joined already are passed over.
+
+    Both distances to the common pivot are known and metric, so a pair whose distances to it differ by more than
+    1 - similarity cannot be similar. Where no shingle repeats, plain and probability Jaccard are the same.
+    """
     reach = 1 - similarity + 1e-9
-    other = open_rows.select(
-        "band", F.col("rep").alias("b"), F.col("p").alias("p2"), F.col("w").alias("w2"), F.col("component").alias("c2")
-    )
-    if done is not None:
-        other = other.join(done.withColumnRenamed("rep", "b"), ["band", "b"], "left_anti")
-    pairs = (
-        chosen.withColumnRenamed("rep", "a").join(other, "band")
-        .where("component != c2")
-        .where((F.abs(F.col("p") - F.col("p2")) <= reach) | (F.abs(F.col("w") - F.col("w2")) <= reach))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        .join(known.select("a", "b"), ["a", "b"], "left_anti")
-        .join(known.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    )
-    return pairs, materialize(now if done is None else done.unionByName(now))
+    root: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = root[x]
+        return x
+
+    order = sorted(members, key=lambda t: (-t.p, t.rep))  # the far side of a group is nearest to what lies outside it
+    sizes = np.array([len(t.items) for t in order])
+    flat, owner = np.concatenate([t.items for t in order]), np.repeat(np.arange(len(order)), sizes)
+    p, w = np.array([t.p for t in order]), np.array([t.w for t in order])
+    plain = np.array([t.plain for t in order])
+    found = []
+    for x in outsiders:
+        common = np.bincount(owner[np.isin(flat, x.items, assume_unique=False)], minlength=len(order))
+        distance = 1 - common / (len(x.items) + sizes - common)
+        able = (np.abs(x.p - p) <= reach) | (np.abs(x.w - w) <= reach)
+        unsure = (common > 0) & able & ~(plain & x.plain)
+        for i in np.flatnonzero(able & ((distance <= reach) | unsure)).tolist():
+            y = order[i]
+            if find(x.component) == find(y.component):
+                continue
+            if distance[i] <= reach or weighted_distance(x.items, x.weights, y.items, y.weights) <= reach:
+                root[find(x.component)] = find(y.component)
+                found.append((x.rep, y.rep))
+    return found
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
