@@ -166,14 +166,20 @@ def disclosing_pairs(
 ) -> DataFrame:
     """entity, term, pmi, information of the pairs whose term discloses the entity. `scanned` is a stored scan()."""
     near = scanned.select("text_key", F.explode("near").alias("n")).select("text_key", "n.entity", "n.around", "n.term")
-    pairs = (
+    counted = (
         near.select("entity", "term", "around").distinct()
         .groupBy("entity", "term").agg(F.count("*").alias("together"))
         .where(F.col("together") >= support)
     )
-    pairs = materialize(pairs)
     entities = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("f_entity"))
-    n = scanned.agg(F.count_distinct("text_key")).first()[0]
+    n = float(scanned.agg(F.count_distinct("text_key")).first()[0])
+    information = F.log2(F.lit(n) / F.col("f_entity"))
+    # f(t) is at least the number of texts that hold t near some entity; what fails with that cannot disclose
+    near_texts = near.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("f_near"))
+    most = F.log2(F.lit(n) * F.col("together") / (F.col("f_near") * F.col("f_entity")))
+    pairs = materialize(
+        counted.join(entities, "entity").join(near_texts, "term").where(most >= threshold * information).drop("f_near")
+    )
     # Each text's distinct words, kept where they are a candidate; copies of a text share its key. Spark sends the
     # candidates to all tasks if their stored size is small, and shuffles both sides else.
     folded = F.translate(F.col("text"), string.ascii_uppercase, string.ascii_lowercase)
@@ -184,14 +190,8 @@ def disclosing_pairs(
         found.join(pairs.select("term").distinct(), "term").distinct()
         .groupBy("term").agg(F.count("*").alias("f_term"))
     )
-    scored = (
-        pairs.join(entities, "entity").join(terms, "term")
-        .select(
-            "entity", "term",
-            F.log2(F.lit(float(n)) * F.col("together") / (F.col("f_term") * F.col("f_entity"))).alias("pmi"),
-            F.log2(F.lit(float(n)) / F.col("f_entity")).alias("information"),
-        )
-    )
+    pmi = F.log2(F.lit(n) * F.col("together") / (F.col("f_term") * F.col("f_entity")))
+    scored = pairs.join(terms, "term").select("entity", "term", pmi.alias("pmi"), information.alias("information"))
     return scored.where((F.col("information") > 0) & (F.col("pmi") >= threshold * F.col("information")))
 
 
