@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -308,8 +309,6 @@ def digest(found: DataFrame) -> DataFrame:
 
 def remove_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents with every hit passage cut from the text and n_chars counted anew."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         ranges = [[(s["start"], s["end"]) for s in x] for x in spans]

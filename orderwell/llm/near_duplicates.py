@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -348,16 +349,17 @@ def keep_one(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     Rows with a null id stay if their class has no id; of rows that share a class's least id one stays.
     """
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def key(text: pd.Series) -> pd.Series:
         return text.map(lambda t: sequence_key(t, words(t)))
 
     classes = near_duplicates(documents, similarity)
-    keys = classes.where("doc_id <=> class_id").select(F.col("doc_id").alias("_ow_id"), F.col("key").alias("_ow_key"))
+    keys = classes.where("doc_id <=> class_id").select(
+        F.col("doc_id").alias("_ow_kept_id"), F.col("key").alias("_ow_kept_key")
+    )
     kept = documents.withColumn("_ow_key", key(F.col("text").cast("string")))
-    kept = kept.join(keys.distinct(), (kept["_ow_key"] == keys["_ow_key"]) & kept["doc_id"].eqNullSafe(keys["_ow_id"]), "left_semi")
+    same = (F.col("_ow_key") == F.col("_ow_kept_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_ow_kept_id"))
+    kept = kept.join(keys.distinct(), same, "left_semi")
     return kept.dropDuplicates(["doc_id", "_ow_key"]).select(*documents.columns)
 
 

@@ -25,6 +25,7 @@ import re
 import string
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -244,8 +245,6 @@ def sanitise(documents: DataFrame) -> DataFrame:
 
 
 def replace_texts(documents: DataFrame, spans: DataFrame) -> DataFrame:
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def key(text: pd.Series) -> pd.Series:
         return text.map(lambda t: xxhash.xxh3_128_digest(t or ""))
