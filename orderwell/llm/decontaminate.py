@@ -35,7 +35,8 @@ SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 16 << 20
 SAMPLE = 8
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word before it is lower-cased.
+WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 
 
 def suffix_array(numbers: np.ndarray) -> np.ndarray:

@@ -46,7 +46,8 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[ -]?+[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word before it is lower-cased.
+WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 DIGITS = re.compile("[0-9]")
 
 Span = tuple[int, int, str]
