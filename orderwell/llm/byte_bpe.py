@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from orderwell.llm.common import arrow_map, read, sha256
 
 #: Parts remembered per worker, and the longest that is worth it.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 WORTH = 32
 
 #: A mark in front of a text, or a first part, before which no space was cut away.

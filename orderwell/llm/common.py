@@ -33,7 +33,7 @@ def sha256(text: str | bytes) -> str:
 class WordHash(dict):
     """word -> 64-bit hash, remembered; forgets everything beyond `most` words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from orderwell.llm.common import arrow_map, read
 
 #: Pieces remembered per worker, and the longest that is worth it.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 WORTH = 32
 
 #: After a word of basic letters, one of these is a pre-token of its own.

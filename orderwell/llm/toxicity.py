@@ -46,7 +46,7 @@ BEGINNINGS = (4, 5, 6)
 class Features:
     """Feature places of texts; remembers the hashes of words and of their beginnings."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         self.most = most
         self._forget()
 
