@@ -230,8 +230,10 @@ def search_texts(texts: list[str | None], phrases: Phrases) -> list[tuple[int, l
     return [(n, merged(spans.get(i, [])), items.get(i, set())) for i, n in enumerate(sizes)]
 
 
-def without_words(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without the characters from the first to the last word of each range of words."""
+def without_words(text: str | None, spans: list[tuple[int, int]]) -> str | None:
+    """The text without the characters from the first to the last word of each range of words; null stays null."""
+    if not text or not len(spans):
+        return text
     at = [(m.start(), m.end()) for m in WORD.finditer(text)]
     out, past = [], 0
     for start, end in spans:
