@@ -148,14 +148,14 @@ piece("b_returns", "", f"""
 SELECT {LINE_ID} AS ReturnId, l_orderkey AS OrderId, CAST(l_shipdate AS DATE) AS ReturnDate,
        {pick('Damaged,Wrong Item,Not as Described,Changed Mind,Too Late,Defective', 'l_partkey % 6')} AS ReturnReason,
        CASE WHEN l_suppkey % 20 = 0 THEN 'Rejected' ELSE {pick('Requested,Approved,Received,Refunded', 'l_suppkey % 4')} END AS ReturnStatus
-FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1""")
+FROM lineitem WHERE l_returnflag = 'R'""")
 
 
 def _return_items(quantity: str) -> str:
     return f"""
 SELECT {LINE_ID} AS ReturnItemId, {LINE_ID} AS ReturnId, {LINE_ID} AS OrderItemId, {quantity} AS ReturnQuantity,
        {PRICE} - CAST({PRICE} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS RefundAmount
-FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R' AND l_linenumber = 1"""
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'"""
 
 
 piece("return_items", "", _return_items("1"))
@@ -169,7 +169,7 @@ SELECT {LINE_ID} AS ReviewId, {customer} AS CustomerId, l_partkey AS ProductId,
        'Rated ' || (1 + (l_partkey + l_suppkey) % 5) AS ReviewTitle, CAST(NULL AS VARCHAR) AS ReviewText,
        CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE 1 END AS IsVerifiedPurchase, CAST(l_suppkey % 7 AS INTEGER) AS HelpfulVotes
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE o_orderstatus = 'F' AND (l_partkey + l_orderkey) % 5 = 0"""
+WHERE o_orderstatus = 'F'"""
 
 
 piece("reviews", "", _reviews("o_custkey"))

@@ -58,7 +58,7 @@ SHARE_OFF = (
     "CAST(CAST(CAST(floor(l_discount * 100 + 0.5) AS INT) AS DECIMAL(3,0)) * 0.01 AS DECIMAL(3,2))"
 )
 
-RETURNED = "l_returnflag = 'R' AND l_linenumber = 1"
+RETURNED = "l_returnflag = 'R'"
 CANCELLED = "o_orderstatus = 'P' AND (o_orderkey DIV 7) % 10 < 3"
 
 
@@ -308,7 +308,6 @@ class StarTables(Mapping):
         reviewer = self.seeded("l_orderkey % 401 = 0", "o_custkey + 1", "o_custkey")
         return (
             self.raw("lineitem")
-            .filter("(l_partkey + l_orderkey) % 5 = 0")
             .join(delivered, F.col("l_orderkey") == F.col("o_orderkey"))
             .selectExpr(
                 f"{LINE_ID} AS ReviewId",
