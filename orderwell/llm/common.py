@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 #: Texts are handed to a worker function in slices of about this many bytes, or one text.
 SLICE_BYTES = 1 << 20
 
+#: Bytes of one Arrow batch between Spark and a Python worker, or one row.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Words are runs of digits, letters and non-ASCII characters; A-Z is lower-cased, the rest parts words.
 FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -55,6 +59,14 @@ def mix(values: np.ndarray) -> np.ndarray:
         return values ^ (values >> np.uint64(32))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Limit the session's Arrow batches to BATCH_BYTES, unless the session sets a limit of its own.
+
+    Spark's default of 64 MB of long texts is, held by Spark and worker alike, several hundred MB a core.
+    """
+    spark.conf.set(BATCH_SETTING, spark.conf.get(BATCH_SETTING, str(BATCH_BYTES)))
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch, each of about `most` bytes of the text column (one row at least)."""
     sizes = np.array([0 if x is None else x for x in pc.binary_length(batch.column(column)).to_pylist()])
@@ -75,12 +87,14 @@ def arrow_map(
     setup: Callable[[], Callable[[pa.RecordBatch], dict[str, list]]],
     schema: str,
     text: str = "text",
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
-    """Apply a function to slices of rows, bounded in bytes of `text`.
+    """Apply a function to slices of rows, of about `most` bytes of `text`.
 
     `setup` runs once per task and returns a function from a slice to columns; a `_keep` of names passes
     those columns on as they are. No row order or partitioning changes.
     """
+    bound_batches(df.sparkSession)
     spark_schema = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -89,7 +103,7 @@ def arrow_map(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = setup()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, most):
                 got = work(part)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -100,6 +114,7 @@ def arrow_map(
                     ],
                     schema=target,
                 )
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, spark_schema)
 

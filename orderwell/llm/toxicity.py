@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwell.llm.common import arrow_map, mix, read, words
+from orderwell.llm.common import arrow_map, bound_batches, mix, read, slices, words
 
 BITS = 20
 EPOCHS = 3
@@ -42,6 +42,9 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 1.0
 
 BEGINNINGS = (4, 5, 6)
 
+#: Bytes of text whose features are made at once: about seven features a word, some 60 bytes of memory a byte of text.
+AT_ONCE = 1 << 18
+
 
 class Features:
     """Feature places of texts; remembers the hashes of words and of their beginnings."""
@@ -109,12 +112,20 @@ def weight(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
+def without_rare(parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Take features that fewer than MIN_SEEN texts hold out of (places, ends of texts), in place."""
+    seen = np.zeros(BIAS, np.int64)
+    for places, _ in parts:
+        seen += np.bincount(places, minlength=BIAS)
+    for i, (places, ends) in enumerate(parts):
+        keep = seen[places] >= MIN_SEEN
+        kept = np.concatenate([[0], np.cumsum(keep)])
+        parts[i] = places[keep], kept[ends]
+
+
 def train(rows: list[np.ndarray], labels: list[int]) -> np.ndarray:
-    """The weights after EPOCHS passes in the given order; the last is the bias. Rare features stay at zero."""
-    seen = np.zeros(BIAS, np.int32)
-    for features in rows:
-        seen[features] += 1
-    rows = [np.append(f[seen[f] >= MIN_SEEN], BIAS) for f in rows]
+    """The weights after EPOCHS passes in the given order; the last is the bias."""
+    rows = [np.append(f, np.int32(BIAS)) for f in rows]
     z, n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
     for _ in range(EPOCHS):
         for at, label in zip(rows, labels, strict=True):
@@ -147,20 +158,26 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = MOST) -> np.ndarray
 
     # `chosen` holds two numbers for each of about `most` ids: a bounded side
     rows = arrow_map(
-        texts.join(F.broadcast(chosen), "doc_id"), setup, "doc_id long, label int, places array<int>"
+        texts.join(F.broadcast(chosen), "doc_id"), setup, "doc_id long, label int, places array<int>", most=AT_ONCE
     )
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        # one array a batch, not one a text: what is let go returns to the system
+        parts, ids, labels = [], [], []
         for batch in batches:
-            places, ends = batch.column("places"), batch.column("places").offsets.to_numpy()
-            flat = places.values.to_numpy()
-            for i, (doc, label) in enumerate(
-                zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), strict=True)
-            ):
-                held.append((zlib.crc32(str(doc).encode()), doc, label, flat[ends[i] : ends[i + 1]]))
-        held.sort(key=lambda row: (row[0], row[1], row[2], len(row[3])))
-        weights = train([row[3] for row in held], [row[2] for row in held])
+            places = batch.column("places")
+            parts.append((places.values.to_numpy().astype(np.int32), places.offsets.to_numpy().astype(np.int64)))
+            ids.append(batch.column("doc_id").to_pylist())
+            labels.append(batch.column("label").to_pylist())
+        lengths = [np.diff(ends) for _, ends in parts]
+        order = sorted(
+            (zlib.crc32(str(doc).encode()), doc, labels[k][i], int(lengths[k][i]), k, i)
+            for k, docs in enumerate(ids)
+            for i, doc in enumerate(docs)
+        )
+        without_rare(parts)
+        rows = [parts[k][0][parts[k][1][i] : parts[k][1][i + 1]] for *_, k, i in order]
+        weights = train(rows, [row[2] for row in order])
         at = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weights[at])], names=["place", "weight"])
 
@@ -185,7 +202,7 @@ def score(documents: DataFrame, weights: np.ndarray) -> DataFrame:
         return work
 
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return arrow_map(docs, setup, "doc_id long, score double")
+    return arrow_map(docs, setup, "doc_id long, score double", most=AT_ONCE)
 
 
 def score_texts(texts: list[str | None], features: Features, w: np.ndarray) -> np.ndarray:
@@ -218,13 +235,19 @@ def reject_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THR
     """The rows of documents whose text scores below the threshold, as they are."""
     shared = documents.sparkSession.sparkContext.broadcast(model_of(documents, labels))
 
+    bound_batches(documents.sparkSession)
+
     @F.pandas_udf("double")
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = Features()
         for texts in parts:
-            listed = texts.tolist()
-            out = [score_texts(listed[i : i + 200], features, shared.value) for i in range(0, len(listed), 200)]
+            listed = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+            out = [
+                score_texts(part.column("text").to_pylist(), features, shared.value)
+                for part in slices(listed, "text", AT_ONCE)
+            ]
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
+        pa.default_memory_pool().release_unused()
 
     return documents.where(scored(F.col("text").cast("string")) < threshold)
 
