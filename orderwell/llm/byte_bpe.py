@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterable
+from copy import copy
 from itertools import chain
 
 import pyarrow as pa
@@ -150,11 +151,13 @@ _CODECS: dict[tuple[str, str], Codec] = {}
 
 
 def codec_of(vocabulary: str, pattern: str) -> Codec:
-    """The codec of a rank file; one per Python worker, which later tasks find with what it remembers."""
+    """The codec of a rank file for one task. The model is one per Python worker; what is remembered goes with the task."""
     if (vocabulary, pattern) not in _CODECS:
         with open(vocabulary, "rb") as lines:
             _CODECS[vocabulary, pattern] = Codec(read_ranks(lines), pattern)
-    return _CODECS[vocabulary, pattern]
+    codec = copy(_CODECS[vocabulary, pattern])
+    codec.known = {}
+    return codec
 
 
 def encode_texts(documents: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
