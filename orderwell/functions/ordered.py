@@ -9,6 +9,8 @@ runs inside each slice, and small per-slice totals are added as offsets.
 * A value that is itself a cut point gets a slice of its own.  Such a value may
   be held by any share of the rows, so its slice is cut again by the tiebreak
   key; all its rows are ties, hence that second cut keeps the order too.
+* NULL values come first ascending and last descending, as in a plain window.
+  They are ties too: one slice, cut again by the key.
 * The cut points steer balance only.  Results do not depend on their accuracy.
 * The input is read once per ordering and once for the cut points, so it is
   written to the shared folder first and never computed twice.
@@ -30,7 +32,7 @@ from orderwell.session import materialize
 class Ordering:
     """One global order and the columns to derive from it.
 
-    ``value`` must be numeric and not NULL.  Ties follow the key, ascending.
+    ``value`` is numeric and may be NULL.  Ties follow the key, ascending.
     """
 
     value: str
@@ -72,8 +74,9 @@ def order_globally(
     )
     places: dict[str, Column] = {}
     for i, (ordering, cuts) in enumerate(zip(orderings, value_cuts)):
-        exact = on_cut(ordering.value, cuts)
-        position = slice_of(ordering.value, cuts) * 2 + exact.cast("int")
+        missing = F.col(ordering.value).isNull()
+        exact = missing | F.coalesce(on_cut(ordering.value, cuts), F.lit(False))
+        position = F.when(missing, -1).otherwise(slice_of(ordering.value, cuts) * 2 + exact.cast("int"))
         places[f"__p{i}"] = -position if ordering.descending else position
         places[f"__k{i}"] = F.when(exact, slice_of(key, key_cuts)).otherwise(0)
     sliced = df.withColumns(places)
@@ -125,7 +128,7 @@ def _apply(
         "__n",
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__rows"),
         F.coalesce(F.sum("__d").over(before), F.lit(0)).alias("__distinct"),
-        *[F.coalesce(F.sum(f"__s_{m}").over(before), F.lit(0)).alias(f"__b_{m}") for m in sums],
+        *[F.sum(f"__s_{m}").over(before).alias(f"__b_{m}") for m in sums],
     )
     offsets = earlier.select(
         *keys,
@@ -174,7 +177,9 @@ def _apply(
     if ordering.total:
         out[ordering.total] = F.col("__total").cast("bigint")
     for name in sums:
-        out[name] = F.col(f"__b_{name}") + F.col(f"__r_{name}")
+        offset, inside = F.col(f"__b_{name}"), F.col(f"__r_{name}")
+        # NULL only where no value came before
+        out[name] = F.coalesce(offset + inside, offset, inside)
     for name, tiles in ordering.ntiles.items():
         out[name] = ntile_of(position, F.col("__total"), tiles)
     kept = [c for c in df.columns if c not in place]
