@@ -180,7 +180,7 @@ SELECT event_id AS InteractionId, 1 + CAST(json_extract_string(props, '$.k') AS
        CASE event_type WHEN 'view' THEN 'Impression' WHEN 'signup' THEN 'Sent' WHEN 'click' THEN 'Click'
             WHEN 'purchase' THEN 'Conversion' ELSE 'Unsubscribe' END AS InteractionType,
        {pick('Email,Paid Social,Display,Push,SMS', 'event_id % 5')} AS ChannelName,
-       CASE WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN event_id % 1500 END AS OrderId
+       CASE WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN event_id // 8 * 12 END AS OrderId
 FROM events""")
 piece("calendar", "b_orders", """
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS DateKey, CAST(d AS DATE) AS FullDate, year(d) AS CalendarYear,

@@ -333,7 +333,7 @@ class StarTables(Mapping):
             " WHEN 'click' THEN 'Click' WHEN 'purchase' THEN 'Conversion'"
             " ELSE 'Unsubscribe' END AS InteractionType",
             f"{_pick(INTERACTION_CHANNELS, 'event_id % 5')} AS ChannelName",
-            "CASE WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN event_id % 1500 END"
+            "CASE WHEN event_type = 'purchase' AND event_id % 2 = 0 THEN event_id DIV 8 * 12 END"
             " AS OrderId",
         )
 
