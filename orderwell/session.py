@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,18 +30,25 @@ def build_session(
     return builder.getOrCreate()
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_LOCAL_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only where none is set."""
+    """The cluster's shared checkpoint folder.
+
+    Where none is set, a session whose executors run inside the driver gets a
+    local folder, which goes when the program ends.  On a cluster that folder
+    would be another one on every machine, so there the setting is required.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="orderwell-")
-    return _LOCAL_FOLDERS[application]
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors and the driver share")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.TemporaryDirectory(prefix="orderwell-")
+    return _LOCAL_FOLDERS[context.applicationId].name
 
 
 def materialize(df: DataFrame) -> DataFrame:

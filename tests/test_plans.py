@@ -1,6 +1,7 @@
 """Physical plans: no pair-wise joins, no Python, filters and columns reach the scan."""
 
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,17 +52,19 @@ def test_unused_order_attributes_cost_no_join(spark):
 
 
 def test_shared_folder_is_read_from_the_session(spark, monkeypatch):
-    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    def fake(master, **settings):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, default=None: settings.get(k, default)))
 
-    class Unset:
-        sparkContext = spark.sparkContext
-
-        class conf:  # noqa: N801
-            get = staticmethod(lambda key, default=None: default)
+    for master in ("local[8]", "yarn"):
+        assert session.shared_folder(fake(master, **{"spark.checkpoint.dir": "hdfs://store/x"})) == "hdfs://store/x"
 
     monkeypatch.setattr(session, "_LOCAL_FOLDERS", {})
-    first = session.shared_folder(Unset)
-    assert os.path.isdir(first) and session.shared_folder(Unset) == first
+    first = session.shared_folder(fake("local[8]"))
+    assert os.path.isdir(first) and session.shared_folder(fake("local[8]")) == first
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(fake(master))
 
 
 def test_materialize_keeps_rows(spark):
