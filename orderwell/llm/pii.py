@@ -1,14 +1,17 @@
 """Personal data: fixed patterns, and terms that give a person away by how they occur in the corpus.
 
 Method (information-theoretic sanitisation). A protected entity is the value of a base match (an e-mail address, an ip
-address, a card or a phone number). A term is a word within WINDOW words of such a match. Over the distinct texts of the
-corpus, with N of them, f(e) holding entity e, f(t) holding term t, and c(t, e) distinct surroundings of e that hold t:
+address, a card or a phone number). A term is a word within WINDOW words of such a match in some text; what it tells is
+counted in whole texts. Over the groups of copies of the corpus, with N of them, f(e) holding entity e, f(t) holding term
+t, and c(t, e) holding both:
 
     information of e        IC(e)     = log2(N / f(e))
-    what t tells about e    PMI(t, e) = log2(N c(t, e) / (f(t) f(e)))
+    what t tells about e    PMI(t, e) = log2(N p / f(e)),  p the lower confidence bound of c(t, e) / f(t)
 
-A term discloses e if PMI(t, e) >= threshold * IC(e), so that seeing t alone all but names e. A pair seen in fewer than
-`support` distinct surroundings is not judged: its probability cannot be told from chance. Copies of a text count once.
+A term discloses e if PMI(t, e) >= threshold * IC(e), so that seeing t alone all but names e. Every pair is judged, however
+rare: the bound (Wilson's, one-sided, Z standard deviations) is low where few groups hold t, and what it must reach is low
+where e is rare. A group of copies is a class of near duplicates among the texts that hold an entity; of the other texts
+only exact copies are one.
 Disclosing terms near their entity become spans of kind `term`. Sanitising replaces base spans by their kind, generalises
 terms with digits to the pattern of their digits and letters, and removes other terms.
 
@@ -32,14 +35,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderwell.llm.common import FOLD, arrow_map, read
+from orderwell.llm.near_duplicates import near_duplicates
 from orderwell.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: Words to either side of an entity that are its surroundings, and what makes a term disclose it.
+#: Words to either side of an entity that are candidates, and what makes one of them disclose it.
 WINDOW = 8
 THRESHOLD = 0.9
-SUPPORT = 3
+#: Standard deviations below the observed share: one-sided confidence of 90 %.
+Z = 1.2816
 
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -108,8 +113,8 @@ def entity_of(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else ''.join(DIGITS.findall(value))}"
 
 
-def terms_near(text: str, spans: list[Span]) -> list[tuple[str, bytes, int, int, str]]:
-    """(entity, surroundings, start, end, term) of the words near each base span, none of them inside a base span.
+def terms_near(text: str, spans: list[Span]) -> list[tuple[str, int, int, str]]:
+    """(entity, start, end, term) of the words near each base span, none of them inside a base span.
 
     Both sides are cut to the window by position, so that a long text is not searched as a whole for each span.
     """
@@ -131,78 +136,119 @@ def terms_near(text: str, spans: list[Span]) -> list[tuple[str, bytes, int, int,
             near.append(m)
         inside = [m for m in near if not any(s < m.end() and m.start() < e for s, e in taken)]
         folded = [m[0].encode().translate(FOLD).decode() for m in inside]
-        around = xxhash.xxh3_128_digest(" ".join(folded))
         entity = entity_of(kind, text[start:end])
-        out += [(entity, around, m.start(), m.end(), w) for m, w in zip(inside, folded, strict=True)]
+        out += [(entity, m.start(), m.end(), w) for m, w in zip(inside, folded, strict=True)]
     return out
 
 
-SCAN = """doc_id long, text_key binary, base array<struct<start: int, end: int, kind: string>>,
-near array<struct<entity: string, around: binary, start: int, end: int, term: string>>"""
+SCAN = """doc_id long, key long, text_key binary, base array<struct<start: int, end: int, kind: string>>,
+entities array<string>, near array<struct<entity: string, start: int, end: int, term: string>>"""
+
+
+def short_key(text: F.Column) -> F.Column:
+    """What Spark alone counts texts by."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def scan(documents: DataFrame) -> DataFrame:
-    """Base spans and surroundings of each row; text_key tells texts apart."""
+    """Base spans, entities and words near them of each row; text_key tells texts apart, key is a short one."""
 
     def setup():
         def work(batch: pa.RecordBatch) -> dict:
             texts = batch.column("text").to_pylist()
             base = [base_spans(t) for t in texts]
             near = [terms_near(t, s) if s else [] for t, s in zip(texts, base, strict=True)]
-            names = ("entity", "around", "start", "end", "term")
+            names = ("entity", "start", "end", "term")
             return {
                 "doc_id": batch.column("doc_id"),
+                "key": batch.column("key"),
                 "text_key": [xxhash.xxh3_128_digest(t or "") for t in texts],
                 "base": [[{"start": a, "end": b, "kind": k} for a, b, k in s] for s in base],
+                "entities": [
+                    sorted({entity_of(k, t[a:b]) for a, b, k in s}) for t, s in zip(texts, base, strict=True)
+                ],
                 "near": [[dict(zip(names, x, strict=True)) for x in n] for n in near],
             }
 
         return work
 
-    docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = documents.select(
+        F.col("doc_id").cast("long"), short_key(F.col("text")).alias("key"), F.col("text").cast("string")
+    )
     return arrow_map(docs, setup, SCAN)
 
 
+def copy_groups(documents: DataFrame, holders: DataFrame) -> DataFrame:
+    """key, group of the texts (keys) in `holders` that are a near copy of one with a smaller key, the group's."""
+    texts = documents.select(short_key(F.col("text")).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    held = materialize(texts.join(holders.select(F.col("key").alias("doc_id")), "doc_id", "left_semi"))
+    found = near_duplicates(held).where("doc_id != class_id")
+    return found.select(F.col("doc_id").alias("key"), F.col("class_id").alias("group")).distinct()
+
+
+def lower_bound(together: F.Column, of: F.Column, z: float) -> F.Column:
+    """Wilson's lower bound of the share `together` / `of`."""
+    p, zz = together / of, z * z
+    return (p + zz / (2 * of) - z * F.sqrt(p * (1 - p) / of + zz / (4 * of * of))) / (1 + zz / of)
+
+
+def words_held(documents: DataFrame, terms: DataFrame) -> DataFrame:
+    """key, term: which of the terms each different text holds, anywhere in it.
+
+    Spark sends the terms to all tasks if their stored size is small, and shuffles both sides else.
+    """
+    folded = F.translate(F.col("text").cast("string"), string.ascii_uppercase, string.ascii_lowercase)
+    word = F.split(F.regexp_replace(folded, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), " ")
+    found = documents.select(short_key(F.col("text")).alias("key"), F.explode(F.array_distinct(word)).alias("term"))
+    return found.join(terms, "term").select("key", "term").distinct()
+
+
 def disclosing_pairs(
-    documents: DataFrame, scanned: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT
+    documents: DataFrame, scanned: DataFrame, threshold: float = THRESHOLD, z: float = Z
 ) -> DataFrame:
     """entity, term, pmi, information of the pairs whose term discloses the entity. `scanned` is a stored scan()."""
-    near = scanned.select("text_key", F.explode("near").alias("n")).select("text_key", "n.entity", "n.around", "n.term")
-    counted = (
-        near.select("entity", "term", "around").distinct()
-        .groupBy("entity", "term").agg(F.count("*").alias("together"))
-        .where(F.col("together") >= support)
+    holders = materialize(scanned.where(F.size("entities") > 0).select("key").distinct())
+    groups = materialize(copy_groups(documents, holders))
+    group = F.coalesce("group", "key").alias("group")
+    n = float(scanned.agg(F.count_distinct("key")).first()[0] - groups.count())
+    owned = materialize(
+        scanned.select("key", F.explode("entities").alias("entity")).distinct()
+        .join(groups, "key", "left").select("entity", group).distinct()
     )
-    entities = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("f_entity"))
-    n = float(scanned.agg(F.count_distinct("text_key")).first()[0])
+    entities = owned.groupBy("entity").agg(F.count("*").alias("f_entity"))
+    near = scanned.select("key", F.explode("near").alias("n")).select("key", "n.entity", "n.term").distinct()
+    near = materialize(near.join(groups, "key", "left").select("entity", "term", group).distinct())
+    near_groups = near.select("term", "group").distinct().groupBy("term").agg(F.count("*").alias("f_near"))
+    score = lambda c, f: F.log2(F.lit(n) * lower_bound(c, f, z) / F.col("f_entity"))
     information = F.log2(F.lit(n) / F.col("f_entity"))
-    # f(t) is at least the number of texts that hold t near some entity; what fails with that cannot disclose
-    near_texts = near.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("f_near"))
-    most = F.log2(F.lit(n) * F.col("together") / (F.col("f_near") * F.col("f_entity")))
+    # f(t) is at least f_near and c(t, e) at most f(e): what fails with the best that both allow cannot disclose
+    best = score(F.col("f_entity"), F.greatest("f_near", "f_entity"))
     pairs = materialize(
-        counted.join(entities, "entity").join(near_texts, "term").where(most >= threshold * information).drop("f_near")
-    )
-    # Each text's distinct words, kept where they are a candidate; copies of a text share its key. Spark sends the
-    # candidates to all tasks if their stored size is small, and shuffles both sides else.
-    folded = F.translate(F.col("text"), string.ascii_uppercase, string.ascii_lowercase)
-    word = F.split(F.regexp_replace(folded, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), " ")
-    texts = documents.select(F.col("text").cast("string"))
-    found = texts.select(F.xxhash64("text").alias("key"), F.explode(F.array_distinct(word)).alias("term"))
-    terms = (
-        found.join(pairs.select("term").distinct(), "term").distinct()
-        .groupBy("term").agg(F.count("*").alias("f_term"))
+        near.select("entity", "term").distinct().join(entities, "entity").join(near_groups, "term")
+        .where(best >= threshold * information).drop("f_near")
+    )
+    held = words_held(documents, materialize(pairs.select("term").distinct()))
+    held = materialize(held.join(groups, "key", "left").select("term", group).distinct())
+    terms = held.groupBy("term").agg(F.count("*").alias("f_term"))
+    best = score(F.least("f_entity", "f_term"), F.col("f_term"))
+    pairs = materialize(pairs.join(terms, "term").where(best >= threshold * information))
+    # f(t) is no more than some f(e) here, so that the groups of t are the short way to those that hold both
+    together = (
+        pairs.select("entity", "term").join(held, "term").join(owned, ["entity", "group"], "left_semi")
+        .groupBy("entity", "term").agg(F.count("*").alias("together"))
     )
-    pmi = F.log2(F.lit(n) * F.col("together") / (F.col("f_term") * F.col("f_entity")))
-    scored = pairs.join(terms, "term").select("entity", "term", pmi.alias("pmi"), information.alias("information"))
+    scored = pairs.join(together, ["entity", "term"]).select(
+        "entity", "term", score(F.col("together"), F.col("f_term")).alias("pmi"), information.alias("information")
+    )
     return scored.where((F.col("information") > 0) & (F.col("pmi") >= threshold * F.col("information")))
 
 
 def find_personal_data(
-    documents: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT
+    documents: DataFrame, threshold: float = THRESHOLD, z: float = Z
 ) -> DataFrame:
     """doc_id, text_key, base, terms for each row: base and terms are arrays of (start, end, kind)."""
     scanned = materialize(scan(documents))
-    pairs = materialize(disclosing_pairs(documents, scanned, threshold, support).select("entity", "term"))
+    pairs = materialize(disclosing_pairs(documents, scanned, threshold, z).select("entity", "term"))
     near = scanned.select("text_key", F.explode("near").alias("n")).select(
         "text_key", "n.entity", "n.term", F.struct("n.start", "n.end", F.lit("term").alias("kind")).alias("span")
     )

@@ -89,6 +89,19 @@ def test_personal_data_and_terms(spark, docs, empty):
     assert pii.sanitise(docs).columns == docs.columns
 
 
+def test_terms_of_a_fixed_block_and_of_rare_entities(spark):
+    block = "Zork Plume, zp@y.zz"
+    rows = [(i, f"{some_text(40, 500 + i)} {block} {some_text(40, 900 + i)}") for i in range(12)]
+    copied = some_text(60, 77) + " quimby kk@y.zz"  # near copies of one text: a group that counts once
+    rows += [(50 + i, f"{copied} {i}") for i in range(6)] + [(60, some_text(40, 61) + " twice tw@y.zz"), (61, "twice tw@y.zz " + some_text(40, 62))]
+    rows += [(i, some_text(30, i)) for i in range(1000, 2200)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    scanned = pii.materialize(pii.scan(texts))
+    found = {(r.entity, r.term) for r in pii.disclosing_pairs(texts, scanned).collect()}
+    assert {("email:zp@y.zz", "zork"), ("email:zp@y.zz", "plume"), ("email:tw@y.zz", "twice")} <= found
+    assert not any(e == "email:kk@y.zz" for e, _ in found)
+
+
 def test_secrets_equal_the_expressions(docs, empty):
     body = "A" * 30
     token = "ghp_" + body + secrets.registry_checksum(body)
