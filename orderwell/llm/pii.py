@@ -12,14 +12,14 @@ A term discloses e if PMI(t, e) >= threshold * IC(e), so that seeing t alone all
 rare: the bound (Wilson's, one-sided, Z standard deviations) is low where few groups hold t, and what it must reach is low
 where e is rare. A group of copies is a class of near duplicates among the texts that hold an entity; of the other texts
 only exact copies are one.
-Disclosing terms near their entity become spans of kind `term`. Sanitising replaces base spans by their kind, generalises
+Every occurrence of a disclosing term outside base spans, in any text,
+becomes a span of kind `term`. Sanitising replaces base spans by their kind, generalises
 terms with digits to the pattern of their digits and letters, and removes other terms.
 
 Base kinds: leftmost, not overlapping within a kind; a match that fails its test is dropped and the search goes on after
 it. Every scan is linear in the text. Spans are code points, end exclusive.
 
-Rows: one per input row; repeated rows give repeated results. Null and empty texts have no spans. Rows with a null id
-keep their base spans and get no `term` spans unless they have an id to be found by.
+Rows: one per input row, also for a null id; repeated rows give repeated results. Null and empty texts have no spans.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ WINDOW = 8
 THRESHOLD = 0.9
 #: Standard deviations below the observed share: one-sided confidence of 90 %.
 Z = 1.2816
+#: One in so many texts is looked through first, for a lower bound of f(t) that rules common words out.
+LOOK = 16
 
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -207,6 +209,11 @@ def disclosing_pairs(
     documents: DataFrame, scanned: DataFrame, threshold: float = THRESHOLD, z: float = Z
 ) -> DataFrame:
     """entity, term, pmi, information of the pairs whose term discloses the entity. `scanned` is a stored scan()."""
+    return _judged(documents, scanned, threshold, z)[0]
+
+
+def _judged(documents: DataFrame, scanned: DataFrame, threshold: float, z: float) -> tuple[DataFrame, DataFrame]:
+    """The disclosing pairs, and key, term of all different texts for a set of terms that has theirs."""
     holders = materialize(scanned.where(F.size("entities") > 0).select("key").distinct())
     groups = materialize(copy_groups(documents, holders))
     group = F.coalesce("group", "key").alias("group")
@@ -227,20 +234,66 @@ def disclosing_pairs(
         near.select("entity", "term").distinct().join(entities, "entity").join(near_groups, "term")
         .where(best >= threshold * information).drop("f_near")
     )
+    # what a part of the texts holds is a lower bound too: common words go before all their texts are listed
+    part = documents.where(F.pmod(short_key(F.col("text")), F.lit(LOOK)) == 0)
+    seen = words_held(part, materialize(pairs.select("term").distinct())).join(groups, "key", "left")
+    seen = seen.select("term", group).distinct().groupBy("term").agg(F.count("*").alias("f_seen"))
+    best = score(F.col("f_entity"), F.greatest("f_seen", "f_entity"))
+    pairs = materialize(
+        pairs.join(seen, "term", "left").where(F.col("f_seen").isNull() | (best >= threshold * information)).drop("f_seen")
+    )
     held = words_held(documents, materialize(pairs.select("term").distinct()))
-    held = materialize(held.join(groups, "key", "left").select("term", group).distinct())
-    terms = held.groupBy("term").agg(F.count("*").alias("f_term"))
+    held = materialize(held.join(groups, "key", "left").select("key", "term", group))
+    by_group = held.select("term", "group").distinct()
+    terms = by_group.groupBy("term").agg(F.count("*").alias("f_term"))
     best = score(F.least("f_entity", "f_term"), F.col("f_term"))
     pairs = materialize(pairs.join(terms, "term").where(best >= threshold * information))
     # f(t) is no more than some f(e) here, so that the groups of t are the short way to those that hold both
     together = (
-        pairs.select("entity", "term").join(held, "term").join(owned, ["entity", "group"], "left_semi")
+        pairs.select("entity", "term").join(by_group, "term").join(owned, ["entity", "group"], "left_semi")
         .groupBy("entity", "term").agg(F.count("*").alias("together"))
     )
     scored = pairs.join(together, ["entity", "term"]).select(
         "entity", "term", score(F.col("together"), F.col("f_term")).alias("pmi"), information.alias("information")
     )
-    return scored.where((F.col("information") > 0) & (F.col("pmi") >= threshold * F.col("information")))
+    disclosing = (F.col("information") > 0) & (F.col("pmi") >= threshold * F.col("information"))
+    return scored.where(disclosing), held.select("key", "term")
+
+
+def term_spans(text: str, terms: set[str]) -> list[tuple[int, int]]:
+    """(start, end) of every word among the terms that does not meet a base span."""
+    taken = sorted((s, e) for s, e, _ in base_spans(text))
+    out, at, past = [], 0, 0
+    for m in WORD.finditer(text):
+        while at < len(taken) and taken[at][0] < m.end():
+            past = max(past, taken[at][1])
+            at += 1
+        if past <= m.start() and m[0].encode().translate(FOLD).decode() in terms:
+            out.append((m.start(), m.end()))
+    return out
+
+
+def all_term_spans(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """text_key, terms: the spans of all occurrences, for the texts of wanted(key, words)."""
+
+    def setup():
+        def work(batch: pa.RecordBatch) -> dict:
+            texts = batch.column("text").to_pylist()
+            spans = [term_spans(t, set(w)) for t, w in zip(texts, batch.column("words").to_pylist(), strict=True)]
+            return {
+                "text_key": [xxhash.xxh3_128_digest(t) for t in texts],
+                "terms": [[{"start": a, "end": b, "kind": "term"} for a, b in s] for s in spans],
+            }
+
+        return work
+
+    texts = documents.select(short_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
+    found = arrow_map(
+        texts.where("text != ''").join(wanted, "key"), setup,
+        "text_key binary, terms array<struct<start: int, end: int, kind: string>>",
+    )
+    # one list per text, not per row: its copies find the same list
+    return found.where(F.size("terms") > 0).dropDuplicates(["text_key"])
 
 
 def find_personal_data(
@@ -248,15 +301,10 @@ def find_personal_data(
 ) -> DataFrame:
     """doc_id, text_key, base, terms for each row: base and terms are arrays of (start, end, kind)."""
     scanned = materialize(scan(documents))
-    pairs = materialize(disclosing_pairs(documents, scanned, threshold, z).select("entity", "term"))
-    near = scanned.select("text_key", F.explode("near").alias("n")).select(
-        "text_key", "n.entity", "n.term", F.struct("n.start", "n.end", F.lit("term").alias("kind")).alias("span")
-    )
-    # one list per text, not per row: its copies find the same list
-    terms = (
-        near.join(pairs, ["entity", "term"], "left_semi").select("text_key", "span").distinct()
-        .groupBy("text_key").agg(F.array_sort(F.collect_list("span")).alias("terms"))
-    )
+    pairs, held = _judged(documents, scanned, threshold, z)
+    disclosing = materialize(pairs.select("term").distinct())
+    wanted = held.join(disclosing, "term").groupBy("key").agg(F.collect_list("term").alias("words"))
+    terms = all_term_spans(documents, materialize(wanted))
     none = F.array().cast("array<struct<start: int, end: int, kind: string>>")
     bare = scanned.select("doc_id", "text_key", "base")
     return bare.join(terms, "text_key", "left").withColumn("terms", F.coalesce("terms", none))

@@ -102,6 +102,16 @@ def test_terms_of_a_fixed_block_and_of_rare_entities(spark):
     assert not any(e == "email:kk@y.zz" for e, _ in found)
 
 
+def test_disclosing_terms_are_found_wherever_they_stand(spark):
+    told = [(i, f"{some_text(40, 500 + i)} zork zp@y.zz {some_text(40, 900 + i)} Zork") for i in range(40)]
+    told += [(50, some_text(30, 50) + " ZORK. zork@a.bc"), (None, "zork " + some_text(30, 51))]
+    texts = told + [(i, some_text(30, i)) for i in range(1000, 1200)]
+    rows = pii.find_personal_data(spark.createDataFrame(texts, "doc_id long, text string")).where("size(terms) > 0").collect()
+    got = {r.doc_id: {dict(told)[r.doc_id][s.start : s.end].lower() for s in r.terms} for r in rows}
+    assert set(got) == {*range(40), 50, None} and all(words == {"zork"} for words in got.values())
+    assert {r.doc_id: len(r.terms) for r in rows} == {**{i: 2 for i in range(40)}, 50: 1, None: 1}
+
+
 def test_secrets_equal_the_expressions(docs, empty):
     body = "A" * 30
     token = "ghp_" + body + secrets.registry_checksum(body)
