@@ -4,7 +4,9 @@ Method. A text is the set of its runs of five words, weighted 1 + ln(times it oc
 none, is one shingle. For each shingle a Poisson process of rate `weight` is drawn from its hash; every arrival falls into
 a random register, and a register keeps the shingle that arrives first. A process stops as soon as its next arrival is
 later than all registers, so long texts draw little more than one arrival per shingle. Two texts agree in a register with
-the probability Jaccard similarity of their weights. Registers are banded; texts that share a band are candidates.
+the probability Jaccard similarity of their weights. Registers are banded; texts that share a band are candidates. A text
+with repeated shingles has a second signature, with all weights 1, whose bands follow plain Jaccard similarity; for other
+texts both signatures are equal.
 
 Texts with equal word sequences are one representative before banding. In a bucket (texts that share a band) not all pairs
 are formed: the text that has most company in all its buckets is the pivot, and all are verified against it. What is not
@@ -97,6 +99,16 @@ def bands_of(signature: np.ndarray) -> np.ndarray:
     return mix(out).view(np.int64)
 
 
+def all_bands(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[list[int]]:
+    """The different bands of each set: of its signature, and of the one without weights where these matter."""
+    out = bands_of(signatures(sets)).tolist()
+    repeated = [i for i, (_, counts) in enumerate(sets) if (counts > 1).any()]
+    plain = bands_of(signatures([(sets[i][0], np.ones_like(sets[i][1])) for i in repeated])).tolist()
+    for i, bands in zip(repeated, plain, strict=True):
+        out[i] = sorted({*out[i], *bands})
+    return out
+
+
 def plain_distance(a: np.ndarray, b: np.ndarray) -> float:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 1 - common / (len(a) + len(b) - common)
@@ -124,7 +136,8 @@ def weighted_distance(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarr
 
 
 def signed(documents: DataFrame) -> DataFrame:
-    """doc_id, key (of the word sequence, or of a text without words), bands (null without words)."""
+    """doc_id, text_key (of the text as it is), key (of the word sequence, or of a text without words), bands (null
+    without words)."""
 
     def setup():
         hashes = WordHash()
@@ -135,15 +148,19 @@ def signed(documents: DataFrame) -> DataFrame:
             keys = [sequence_key(t, ws) for t, ws in zip(texts, listed, strict=True)]
             # a slice may hold many copies; each word sequence is drawn once
             place = {k: i for i, k in enumerate(keys) if listed[i]}
-            found = bands_of(signatures([shingles(listed[i], hashes) for i in place.values()]))
-            row = {k: n for n, k in enumerate(place)}
-            bands = [found[row[k]].tolist() if k in row else None for k in keys]
-            return {"doc_id": batch.column("doc_id"), "key": keys, "bands": bands}
+            found = all_bands([shingles(listed[i], hashes) for i in place.values()])
+            row = dict(zip(place, found, strict=True))
+            bands = [row.get(k) for k in keys]
+            return {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "key": keys, "bands": bands}
 
         return work
 
-    docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return arrow_map(docs, setup, "doc_id long, key binary, bands array<long>")
+    docs = documents.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), F.col("text").cast("string"))
+    return arrow_map(docs, setup, "doc_id long, text_key long, key binary, bands array<long>")
+
+
+def text_key() -> F.Column:
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def sequence_key(text: str | None, listed: list[bytes]) -> bytes:
@@ -152,7 +169,8 @@ def sequence_key(text: str | None, listed: list[bytes]) -> bytes:
 
 
 def shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, items (sorted hashes), counts of the wanted representatives (rep, doc_id: the key and a row that has it)."""
+    """rep, items (sorted hashes), counts of the wanted representatives (rep, row: the key, and the id and text key of a
+    row that has it; the id, which may be null, only keeps copies of the text away)."""
 
     def setup():
         hashes = WordHash()
@@ -169,12 +187,15 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
         return work
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), F.col("text").cast("string").alias("text")
+    )
+    rows = wanted.select(F.col("row.doc_id").alias("row_id"), F.col("row.text_key").alias("row_key")).distinct()
+    same = (texts["text_key"] == rows["row_key"]) & texts["doc_id"].eqNullSafe(rows["row_id"])
     found = arrow_map(
-        texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), setup,
-        "rep binary, items binary, counts binary",
-    )
-    # an id that repeats brings other rows along: keep wanted keys, each once
+        texts.join(rows, same, "left_semi").select("text"), setup, "rep binary, items binary, counts binary"
+    )
+    # repeated rows come along: each key once
     return found.join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
 
 
@@ -216,7 +237,7 @@ def similar(similarity: float) -> F.Column:
 def representative_classes(
     documents: DataFrame, reps: DataFrame, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """rep, component for the representatives (rep, doc_id, bands) that are similar to another one."""
+    """rep, component for the representatives (rep, row, bands) that are similar to another one."""
     banded = reps.where(F.col("bands").isNotNull()).select("rep", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     shared = materialize(banded.join(sizes, "band"))
@@ -224,7 +245,7 @@ def representative_classes(
     company = shared.groupBy("rep").agg(F.sum("size").alias("company"))
     pivot = shared.join(company, "rep").groupBy("band").agg(F.max_by("rep", F.struct("company", "rep")).alias("pivot"))
     placed = materialize(shared.join(pivot, "band").select("band", "size", "rep", "pivot"))
-    sets = materialize(shingle_sets(documents, reps.join(placed, "rep", "left_semi").select("rep", "doc_id")))
+    sets = materialize(shingle_sets(documents, reps.join(placed, "rep", "left_semi").select("rep", "row")))
     first = placed.where("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     known = materialize(verify(first, sets))
     links = known.where(similar(similarity)).select("a", "b")
@@ -333,7 +354,9 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
     """doc_id, key, class_id, n_texts for each row: key tells word sequences apart, class_id is the least id of a class."""
     rows = materialize(signed(documents))
     reps = materialize(
-        rows.groupBy(F.col("key").alias("rep")).agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+        rows.groupBy(F.col("key").alias("rep")).agg(
+            F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("bands").alias("bands")
+        )
     )
     components = representative_classes(documents, reps, similarity)
     found = reps.select("rep", "doc_id").join(components, "rep", "left").withColumn(

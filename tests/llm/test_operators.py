@@ -203,6 +203,21 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty):
     assert near_duplicates.near_duplicates(empty).count() == 0
 
 
+def test_repeated_blocks_and_null_ids_are_linked(spark):
+    rows = []
+    for k in range(12):  # 100 shingles, and the same with a block of 25 words repeated; plain Jaccard similarity 0.8 or more
+        base, block = some_text(104, 3000 + k), some_text(20, 4000 + k)
+        ids = (10 * k, 10 * k + 1) if k < 10 else (None, 10 * k + 1)
+        rows += [(ids[0], base), (ids[1], base + (" " + block) * 50)]
+    rows += [(None, some_text(60, 9) + " one"), (900, some_text(60, 9) + " two"), (901, some_text(40, 10))]
+    sets = [near_duplicates.shingles(near_duplicates.words(t), near_duplicates.WordHash()) for _, t in rows]
+    for a, b in zip(sets[:24:2], sets[1:24:2], strict=True):
+        assert near_duplicates.plain_distance(a[0], b[0]) <= 0.2 + 1e-9
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [10 * (i // 2) + (i // 2 >= 10) for i in range(24)] + [900, 900, 901]
+    assert sorted((r.class_id, r.n_texts) for r in got) == sorted((c, want.count(c)) for c in want)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 40), (7, 7), (None, 1)], "a long, b long")
     got = {r.node: r.component for r in components.connected_components(edges).collect()}
