@@ -8,13 +8,17 @@ the group has an allow rule (an explicit allow takes precedence), else blocked i
 A rule names a host and a beginning of a path; it fits that host and its subdomains, and the longest rule wins.
 
 Rows: one per page, also for repeated rows. A null url, or one without ://, has empty host and path, fits no rule and has
-no edges. Null html has no links.
+no edges. Null html has no links. References are resolved as RFC 3986 says, against the page's `base` if it has one, else
+its url; `canonical` may be any of a link's rel tokens.
 """
 
 from __future__ import annotations
 
+import html as markup
+import re
 import string
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,35 +64,85 @@ def rule_of(host: F.Column, path: F.Column, rules=RULES) -> F.Column:
     return out
 
 
-LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-GOES_TO = r"(?is)\burl\s*=\s*['\"]?([^'\"\s>]+)"
+#: A whole tag; quoted values may hold a >.
+TAG = r"(?is)<(?:link|meta)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+BASE = r"(?is)<base\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+GOES_TO = re.compile(r"\s*[\d.]*\s*[;,]?\s*(?:url\s*=\s*)?(?:\"([^\"]*)\"?|'([^']*)'?|(.*))", re.IGNORECASE | re.DOTALL)
+#: RFC 3986, appendix B: scheme, authority, path, query; a fragment is left out.
+PARTS = re.compile(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?", re.DOTALL)
+
+
+def without_dots(path: str) -> str:
+    """RFC 3986, 5.2.4."""
+    out: list[str] = []
+    parts = path.split("/")
+    for part in parts:
+        if part == "..":
+            if len(out) > 1 or (out and out[0]):
+                out.pop()
+        elif part != ".":
+            out.append(part)
+    if parts[-1] in (".", ".."):
+        out.append("")
+    return "/".join(out)
+
+
+def resolved(target: str | None, base: str | None) -> str | None:
+    """The url a reference names (RFC 3986, 5.2.2), without fragment; null if it has no scheme:// in the end."""
+    if target is None or base is None:
+        return None
+    scheme, host, path, query = PARTS.match(target.strip()).groups()
+    if scheme is None:
+        scheme, base_host, base_path, base_query = PARTS.match(base.strip()).groups()
+        if host is None:
+            host = base_host
+            if not path:
+                path, query = base_path, base_query if query is None else query
+            elif not path.startswith("/"):
+                path = base_path[: base_path.rfind("/") + 1] + path if base_path else "/" + path
+    if scheme is None or host is None:
+        return None
+    return f"{scheme}://{host}{without_dots(path)}" + ("" if query is None else f"?{query}")
+
+
+def attributes(tag: str) -> dict[str, str]:
+    """The values of a tag by lower-cased name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, a, b, c in ATTRIBUTE.findall(tag[tag.find("<") + 1 :]):
+        out.setdefault(name.lower(), markup.unescape(a or b or c))
+    return out
 
 
-def resolved(target: F.Column, url: F.Column) -> F.Column:
-    """An absolute url: targets that begin with // or / take scheme or host from the page; other relative ones are null."""
-    target = F.trim(target)
-    scheme = F.regexp_extract(url, r"^([^:/?#]+)://", 1)
-    base = F.regexp_extract(url, r"^([^:/?#]+://[^/?#]*)", 1)
-    return (
-        F.when(target.contains("://"), target)
-        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(base, target))
-    )
+def target_of(tag: str) -> str | None:
+    """What a canonical link or a refresh names."""
+    at = attributes(tag)
+    if tag[:5].lower() == "<link":
+        return at.get("href") if "canonical" in at.get("rel", "").lower().split() else None
+    if at.get("http-equiv", "").strip().lower() != "refresh":
+        return None
+    return next((x.strip() for x in GOES_TO.match(at.get("content", "")).groups() if x and x.strip()), None)
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """a, b: nodes of the pages and of what they name as canonical or refresh to at once."""
+
+    @F.pandas_udf("string")
+    def named(tag: pd.Series, base: pd.Series, url: pd.Series) -> pd.Series:
+        out = []
+        for t, b, u in zip(tag, base, url, strict=True):
+            own = resolved(attributes(b).get("href") if b else None, u) or u
+            out.append(resolved(target_of(t), own))
+        return pd.Series(out, dtype=object)
+
     html = F.col("html").cast("string")
-    href = F.concat(*[F.regexp_extract("link", HREF, i) for i in (1, 2, 3)])
     tags = pages.where(html.ilike("%canonical%") | html.ilike("%refresh%")).select(
         F.col("url").cast("string").alias("url"),
-        F.explode(F.concat(F.regexp_extract_all(html, F.lit(LINK), 0), F.regexp_extract_all(html, F.lit(REFRESH), 0))).alias("link"),
+        F.regexp_extract(html, BASE, 0).alias("base"),
+        F.explode(F.regexp_extract_all(html, F.lit(TAG), 0)).alias("tag"),
     )
-    target = F.when(F.lower("link").startswith("<link"), href).otherwise(F.regexp_extract("link", GOES_TO, 1))
-    target = F.replace(target, F.lit("&amp;"), F.lit("&"))
-    return tags.select(node_of(F.col("url")).alias("a"), node_of(resolved(target, F.col("url"))).alias("b"))
+    tags = tags.where(F.col("tag").ilike("%canonical%") | F.col("tag").ilike("%refresh%"))
+    return tags.select(node_of(F.col("url")).alias("a"), node_of(named("tag", "base", "url")).alias("b"))
 
 
 def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) -> DataFrame:

@@ -252,6 +252,26 @@ def test_urls(spark):
     )
 
 
+def test_references_are_resolved(spark):
+    base = "http://a/b/c/d;p?q"  # the examples of RFC 3986, 5.4
+    for target, want in [
+        ("g", "http://a/b/c/g"), ("./g", "http://a/b/c/g"), ("g/", "http://a/b/c/g/"), ("/g", "http://a/g"), ("//g", "http://g"),
+        ("?y", "http://a/b/c/d;p?y"), ("g?y", "http://a/b/c/g?y"), ("", "http://a/b/c/d;p?q"), (".", "http://a/b/c/"),
+        ("..", "http://a/b/"), ("../g", "http://a/b/g"), ("../../../g", "http://a/g"), ("/./g", "http://a/g"), ("g:h", None),
+        ("/go?to=https://b.net/es/1", "http://a/go?to=https://b.net/es/1"), ("mailto:x?y=http://b.net/", None),
+    ]:
+        assert url_filter.resolved(target, base) == want, target
+    link, fresh = '<link rel="%s" href="%s">', "<meta http-equiv='refresh' content=\"0; %s\">"
+    rows = [
+        (1, "http://s.net/it/a", link % ("shortlink Canonical", "../es/1")), (2, "http://s.net/it/b", fresh % "url='../es/2'"),
+        (3, "http://s.net/es/3?x", ""), (4, "http://s.net/it/p", link % ("canonical", "?id=3")), (5, "http://s.net/it/p?id=3", fresh % "URL=/es/4"),
+        (6, "http://c.org/p", link % ("canonical", "/go?to=https://b.net/es/1")), (7, "http://c.org/q", '<base href="http://b.net/es/">' + link % ("canonical", "7")),
+        (8, "http://c.org/r", '<link data-href="http://b.net/es/8" rel=canonical href=r2>'), (9, "http://c.org/s", link % ("canonicals", "http://b.net/es/9")),
+    ]
+    got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i for i, v in got.items() if v == "block"} == {1, 2, 3, 4, 5, 7}
+
+
 def test_html(spark):
     page = "<html><head><title>T</title><script>x</p></script></head><body><nav>Menu</nav><div>Site line</div>{}<div class='ad'>Buy</div>"
     rows = [
