@@ -6,8 +6,9 @@ subsequence of the lines of a pair is what the site repeats: menus, notices, foo
 
 What the differencing may not decide: lines inside `article` or `main` are kept even if a neighbour repeats them, because a
 site may hold near copies of an article; and elements that name themselves as menu, header, footer, sidebar, notice,
-advert, form, script, style or comments are left out even where no neighbour repeats them. If a page has an `article` or
-`main`, only what lies inside belongs to the text.
+advert, form, script, style or comments are left out even where no neighbour repeats them. Names are whole tokens of class
+or id, of containers only; inside an `article` or `main` only names of adverts and comments count. If a page has an
+`article` or `main` with text, outside such elements, only what lies inside belongs to the text.
 
 Rows: one per page, also for repeated rows. Null and empty html give an empty text. Pages without a host, and a page alone
 on its host, are paired with none. Null ids stay null; their pages are paired as others.
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,12 +43,20 @@ LEFT_OUT = frozenset(
 )
 CONTENT = frozenset(("article", "main"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in a class, id or role that name a part which is not the article.
+#: Elements whose class or id may name a part of the page.
+CONTAINERS = frozenset("div section ul ol dl table tbody tr td center details figure".split())
+#: Class and id tokens that name a part which is not the article, alone or with a word of place or shape.
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo|nav|navigation|navbar|menu|breadcrumbs?"
+    r"(?:(?:site|page|global|main|top|bottom|left|right|primary|secondary|mobile|cookie|social)[_-])?"
+    r"(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo|nav|navigation|navbar|menu|breadcrumbs?"
     r"|header|masthead|footer|sidebar|aside|widget|related|recommended|share|sharing|social|cookies?|consent|notices?|popup|modal"
     r"|newsletter|subscribe|signup|login|search|form|comments?|disqus|replies|respond|pagination|pager|toolbar|skip)"
-    r"(?:$|[\s_-]|\d)",
+    r"(?:[_-]?(?:\d+|wrapper|container|box|bar|list|area|block|section|inner|top|bottom|left|right|links?))?",
+    re.IGNORECASE,
+)
+#: What counts inside an article as well.
+NAMED_INSIDE = re.compile(
+    r"(?:ads?|adverts?|advertisement|advertising|sponsored|comments|disqus)(?:[_-]?(?:\d+|wrapper|container|box|list|area|block|section))?",
     re.IGNORECASE,
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog".split())
@@ -59,7 +69,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 
 
-def _is_left_out(name: str, attributes: str) -> bool:
+def _is_left_out(name: str, attributes: str, in_content: bool) -> bool:
     if name in LEFT_OUT:
         return True
     if not attributes.strip() or name in ("html", "body", *CONTENT):
@@ -69,8 +79,12 @@ def _is_left_out(name: str, attributes: str) -> bool:
         key = key.lower()
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return True
-        if (key == "role" and value.lower() in ROLES) or (key in ("class", "id") and NAMED.search(value)):
+        if key == "role" and value.lower() in ROLES:
             return True
+        if key in ("class", "id") and name in CONTAINERS:
+            names = NAMED_INSIDE if in_content else NAMED
+            if any(map(names.fullmatch, value.split())):
+                return True
     return False
 
 
@@ -116,7 +130,8 @@ def lines_of(page: str | None) -> tuple[list[str], list[bool], list[bool]]:
                 _, content, gone = stack.pop()
                 in_content -= content
                 left_out -= gone
-            content, gone = name in CONTENT, _is_left_out(name, m[4])
+            # an article in a part that is left out is not the page's
+            content, gone = name in CONTENT and not left_out, _is_left_out(name, m[4], in_content > 0)
             stack.append((name, content, gone))
             in_content += content
             left_out += gone
@@ -203,56 +218,64 @@ def _pairs(rows: Iterator[tuple[str, list[int]]], shared: list[tuple[str, list[i
     return last
 
 
-SHARED = "host string, lines array<long>, shared array<long>, edge boolean, path string, owner long"
+#: edge: null, or 2 * partition for the first page of a partition, 2 * partition + 1 for its last.
+SHARED = "host string, lines array<long>, shared array<long>, edge long, owner long"
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
     """owner, shared: for each different sequence of lines of a host (its key), those that a neighbour also has.
 
     The order of paths is made by range partitioning, which splits a large host. The first and the last page of each
-    partition are handed to a second, small step, which pairs them across the borders.
+    partition are handed to a second, small step, which pairs the last of one with the first of the next.
     """
     different = page_lines(pages).groupBy("host", "lines").agg(F.min("path").alias("path"))
     ordered = different.repartitionByRange("host", "path", "lines").sortWithinPartitions("host", "path", "lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends: list[tuple[str, str, list[int]]] = []
+        part = TaskContext.get().partitionId()
         last = None
         for batch in batches:
             rows = list(
-                zip(*(batch.column(c).to_pylist() for c in ("host", "path", "lines")), strict=True)
+                zip(*(batch.column(c).to_pylist() for c in ("host", "lines")), strict=True)
             )
             if not rows:
                 continue
             if last is None:
-                ends.append(rows[0])
+                yield _shared_batch([(*rows[0], [], 2 * part)])
             shared: list = []
-            _pairs(((h, x) for h, _, x in ([last] if last else []) + rows), shared)
+            _pairs(iter(([last] if last else []) + rows), shared)
             last = rows[-1]
-            yield _shared_batch([(*s, False, None) for s in shared])
+            yield _shared_batch([(*s, None) for s in shared])
         if last is not None:
-            yield _shared_batch([(h, x, [], True, p) for h, p, x in [*ends, last]])
+            yield _shared_batch([(*last, [], 2 * part + 1)])
 
     # the second step reads two rows per partition
     found = materialize(ordered.mapInArrow(run, SHARED))
-    borders = found.where("edge").select("host", "path", "lines").distinct().repartition(1)
+    borders = found.where("edge is not null").select("edge", "host", "lines").repartition(1)
 
     def join_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("host", "path", "lines")), strict=True)]
-        shared: list = []
-        _pairs(((h, x) for h, _, x in sorted(rows)), shared)
-        yield _shared_batch([(*s, False, None) for s in shared])
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("edge", "host", "lines")), strict=True)]
+        yield _shared_batch([(*s, None) for s in border_pairs(rows)])
 
     across = borders.mapInArrow(join_borders, SHARED)
-    pairs = found.where("not edge").unionByName(across).select("owner", "shared")
+    pairs = found.where("edge is null").unionByName(across).select("owner", "shared")
     return pairs.groupBy("owner").agg(F.array_distinct(F.flatten(F.collect_list("shared"))).alias("shared"))
 
 
+def border_pairs(rows: list[tuple[int, str, list[int]]]) -> list[tuple[str, list[int], list[int]]]:
+    """What the last page of each partition shares with the first of the next; rows of (edge, host, lines)."""
+    shared: list = []
+    rows = sorted(rows)  # first and last of a partition, then of the next
+    for (_, *last), (_, *first) in zip(rows[1::2], rows[2::2]):
+        _pairs(iter([tuple(last), tuple(first)]), shared)
+    return shared
+
+
 def _shared_batch(rows: list[tuple]) -> pa.RecordBatch:
     rows = [(*r, lines_key(r[0], r[1])) for r in rows]
-    columns = list(zip(*rows, strict=True)) or [()] * 6
-    kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.bool_(), pa.string(), pa.int64())
-    names = ["host", "lines", "shared", "edge", "path", "owner"]
+    columns = list(zip(*rows, strict=True)) or [()] * 5
+    kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64())
+    names = ["host", "lines", "shared", "edge", "owner"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
@@ -269,7 +292,7 @@ def page_parts(pages: DataFrame) -> DataFrame:
                 keys, parts = [], []
                 for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
                     lines, inside, out = lines_of(page)
-                    only = any(inside)
+                    only = any(safe and not gone for safe, gone in zip(inside, out, strict=True))
                     hashed = [None if safe else line_hash(x) for x, safe in zip(lines, inside, strict=True)]
                     # a page whose text is protected needs no list; its key is its own and meets none
                     keys.append(lines_key(host, [h for h in hashed if h is not None]) if host and not only else None)

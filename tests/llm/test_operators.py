@@ -294,6 +294,20 @@ def test_html(spark):
         assert len(pairs) == table[9, 8] and all(a[i] == b[j] for i, j in pairs) and pairs == sorted(pairs)
 
 
+def test_main_text_of_ordinary_pages_stays(spark):
+    rows = [
+        (1, "http://a/1", "<div>Own text</div><aside><article>teaser</article></aside><footer><article>more</article></footer>"),
+        (2, "http://b/1", '<article><h2 id="related-work">Related</h2><section id="search-methods">Ways</section>'
+         '<p class="form-factor">Form</p><div class="search">Found</div><div class="ad">Buy</div><div class="comments">Hm</div></article>'),
+        (3, "http://c/1", '<div class="site-header">Top</div><p class="form">Words</p><div class="comments"><article>x</article></div>'),
+    ]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {1: "Own text", 2: "Related\n\nWays\n\nForm\n\nFound", 3: "Words"}
+    # first and last page of a partition are no neighbours; the last of one and the first of the next are
+    pairs = html_text.border_pairs([(0, "h", [1, 9]), (1, "h", [2, 9]), (2, "h", [2, 3]), (3, "h", [2, 3])])
+    assert pairs == [("h", [2, 9], [2]), ("h", [2, 3], [2])]
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     rows = [(i, some_text(40, 1000 + i), "en", "s", 0) for i in range(40)] + [(90, some_text(40, 1000), "en", "s", 0)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
