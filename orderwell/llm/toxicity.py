@@ -6,8 +6,9 @@ its own, which falls with the gradients it has seen, and an L1 term that keeps i
 Features are made on all tasks; the sequence of updates runs in one. What is left after L1 is some hundred weights (2 **
 BITS at most, 8 MB), which are broadcast for scoring.
 
-Bound: about `most` labelled rows at most are trained on (a part by hash of the id where there are more), so training does
-not grow with the corpus. Scoring covers every row and every whole text.
+Bound: `most` labelled ids at most are trained on (those of least hash where there are more), each with one text: of the
+texts of an id that of least hash. So the training task does not grow with the corpus, and copies do not reweight the
+training. Scoring covers every row and every whole text.
 
 Rows: one per document row, also for repeated rows. Null and empty texts get the score of a text without features. Null
 ids cannot be labelled; they are scored and counted as training rows (held_out is false). Labels that are null are left
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderwell.llm.common import arrow_map, bound_batches, mix, read, slices, words
+from orderwell.session import materialize
 
 BITS = 20
 EPOCHS = 3
@@ -137,29 +139,39 @@ def train(rows: list[np.ndarray], labels: list[int]) -> np.ndarray:
     return weight(z, n)
 
 
-def fit(documents: DataFrame, labels: DataFrame, most: int = MOST) -> np.ndarray:
-    """Weights by place, the last is the bias. labels(doc_id, toxic): rows to learn from."""
-    known = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
-    )
-    part = min(1.0, most / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(part * (1 << 30)))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def training_rows(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """doc_id, label, places: one row for each of the ids of chosen(doc_id, label) that has a text."""
+    hashed = texts.withColumn("text_key", F.xxhash64("text"))
+    # `chosen` holds two numbers for each of a bounded number of ids; so does the text picked for each id
+    picked = hashed.select("doc_id", "text_key").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    picked = materialize(picked.agg(F.min("text_key").alias("text_key")))
 
     def setup():
-        features = Features()
+        features, seen = Features(), set()
 
         def work(batch: pa.RecordBatch) -> dict:
-            sets = features.sets(batch.column("text").to_pylist())
-            return {"doc_id": batch.column("doc_id"), "label": batch.column("label"), "places": sets}
+            # a task makes the features of an id once, however many rows repeat it
+            ids, labels, texts = (batch.column(c).to_pylist() for c in ("doc_id", "label", "text"))
+            new = [i for i in range(len(ids)) if not (ids[i] in seen or seen.add(ids[i]))]
+            sets = features.sets([texts[i] for i in new]) if new else []
+            return {"doc_id": [ids[i] for i in new], "label": [labels[i] for i in new], "places": sets}
 
         return work
 
-    # `chosen` holds two numbers for each of about `most` ids: a bounded side
-    rows = arrow_map(
-        texts.join(F.broadcast(chosen), "doc_id"), setup, "doc_id long, label int, places array<int>", most=AT_ONCE
-    )
+    rows = hashed.join(F.broadcast(picked), ["doc_id", "text_key"]).select("doc_id", "label", "text")
+    rows = arrow_map(rows, setup, "doc_id long, label int, places array<int>", most=AT_ONCE)
+    return rows.dropDuplicates(["doc_id"])
+
+
+def fit(documents: DataFrame, labels: DataFrame, most: int = MOST) -> np.ndarray:
+    """Weights by place, the last is the bias. labels(doc_id, toxic): rows to learn from."""
+    known = (
+        labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
+    )
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = training_rows(texts, materialize(chosen))
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one array a batch, not one a text: what is let go returns to the system

@@ -167,6 +167,18 @@ def test_toxic_texts_are_learnt(spark, docs, empty):
     assert toxicity.reject_toxic(docs, labelled).columns == docs.columns
 
 
+def test_training_sees_an_id_once(spark):
+    rows = [(i % 7, some_text(20, i % 9)) for i in range(200)] + [(1, some_text(20, 1))] * 300 + [(None, "x"), (8, None), (9, "unlabelled")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    chosen = spark.createDataFrame([(i, i % 2) for i in (*range(7), 8)], "doc_id long, label int")
+    got = toxicity.training_rows(texts, chosen).collect()
+    assert sorted((r.doc_id, r.label) for r in got) == [(i, i % 2) for i in (*range(7), 8)]
+    labels = chosen.withColumnRenamed("label", "toxic")
+    once = texts.withColumn("h", F.xxhash64("text")).groupBy("doc_id").agg(F.min_by("text", "h").alias("text"))
+    assert np.array_equal(toxicity.fit(texts, labels), toxicity.fit(once, labels))
+    assert np.array_equal(toxicity.fit(texts, labels, most=3), toxicity.fit(once, labels, most=3))
+
+
 def test_near_duplicates_equal_brute_force(spark, docs, empty):
     rng = random.Random(7)
     base = some_text(80, 4).split()
