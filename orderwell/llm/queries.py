@@ -6,9 +6,12 @@ from orderwell.llm.byte_bpe import op6_byte_bpe
 from orderwell.llm.decontaminate import OP5_SQL, op5_decontaminate
 from orderwell.llm.exact_topk import OP4_SQL, op4_exact_topk
 from orderwell.llm.html_text import op8_html_text
+from orderwell.llm.license_scan import OP13_SQL, op13_licenses
 from orderwell.llm.near_duplicates import op3_near_duplicates
 from orderwell.llm.pii import op2_pii
+from orderwell.llm.resampling import op12_resampling
 from orderwell.llm.secrets import op9_secrets
+from orderwell.llm.spelling import op11_spelling
 from orderwell.llm.token_counts import op10_token_counts
 from orderwell.llm.toxicity import op1_toxicity
 from orderwell.llm.url_filter import op7_url_filter
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling": op11_spelling,
+    "op12_resampling": op12_resampling,
+    "op13_licenses": op13_licenses,
 }
 
-SQL = {"op4_exact_topk": OP4_SQL, "op5_decontaminate": OP5_SQL}
+SQL = {"op4_exact_topk": OP4_SQL, "op5_decontaminate": OP5_SQL, "op13_licenses": OP13_SQL}
