@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -59,6 +61,16 @@ def mix(values: np.ndarray) -> np.ndarray:
         return values ^ (values >> np.uint64(32))
 
 
+def give_back() -> None:
+    """Return what a task has let go to the system: a worker stays for the next stage, and its peak would stay with it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the C library that has it
+        pass
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Limit the session's Arrow batches to BATCH_BYTES, unless the session sets a limit of its own.
 
@@ -114,11 +126,37 @@ def arrow_map(
                     ],
                     schema=target,
                 )
-        pa.default_memory_pool().release_unused()
+        del work
+        give_back()
 
     return df.mapInArrow(run, spark_schema)
 
 
+def change_rows(
+    df: DataFrame, setup: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], text: str | None = None
+) -> DataFrame:
+    """Rows as they are, but for what a function of record batches leaves out or replaces. The columns stay the same.
+
+    `setup` runs once per task. With `text`, the name of a text column, its function gets slices of bounded bytes.
+    """
+    bound_batches(df.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = setup()
+        for batch in batches:
+            for part in slices(batch, text) if text else [batch]:
+                yield work(part)
+        del work
+        give_back()
+
+    return df.mapInArrow(run, df.schema)
+
+
+def by_place(df: DataFrame) -> DataFrame:
+    """The columns named c0, c1, ... so that no added name clashes with one of theirs."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

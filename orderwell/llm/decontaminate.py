@@ -20,12 +20,12 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwell.llm.common import SLICE_BYTES, read, slices, words
+from orderwell.llm.common import SLICE_BYTES, by_place, change_rows, give_back, read, slices, words
 
 WINDOW = 10
 
@@ -294,6 +294,7 @@ def _pass(current: DataFrame, shared) -> DataFrame:
                     pa.array(new[c], part.schema.field(c).type) if c in new else part.column(c) for c in names
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+        give_back()
 
     return current.mapInArrow(run, current.schema)
 
@@ -312,21 +313,26 @@ def digest(found: DataFrame) -> DataFrame:
 
 def remove_benchmark(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents with every hit passage cut from the text and n_chars counted anew."""
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
-        ranges = [[(s["start"], s["end"]) for s in x] for x in spans]
-        return pd.Series([without_words(t, r) for t, r in zip(text, ranges, strict=True)], dtype=object)
-
     names = documents.columns
     found = find_benchmark(documents, benchmark, tuple(names))
     # `found` has one column per kept one, then the three of HITS, whatever the kept ones are called
-    found = found.toDF(*[f"k{i}" for i in range(len(names))], "_ow_words", "_ow_spans", "_ow_items")
-    text = F.col(f"k{names.index('text')}")
-    text = F.when(F.size("_ow_spans") > 0, cut(text, "_ow_spans")).otherwise(text)
-    out = [text if c == "text" else F.col(f"k{i}") for i, c in enumerate(names)]
-    if "n_chars" in names:
-        out[names.index("n_chars")] = F.length(text).cast("long")
-    return found.select(*[x.alias(c) for x, c in zip(out, names, strict=True)])
+    found = by_place(found).select(*[f"c{i}" for i in range(len(names))], F.col(f"c{len(names) + 1}").alias("spans"))
+    at = names.index("text")
+
+    def setup():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            hit = [i for i, n in enumerate(pc.list_value_length(batch.column("spans")).to_pylist()) if n]
+            if not hit:
+                return batch
+            texts, spans = batch.column(at).to_pylist(), batch.column("spans")
+            for i in hit:
+                texts[i] = without_words(texts[i], [(s["start"], s["end"]) for s in spans[i].as_py()])
+            return batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+        return work
+
+    out = change_rows(found, setup).drop("spans").toDF(*names)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else out
 
 
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,13 +26,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwell.llm.common import WordHash, arrow_map, mix, read, words
+from orderwell.llm.common import WordHash, arrow_map, by_place, give_back, mix, read, words
 from orderwell.llm.components import connected_components
 from orderwell.session import materialize
 
@@ -226,6 +225,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 [batch.column("a"), batch.column("b"), pa.array(plain, pa.float64()), pa.array(weighted, pa.float64())],
                 names=["a", "b", "plain", "weighted"],
             )
+        give_back()
 
     return both.mapInArrow(run, "a binary, b binary, plain double, weighted double")
 
@@ -350,8 +350,9 @@ def links_between(outsiders: list[Text], members: list[Text], similarity: float)
     return found
 
 
-def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, key, class_id, n_texts for each row: key tells word sequences apart, class_id is the least id of a class."""
+def classified(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, text_key, key, component, class_id, n_texts for each row: as near_duplicates, and what tells texts and
+    classes apart."""
     rows = materialize(signed(documents))
     reps = materialize(
         rows.groupBy(F.col("key").alias("rep")).agg(
@@ -363,27 +364,41 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> Dat
         "component", F.coalesce("component", "rep")
     )
     classes = found.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_texts"))
-    found = found.join(classes, "component").select(F.col("rep").alias("key"), "class_id", "n_texts")
-    return rows.select("doc_id", "key").join(found, "key")
+    found = found.join(classes, "component").select(F.col("rep").alias("key"), "component", "class_id", "n_texts")
+    return rows.select("doc_id", "text_key", "key").join(found, "key")
+
+
+def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, key, class_id, n_texts for each row: key tells word sequences apart, class_id is the least id of a class."""
+    return classified(documents, similarity).select("doc_id", "key", "class_id", "n_texts")
 
 
 def keep_one(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of documents without near duplicates: of each class the row with the least id stays.
+    """The rows of documents without near duplicates: of each class the row with the least id stays, as it is.
 
-    Rows with a null id stay if their class has no id; of rows that share a class's least id one stays.
+    A null id comes after all others, so it stays only where its class has no id. Of rows that share the least id the one
+    with the least hash of its text stays, and one of those that share both. Which rows stay is settled on ids and hashes;
+    texts are shuffled once, and only rows with an id and text that repeat are compared as a whole.
     """
-    @F.pandas_udf("binary")
-    def key(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: sequence_key(t, words(t)))
-
-    classes = near_duplicates(documents, similarity)
-    keys = classes.where("doc_id <=> class_id").select(
-        F.col("doc_id").alias("_ow_kept_id"), F.col("key").alias("_ow_kept_key")
-    )
-    kept = documents.withColumn("_ow_key", key(F.col("text").cast("string")))
-    same = (F.col("_ow_key") == F.col("_ow_kept_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_ow_kept_id"))
-    kept = kept.join(keys.distinct(), same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "_ow_key"]).select(*documents.columns)
+    rows = materialize(classified(documents, similarity).select("doc_id", "text_key", "component"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    kept = rows.groupBy("component").agg(F.min(order).alias("row")).select("row.doc_id", "row.text_key")
+    # a table of one row per class, hashed part by part next to the texts, which need no sorting
+    times = rows.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))
+    kept = kept.withColumnsRenamed({"doc_id": "kept_id", "text_key": "kept_key"})
+    kept = materialize(kept.join(times, same).select("kept_id", "kept_key", "n"))
+    plain = by_place(documents)
+    doc_id, text = (F.col(f"c{documents.columns.index(c)}") for c in ("doc_id", "text"))
+    here = (F.xxhash64(text.cast("string")) == F.col("kept_key")) & doc_id.cast("long").eqNullSafe(F.col("kept_id"))
+    once = plain.join(kept.where("n = 1").hint("shuffle_hash"), here, "left_semi")
+    often = kept.where("n > 1")
+    if not often.isEmpty():
+        repeated = plain.withColumn("key", F.xxhash64(text.cast("string"))).join(often.hint("shuffle_hash"), here, "left_semi")
+        names = [c for c in repeated.columns if c not in (f"c{documents.columns.index('doc_id')}", "key")]
+        first = repeated.groupBy(doc_id, "key").agg(F.first(F.struct(*names)).alias("row"))
+        once = once.unionByName(first.select(doc_id, "row.*"))
+    return once.toDF(*documents.columns)
 
 
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:

@@ -27,14 +27,14 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Iterator
+from functools import partial
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwell.llm.common import FOLD, arrow_map, read
+from orderwell.llm.common import FOLD, arrow_map, by_place, change_rows, read
 from orderwell.llm.near_duplicates import near_duplicates
 from orderwell.session import materialize
 
@@ -335,30 +335,47 @@ def sanitise(documents: DataFrame) -> DataFrame:
     Only rows with spans are joined by text; their spans are keyed by the text, so ids need not be unique.
     """
     found = find_personal_data(documents).where((F.size("base") > 0) | (F.size("terms") > 0))
-    spans = found.groupBy("text_key").agg(F.first("base").alias("_ow_base"), F.first("terms").alias("_ow_terms"))
+    spans = found.groupBy("text_key").agg(F.first("base").alias("base"), F.first("terms").alias("terms"))
     return replace_texts(documents, spans)
 
 
 def replace_texts(documents: DataFrame, spans: DataFrame) -> DataFrame:
-    @F.pandas_udf("binary")
-    def key(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: xxhash.xxh3_128_digest(t or ""))
-
-    @F.pandas_udf("string")
-    def clean(text: pd.Series, base: pd.Series, terms: pd.Series) -> pd.Series:
-        as_spans = lambda x: [] if x is None else [(s["start"], s["end"], s["kind"]) for s in x]
-        return pd.Series(
-            [sanitised(t, as_spans(b), as_spans(m)) for t, b, m in zip(text, base, terms, strict=True)], dtype=object
-        )
-
-    keyed = documents.withColumn("_ow_key", key(F.col("text").cast("string")))
-    spans = spans.withColumnRenamed("text_key", "_ow_key")
-    joined = keyed.join(spans, "_ow_key", "left")
-    text = F.when(F.col("_ow_base").isNotNull(), clean(F.col("text").cast("string"), "_ow_base", "_ow_terms")).otherwise(
-        F.col("text")
-    )
-    out = joined.withColumn("text", text).select(*documents.columns)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in documents.columns else out
+    """The rows with the text of a text_key of spans(text_key, base, terms) made clean."""
+    names = documents.columns
+    at = names.index("text")
+    given = [F.col(c).cast("string").alias(c) if c == "text" else F.col(c) for c in names]
+    plain = by_place(documents.select(*given))
+    keyed = change_rows(plain.withColumn("key", F.lit(None).cast("binary")), partial(_keyed, at))
+    # the spans of a part are hashed next to its rows, whose texts need no sorting
+    joined = keyed.join(spans.withColumnRenamed("text_key", "key").hint("shuffle_hash"), "key", "left")
+    out = change_rows(joined, partial(_cleaned, at)).select(*plain.columns).toDF(*names)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else out
+
+
+def _keyed(at: int):
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = [xxhash.xxh3_128_digest(t or "") for t in batch.column(at).to_pylist()]
+        place = batch.schema.get_field_index("key")
+        return batch.set_column(place, batch.schema.field(place), pa.array(keys, batch.schema.field(place).type))
+
+    return work
+
+
+def _cleaned(at: int):
+    as_spans = lambda x: [(s["start"], s["end"], s["kind"]) for s in x]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at_text = batch.schema.get_field_index(f"c{at}")
+        base, terms = batch.column("base"), batch.column("terms")
+        hit = [i for i, found in enumerate(base.is_valid().to_pylist()) if found]
+        if not hit:
+            return batch
+        texts, field = batch.column(at_text).to_pylist(), batch.schema.field(at_text)
+        for i in hit:
+            texts[i] = sanitised(texts[i], as_spans(base[i].as_py()), as_spans(terms[i].as_py()))
+        return batch.set_column(at_text, field, pa.array(texts, field.type))
+
+    return work
 
 
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:

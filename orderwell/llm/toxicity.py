@@ -22,13 +22,12 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwell.llm.common import arrow_map, bound_batches, mix, read, slices, words
+from orderwell.llm.common import arrow_map, change_rows, give_back, mix, read, slices, words
 from orderwell.session import materialize
 
 BITS = 20
@@ -191,7 +190,9 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = MOST) -> np.ndarray
         rows = [parts[k][0][parts[k][1][i] : parts[k][1][i + 1]] for *_, k, i in order]
         weights = train(rows, [row[2] for row in order])
         at = np.flatnonzero(weights)
+        parts, rows = [], []
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(weights[at])], names=["place", "weight"])
+        give_back()
 
     # online training is a sequence: the bounded sample's features meet in one task
     got = rows.repartition(1).mapInArrow(one, "place long, weight double").toPandas()  # 2 ** BITS rows at most
@@ -244,24 +245,24 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
 
 def reject_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of documents whose text scores below the threshold, as they are."""
-    shared = documents.sparkSession.sparkContext.broadcast(model_of(documents, labels))
-
-    bound_batches(documents.sparkSession)
-
-    @F.pandas_udf("double")
-    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        features = Features()
-        for texts in parts:
-            listed = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-            out = [
-                score_texts(part.column("text").to_pylist(), features, shared.value)
-                for part in slices(listed, "text", AT_ONCE)
-            ]
-            yield pd.Series(np.concatenate(out) if out else np.zeros(0))
-        pa.default_memory_pool().release_unused()
-
-    return documents.where(scored(F.col("text").cast("string")) < threshold)
+    """The rows of documents whose text scores below the threshold, as they are. Without usable labels all stay."""
+    weights = model_of(documents, labels)
+    if not weights.any():
+        return documents
+    shared = documents.sparkSession.sparkContext.broadcast(weights)
+    at = documents.columns.index("text")
+
+    def setup():
+        features, w = Features(), shared.value
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            listed = pa.RecordBatch.from_arrays([batch.column(at).cast(pa.string())], ["text"])
+            out = [score_texts(x.column(0).to_pylist(), features, w) for x in slices(listed, "text", AT_ONCE)]
+            return batch.filter(pa.array(np.concatenate(out) < threshold)) if out else batch
+
+        return work
+
+    return change_rows(documents, setup)
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Every operator on small awkward tables, and against brute force where SQL cannot say what is right."""
 
 import base64
+import hashlib
 import random
 import re
 import zlib
@@ -330,3 +331,51 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     kept = corpus_pipeline.STAGES[1][1](spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
     assert {r.doc_id for r in kept.collect()} == set(range(40))
     assert F is not None and [n for n, _ in corpus_pipeline.STAGES][-1] == "byte_bpe"
+    assert {r.doc_id for r in toxicity_first.collect()} == {*range(40), 90}  # no labels, no rejection
+
+
+CLASHES = "c0 string, key string, kept_id string, kept_key long, spans string, base string, terms string, row string, _ow_key string"
+
+
+def test_all_stages_on_awkward_rows(spark, tmp_path):
+    toxic = "hateful scum vermin filth " * 20
+    rows = [(i, t) for i, t in TEXTS] + [(100 + i, f"{some_text(30, 60 + i)} {toxic} {some_text(5, 90 + i)}") for i in range(40)]
+    rows += [(200 + i, some_text(50, 500 + i)) for i in range(40)] + [(None, some_text(40, 77))] * 3
+    extra = ("c", "k", "i", 5, "s", "b", "t", "r", "o")
+    table = spark.createDataFrame(
+        [(i, t, None, "s", 0, *extra) for i, t in rows], f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}"
+    )
+    table.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(
+        [(100 + i, 0, 1) for i in range(40)] + [(200 + i, 1, 0) for i in range(40)] + [(None, 0, 1), (7, 1, None)],
+        "doc_id long, quality int, toxic int",
+    ).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, BENCH), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    before, seen = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == table.columns
+        out = corpus_pipeline.materialize(out)
+        assert {tuple(r)[5:] for r in out.collect()} <= {extra}
+        seen[name] = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+        docs = out
+    assert set(seen["toxicity"]) < set(before) and not {100 + i for i in range(40)} & {i for i, _ in seen["toxicity"]}
+    assert {200 + i for i in range(40)} <= {i for i, _ in seen["toxicity"]}
+    left = seen["near_dedup"]
+    assert len(left) == len(set(left)) and set(left) <= set(seen["toxicity"])
+    assert sum(i is None for i, _ in left) == 2 and {1, 2} & {i for i, _ in left} == {1}  # one of three equal null rows
+    assert dict(seen["decontamination"])[7] == "start, . The end"
+    assert {x for x in seen["decontamination"] if x[0] != 7} == {x for x in left if x[0] != 7}
+    assert "joe.x@" not in dict(seen["pii"])[6] and len(seen["pii"]) == len(left)
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.decoded_sha256) for r in final if r.doc_id is not None) == sorted(
+        (i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in seen["pii"] if i is not None
+    )
+
+
+def test_stages_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
