@@ -2,7 +2,7 @@
 
 
 def load_all():
-    from oracle import metrics, quality, sources, star  # noqa: F401
+    from oracle import contexts, metrics, quality, sources, star  # noqa: F401
     from oracle.catalog import QUERIES
 
     return QUERIES

@@ -224,7 +224,7 @@ SELECT Segment AS RfmSegment, COUNT(*) AS RFMCustomers, SUM(MonetaryValue) AS RF
 FROM rfm GROUP BY Segment""",
 )(lambda t: tidy(measures.rfm_share(Star(t))))
 
-_SERIES = "d: MonthStart f: Value PreviousMonth MoMChange MoMPct PreviousYear YoYChange YoYPct YearToDate Rolling3M Rolling12M"
+SERIES = "d: MonthStart f: Value PreviousMonth MoMChange MoMPct PreviousYear YoYChange YoYPct YearToDate Rolling3M Rolling12M"
 
 
 def _series_sql(base: str, keys: str = "") -> str:
@@ -239,6 +239,12 @@ g AS (SELECT * FROM grid LEFT JOIN base USING {using}),
 w AS (SELECT *, LAG(v) OVER o AS p, LAG(v, 12) OVER o AS y, SUM(v) OVER (PARTITION BY {k}year(MonthStart) ORDER BY MonthStart) AS ytd,
              SUM(v) OVER (o ROWS 2 PRECEDING) AS r3, SUM(v) OVER (o ROWS 11 PRECEDING) AS r12
       FROM g WINDOW o AS ({f'PARTITION BY {keys} ' if keys else ''}ORDER BY MonthStart))
+{series_changes(k)}"""
+
+
+def series_changes(k: str) -> str:
+    """The columns of a series from w(MonthStart, v, p, y, ytd, r3, r12)."""
+    return f"""
 SELECT {k}MonthStart, v AS Value, p AS PreviousMonth, CASE WHEN v IS NOT NULL OR p IS NOT NULL THEN COALESCE(v, 0) - COALESCE(p, 0) END AS MoMChange,
        {D('COALESCE(v, 0) - COALESCE(p, 0)')} / NULLIF({D('p')}, 0) AS MoMPct, y AS PreviousYear,
        CASE WHEN v IS NOT NULL OR y IS NOT NULL THEN COALESCE(v, 0) - COALESCE(y, 0) END AS YoYChange,
@@ -250,9 +256,8 @@ for _name, _measure, _sql in [
     ("x13_revenue_series", "Revenue", "SELECT MonthStart, SUM(NetRevenue) AS v FROM order_summary GROUP BY MonthStart"),
     ("x14a_orders_series", "Orders", "SELECT MonthStart, COUNT(*) AS v FROM valid_orders GROUP BY MonthStart"),
     ("x14b_gross_profit_series", "Gross Profit", "SELECT MonthStart, SUM(GrossProfit) AS v FROM order_summary GROUP BY MonthStart"),
-    ("x14c_active_customers_series", "Active Customers", "SELECT MonthStart, COUNT(DISTINCT CustomerId) AS v FROM valid_orders GROUP BY MonthStart"),
 ]:
-    query(_name, _SERIES, "order_summary valid_orders calendar", _series_sql(_sql))(
+    query(_name, SERIES, "order_summary valid_orders calendar", _series_sql(_sql))(
         lambda t, m=_measure: measures.monthly_series(Star(t), m)
     )
 query(
@@ -263,7 +268,7 @@ FROM calendar LEFT JOIN (SELECT OrderDate AS FullDate, SUM(RevenueAfterRefund) A
 QUALIFY YearToDate IS NOT NULL""",
 )(lambda t: measures.daily_to_date(Star(t), "Revenue After Refund").withColumnRenamed("Revenue After Refund", "Value"))
 query(
-    "x16_rolling_by_channel", "s: ChannelName " + _SERIES, "order_summary calendar",
+    "x16_rolling_by_channel", "s: ChannelName " + SERIES, "order_summary calendar",
     _series_sql("SELECT ChannelName, MonthStart, SUM(NetRevenue) AS v FROM order_summary GROUP BY ALL", "ChannelName"),
 )(lambda t: measures.monthly_series(Star(t), "Revenue", [CHANNEL]))
 query(

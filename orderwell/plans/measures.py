@@ -3,7 +3,9 @@
 ``evaluate`` joins the dimensions asked for to each fact that a measure needs,
 aggregates every fact on its own, and only then joins the small results on the
 group keys.  Facts are never joined to facts.  Filters on a dimension reach the
-facts related to it and leave the others alone.
+facts related to it and leave the others alone.  Measures that change their
+filter context (other periods, removed filters, ranks) are trees of
+``plans.contexts``; they are asked for by name like all others.
 """
 
 from __future__ import annotations
@@ -19,17 +21,29 @@ from orderwell.functions import ratio
 from orderwell.functions.ordered import Ordering, order_globally
 from orderwell.functions.scalars import count_if
 from orderwell.operators.customers import AT_RISK_STATUSES
+from orderwell.functions.scalars import date_key, month_index
 from orderwell.operators.facts import CANCELLED, REJECTED
+from orderwell.plans.contexts import (
+    DAY, Base, Change, Leaf, Node, Place, Ratio, Shift, Span, ToDate, Trailing, Without, cell_dates, leaves, lowered,
+    places,
+)
 from orderwell.plans.star import RELATIONSHIPS, Star
 
 GroupKey = tuple[str, str]
-Filter = tuple[str, Column]
+
+#: A table and a condition on its columns.  A third part names the one column
+#: the condition is about, so that a measure can take the filter away.
+Filter = tuple[str, Column] | tuple[str, Column, str]
 
 
 @dataclass(frozen=True)
 class Measure:
+    """An aggregate of one fact.  ``item`` is what a distinct count counts; all others add up over parts of the fact."""
+
     fact: str
     value: Callable[[], Column]
+    item: Callable[[], Column] | None = None
+    additive: bool = True
 
 
 def _sum(fact: str, column: str, where: Callable[[], Column] | None = None) -> Measure:
@@ -50,10 +64,16 @@ def _count(fact: str, where: Callable[[], Column] | None = None) -> Measure:
 
 
 def _distinct(fact: str, column: str, where: Callable[[], Column]) -> Measure:
-    def value() -> Column:
-        return F.nullif(F.count_distinct(F.when(where(), F.col(column))), F.lit(0))
+    def item() -> Column:
+        return F.when(where(), F.col(column))
 
-    return Measure(fact, value)
+    return Measure(fact, lambda: F.nullif(F.count_distinct(item()), F.lit(0)), item, additive=False)
+
+
+def _one_cell() -> Column:
+    """Retention of exactly one cohort in exactly one month, else blank."""
+    one = (F.count_distinct("CohortMonth") == 1) & (F.count_distinct("MonthsSinceFirstOrder") == 1)
+    return F.when(one, ratio(F.sum("ActiveCustomers"), F.max("CohortSize")))
 
 
 def _valid() -> Column:
@@ -96,6 +116,10 @@ ORDERS, LINES, RETURNS = "FactOrders", "FactOrderLines", "FactReturns"
 REVIEWS, CAMPAIGNS, CUSTOMER = "FactReviews", "FactCampaignPerformance", "DimCustomer"
 COHORTS, RFM = "FactCohortRetention", "FactRfmSnapshot"
 
+# Customers by the day of their first order: DimCustomer in the role of a fact.
+FIRST = "FirstOrders"
+OWN_TABLE = {FIRST: CUSTOMER}
+
 # An order is one FactOrders row, so counting rows counts distinct orders.
 BASE: dict[str, Measure] = {
     "Revenue": _sum(ORDERS, "NetRevenue"),
@@ -143,8 +167,10 @@ BASE: dict[str, Measure] = {
     "Buyer Projected Revenue": _sum(CUSTOMER, "Projected12MonthRevenue", _buyers),
     "Customers at Risk": _count(CUSTOMER, _at_risk),
     "Revenue at Risk": _sum(CUSTOMER, "LifetimeRevenueAfterRefund", _at_risk),
-    "RFM Customers": Measure(RFM, lambda: F.nullif(F.count_distinct("CustomerId"), F.lit(0))),
+    "RFM Customers": _distinct(RFM, "CustomerId", lambda: F.lit(True)),
     "RFM Monetary Value": _sum(RFM, "MonetaryValue"),
+    "First Orders": _count(FIRST),
+    "Retention %": Measure(COHORTS, _one_cell, additive=False),
 }
 
 # Columns that cost a join of their own; all others come with the fact.
@@ -187,7 +213,62 @@ RATIOS: dict[str, tuple[str, str]] = {
     "Promotion Order Rate": ("Promotion Orders", "Orders"),
 }
 
+
+
+def _earlier(measure: str, months: int) -> Node:
+    return Shift(tree(measure), months)
+
+
+def _growth(measure: str, months: int) -> Ratio:
+    return Ratio(Change(tree(measure), _earlier(measure, months)), _earlier(measure, months))
+
+
+def tree(name: str) -> Node:
+    """The tree of a measure by its name."""
+    if name in CONTEXTUAL:
+        return CONTEXTUAL[name]()
+    if name in RATIOS:
+        top, bottom = RATIOS[name]
+        return Ratio(Base(top), Base(bottom))
+    if name in BASE:
+        return Base(name)
+    raise ValueError(f"unknown measure {name!r}")
+
+
+def _customer(what: str) -> Place:
+    return Place(Base("Revenue After Refund"), "CustomerId", what)
+
+
+# Measures that change the filter context of their cell.
+CONTEXTUAL: dict[str, Callable[[], Node]] = {
+    "New Customers": lambda: Span(Base("First Orders")),
+    "Revenue Previous Month": lambda: _earlier("Revenue", 1),
+    "Revenue MoM Change": lambda: Change(tree("Revenue"), _earlier("Revenue", 1)),
+    "Revenue MoM %": lambda: _growth("Revenue", 1),
+    "Revenue Previous Year": lambda: _earlier("Revenue", 12),
+    "Revenue YoY Change": lambda: Change(tree("Revenue"), _earlier("Revenue", 12)),
+    "Revenue YoY %": lambda: _growth("Revenue", 12),
+    "Revenue MTD": lambda: ToDate(tree("Revenue"), "month"),
+    "Revenue YTD": lambda: ToDate(tree("Revenue"), "year"),
+    "Revenue After Refund YTD": lambda: ToDate(tree("Revenue After Refund"), "year"),
+    "Rolling 3M Revenue": lambda: Trailing(tree("Revenue"), 3),
+    "Rolling 12M Revenue": lambda: Trailing(tree("Revenue"), 12),
+    "Orders Previous Year": lambda: _earlier("Orders", 12),
+    "Orders YoY %": lambda: _growth("Orders", 12),
+    "Gross Profit Previous Year": lambda: _earlier("Gross Profit", 12),
+    "Gross Profit YoY %": lambda: _growth("Gross Profit", 12),
+    "Active Customer Previous Year": lambda: _earlier("Active Customers", 12),
+    "Active Customer YoY %": lambda: _growth("Active Customers", 12),
+    "RFM Customer Share %": lambda: Ratio(tree("RFM Customers"), Without(tree("RFM Customers"), RFM, "RfmSegment")),
+    "Product Revenue Rank": lambda: Place(Base("Product Revenue"), "ProductId", "rank"),
+    "Customer Revenue Rank": lambda: _customer("rank"),
+    "Cumulative Customer Revenue": lambda: _customer("running"),
+    "Pareto Revenue %": lambda: _customer("share"),
+    "Pareto 80% Customer Flag": lambda: _customer("flag"),
+}
+
 LINKS = {(fact, dim): (fact_key, dim_key) for fact, fact_key, dim, dim_key in RELATIONSHIPS}
+LINKS[(FIRST, "DimDate")] = ("FirstOrderDateKey", "DateKey")
 
 
 def _with_dimension(
@@ -208,12 +289,15 @@ def _source(
     filters: Sequence[Filter],
 ) -> DataFrame:
     """The fact itself, as narrow as the measures, groups and filters allow."""
-    if not isinstance(star, Star) or any(table == name for table, _ in filters):
+    if name == FIRST:
+        known = star[CUSTOMER].where(F.col("FirstOrderDate").isNotNull())
+        return known.withColumn("FirstOrderDateKey", date_key("FirstOrderDate"))
+    if not isinstance(star, Star) or any(table == name for table, *_ in filters):
         return star[name]  # a condition on the fact may read any of its columns
     wanted = {c for p in parts for c in JOINED_COLUMNS.get(p, ())}
     wanted |= {column for table, column in group_by if table == name}
     wanted |= {
-        LINKS[(name, table)][0] for table, _ in [*group_by, *filters] if (name, table) in LINKS
+        LINKS[(name, table)][0] for table, *_ in [*group_by, *filters] if (name, table) in LINKS
     }
     return star.rows(name, wanted)
 
@@ -227,8 +311,9 @@ def _fact_rows(
 ) -> DataFrame:
     """A fact with its filters applied and ``Table.column`` group keys attached."""
     rows = _source(star, name, parts, group_by, filters)
-    for table, condition in filters:
-        if table == name:
+    own = {name, OWN_TABLE.get(name)}
+    for table, condition, *_ in filters:
+        if table in own:
             rows = rows.filter(condition)
         elif (name, table) in LINKS:
             fact_key, dim_key = LINKS[(name, table)]
@@ -236,7 +321,7 @@ def _fact_rows(
             rows = rows.join(kept, fact_key, "left_semi")
     wanted: dict[str, list[str]] = {}
     for table, column in group_by:
-        if table == name:
+        if table in own:
             rows = rows.withColumn(f"{table}.{column}", F.col(column))
         elif (name, table) in LINKS:
             wanted.setdefault(table, []).append(column)
@@ -247,37 +332,157 @@ def _fact_rows(
     return rows
 
 
-def _parts(name: str) -> list[str]:
-    if name in BASE:
-        return [name]
-    if name in RATIOS:
-        return list(RATIOS[name])
-    raise ValueError(f"unknown measure {name!r}")
-
-
 def evaluate(
     star: Mapping[str, DataFrame],
-    measures: Sequence[str],
+    measures: Sequence[str | tuple[str, Node]],
     group_by: Sequence[GroupKey] = (),
     filters: Sequence[Filter] = (),
 ) -> DataFrame:
-    """Measures per group; rows where every measure is blank are left out."""
+    """Measures per group; rows where every measure is blank are left out.
+
+    A measure is a name, or a name of one's own and its tree.  A rank or share
+    over customers or products needs their id among the groups; it is taken
+    among the members that share the other groups.
+    """
+    keys = [f"{table}.{column}" for table, column in group_by]
+    trees = {m if isinstance(m, str) else m[0]: lowered(tree(m) if isinstance(m, str) else m[1]) for m in measures}
+    needed: dict[tuple, list[Leaf]] = {}
+    for leaf in dict.fromkeys(x for t in trees.values() for x in leaves(t)):
+        needed.setdefault((BASE[leaf.base].fact, leaf.without), []).append(leaf)
+
+    # results on all keys are joined first; those that lost a key are looked up by the rest
+    whole, partial = [], []
+    for (fact, gone), found in needed.items():
+        result, kept = _result(star, fact, gone, found, group_by, filters)
+        (whole if kept == keys else partial).append((result, kept))
+    if not whole:
+        raise ValueError("no measure is evaluated by all of the groups")
+    joined = whole[0][0]
+    for other, _ in whole[1:]:
+        joined = _align(joined, other, keys)
+    for other, kept in partial:
+        joined = _look_up(joined, other, kept)
+    ordered = dict.fromkeys((p.of, p.key) for t in trees.values() for p in places(t))
+    for of, key in ordered:
+        joined = _order(joined, of, key, keys, group_by)
+    return _finish(joined, keys, group_by, trees)
+
+
+def _result(
+    star: Mapping[str, DataFrame],
+    fact: str,
+    gone: frozenset[GroupKey],
+    found: Sequence[Leaf],
+    group_by: Sequence[GroupKey],
+    filters: Sequence[Filter],
+) -> tuple[DataFrame, list[str]]:
+    """The leaves of one fact, and the group keys they have."""
+    group_by = [g for g in group_by if g not in gone]
+    filters = [f for f in filters if len(f) < 3 or (f[0], f[2]) not in gone]
     keys = [f"{table}.{column}" for table, column in group_by]
-    needed: dict[str, list[str]] = {}
-    for part in dict.fromkeys(p for m in measures for p in _parts(m)):
-        needed.setdefault(BASE[part].fact, []).append(part)
+    names = list(dict.fromkeys(leaf.base for leaf in found))
+    if not any(leaf.dated for leaf in found) or (fact, "DimDate") not in LINKS:
+        # nothing moves, or dates do not filter this fact
+        rows = _fact_rows(star, fact, names, group_by, filters)
+        values = [BASE[leaf.base].value().alias(leaf.column) for leaf in found]
+        return rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*values), keys
+    return _by_dates(star, fact, found, names, keys, group_by, filters), keys
+
 
+def _by_dates(star, fact, found, names, keys, group_by, filters) -> DataFrame:
+    """All contexts of a fact at once: its days meet the dates of every cell in every context, marked by context.
+
+    Sums and counts are added up by day before; distinct items are one row per
+    day and group.  The fact is read once for the sums and once per distinct count.
+    """
+    date_columns = [c for table, c in group_by if table == "DimDate"]
+    calendar = star["DimDate"]
+    for table, condition, *_ in filters:
+        calendar = calendar.filter(condition) if table == "DimDate" else calendar
+    calendar = calendar.select(*[F.col(c).alias(f"DimDate.{c}") for c in date_columns], DAY)
+    contexts = list(dict.fromkeys(leaf.dated for leaf in found))
+
+    def cells(wanted: Sequence[tuple]) -> DataFrame:
+        parts = [
+            cell_dates(calendar, [f"`DimDate.{c}`" for c in date_columns], context).withColumn("__context", F.lit(contexts.index(context)))
+            for context in wanted
+        ]
+        every = reduce(DataFrame.unionByName, parts)
+        # only days of the calendar can be in a context
+        return every.join(star["DimDate"].select(DAY), DAY, "left_semi").withColumn("__day", date_key(DAY)).drop(DAY)
+
+    def marked(leaf: Leaf, value: Column) -> Column:
+        return F.when(F.col("__context") == contexts.index(leaf.dated), value)
+
+    others = [g for g in group_by if g[0] != "DimDate"]
+    rows = _fact_rows(star, fact, names, [*others, ("DimDate", "DateKey")], [f for f in filters if f[0] != "DimDate"])
+    rows = rows.withColumnRenamed("DimDate.DateKey", "__day")
+    other_keys = [F.col(f"`{table}.{column}`") for table, column in others]
+    quoted = [F.col(f"`{k}`") for k in keys]
     results = []
-    for fact, parts in needed.items():
-        rows = _fact_rows(star, fact, parts, group_by, filters)
-        quoted = [F.col(f"`{k}`") for k in keys]
-        results.append(
-            rows.groupBy(*quoted).agg(*[BASE[p].value().alias(p) for p in parts])
-        )
-    joined = results[0]
-    for other in results[1:]:
-        joined = _align(joined, other, keys)
-    return _finish(joined, keys, group_by, measures)
+    sums = [leaf for leaf in found if BASE[leaf.base].additive]
+    if sums:
+        daily = rows.groupBy(*other_keys, "__day").agg(*[BASE[n].value().alias(n) for n in names if BASE[n].additive])
+        met = daily.join(cells(list(dict.fromkeys(x.dated for x in sums))), "__day").groupBy(*quoted)
+        results.append(met.agg(*[F.sum(marked(x, F.col(f"`{x.base}`"))).alias(x.column) for x in sums]))
+    for name in names:
+        if BASE[name].additive:
+            continue
+        if BASE[name].item is None:
+            raise ValueError(f"{name} cannot be moved in time")
+        own = [leaf for leaf in found if leaf.base == name]
+        items = rows.select(*other_keys, "__day", BASE[name].item().alias("__item")).where("__item IS NOT NULL").distinct()
+        met = items.join(cells(list(dict.fromkeys(x.dated for x in own))), "__day").groupBy(*quoted)
+        counts = [F.nullif(F.count_distinct(marked(x, F.col("__item"))), F.lit(0)).alias(x.column) for x in own]
+        results.append(met.agg(*counts))
+    return reduce(lambda a, b: _align(a, b, keys), results)
+
+
+def _look_up(joined: DataFrame, other: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """The values of a context with fewer keys, for every row that shares those."""
+    if not kept:
+        return joined.withColumns({c: other.select(F.col(f"`{c}`")).scalar() for c in other.columns})
+    renamed = other.withColumnsRenamed({k: f"__{k}" for k in kept})
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`__{k}`")) for k in kept])
+    return joined.join(renamed, same, "left").drop(*[f"__{k}" for k in kept])
+
+
+def _order(
+    joined: DataFrame, of: Leaf, key: str, keys: Sequence[str], group_by: Sequence[GroupKey]
+) -> DataFrame:
+    """Dense rank, running value and total of a measure over the members of a key, within the other groups."""
+    at = [k for k, (_, column) in zip(keys, group_by) if column == key]
+    if not at:
+        raise ValueError(f"{of.base} is ranked over {key}, which is not among the groups")
+    others = [k for k in keys if k != at[0]]
+    inside = F.struct(*[F.col(f"`{k}`").alias(f"g{i}") for i, k in enumerate(others)]) if others else F.lit(None)
+    plain = joined.select(
+        F.col(f"`{at[0]}`").alias("member"),
+        *([inside.alias("inside")] if others else []),
+        F.col(f"`{of.column}`").alias("value"),
+    ).where("value IS NOT NULL AND member IS NOT NULL")
+    group = "inside" if others else None
+    ordering = Ordering("value", descending=True, row_number="place", dense_rank="rank", running_sums={"sum": "value"})
+    ranked = order_globally(plain, "member", [ordering], group=group)
+    # the rank is used as the number of members to add up
+    sums = ranked.select(*([F.col("inside").alias("__inside")] if group else []), F.col("place").alias("__place"), F.col("sum").alias("running"))
+    same = F.col("rank") == F.col("__place")
+    if group:
+        same = same & F.col("inside").eqNullSafe(F.col("__inside"))
+        totals = ranked.groupBy(F.col("inside").alias("__all")).agg(F.sum("value").alias("total"))
+        found = ranked.join(sums, same).join(totals, F.col("inside").eqNullSafe(F.col("__all")))
+    else:
+        found = ranked.join(sums, same).withColumn("total", ranked.agg(F.sum("value")).scalar())
+    mark = f"{of.column}/{key}"
+    found = found.select(
+        F.col("member").alias("__member"),
+        *([F.col("inside").alias("__group")] if group else []),
+        *[F.col(c).alias(f"{mark}/{c}") for c in ("rank", "running", "total")],
+    )
+    condition = F.col(f"`{at[0]}`") == F.col("__member")
+    if group:
+        condition = condition & inside.eqNullSafe(F.col("__group"))
+    return joined.join(found, condition, "left").drop("__member", "__group")
 
 
 def _align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -303,20 +508,30 @@ def _align(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _value(node: Node | Leaf) -> Column:
+    match node:
+        case Leaf():
+            return F.col(f"`{node.column}`")
+        case Ratio(top, bottom):
+            return ratio(_value(top), _value(bottom))
+        case Change(now, before):
+            return _change(_value(now), _value(before))
+        case Place(of, key, what, limit):
+            mark = f"{of.column}/{key}"
+            part = ratio(F.col(f"`{mark}/running`"), F.col(f"`{mark}/total`"))
+            if what == "flag":
+                return F.when(F.col(f"`{mark}/rank`").isNotNull(), F.when(part <= limit, 1).otherwise(0))
+            return part if what == "share" else F.col(f"`{mark}/{what}`")
+
+
 def _finish(
-    joined: DataFrame, keys: Sequence[str], group_by: Sequence[GroupKey], measures: Sequence[str]
+    joined: DataFrame, keys: Sequence[str], group_by: Sequence[GroupKey], trees: Mapping[str, Node]
 ) -> DataFrame:
-    def value(name: str) -> Column:
-        if name in RATIOS:
-            top, bottom = RATIOS[name]
-            return ratio(F.col(f"`{top}`"), F.col(f"`{bottom}`")).alias(name)
-        return F.col(f"`{name}`").alias(name)
-
     result = joined.select(
         *[F.col(f"`{k}`").alias(column) for k, (_, column) in zip(keys, group_by)],
-        *[value(m) for m in measures],
+        *[_value(node).alias(name) for name, node in trees.items()],
     )
-    blank = reduce(lambda a, b: a & b, [F.col(f"`{m}`").isNull() for m in measures])
+    blank = reduce(lambda a, b: a & b, [F.col(f"`{m}`").isNull() for m in trees])
     return result.filter(~blank)
 
 
@@ -334,17 +549,106 @@ def monthly_series(
 ) -> DataFrame:
     """A measure by calendar month with its prior, year-to-date and rolling values.
 
-    Every month's value is sent to the twelve months after it, where one
-    aggregate picks previous month, previous year and trailing sums.  Months
-    without data thus see the past they have, and no month looks at a row
-    position.  Year-to-date and rolling values suit additive measures.
+    Months without data see the past they have, and no month looks at a row
+    position.  Values over several months are those of the months taken
+    together: sums are added, distinct counts count each item once, and a ratio
+    divides the two values of the whole period.
     """
     names = [column for _, column in group_by]
+    node = tree(measure)
+    if not isinstance(node, Base | Ratio) or not all(isinstance(x, Leaf) and not x.changes for x in leaves(lowered(node))):
+        raise ValueError(f"{measure} has a period of its own")
+    parts = [node.name] if isinstance(node, Base) else [node.top.name, node.bottom.name]
+    shaped = [_periods(star, part, names, group_by, filters) for part in parts]
+    if isinstance(node, Base):
+        series = shaped[0]
+    else:
+        shaped = [s.select(*names, "target", *[F.col(c).alias(f"{c}{i}") for c in PERIODS]) for i, s in enumerate(shaped)]
+        both = _align(*shaped, [*names, "target"])
+        series = both.select(*names, "target", *[ratio(f"{c}0", f"{c}1").alias(c) for c in PERIODS])
+        series = series.where(F.coalesce(*PERIODS).isNotNull())
+    return _with_changes(series, names)
+
+
+PERIODS = ("Value", "PreviousMonth", "PreviousYear", "YearToDate", "Rolling3M", "Rolling12M")
+
+
+def _periods(
+    star: Mapping[str, DataFrame], part: str, names: Sequence[str], group_by: Sequence[GroupKey], filters: Sequence[Filter]
+) -> DataFrame:
+    """names, target month and PERIODS of one base measure."""
+    last = star["DimDate"].agg(F.max(month_index(DAY))).scalar()
+    if BASE[part].additive:
+        return _sums_over_months(star, part, names, group_by, filters, last)
+    if BASE[part].item is None:
+        raise ValueError(f"{part} has no value over several months")
+    return _distinct_over_months(star, part, names, group_by, filters, last)
+
+
+def _month_of(column: str) -> Column:
+    return F.substring(column, 1, 4).cast("int") * 12 + F.substring(column, 6, 2).cast("int")
+
+
+def _distinct_over_months(star, part, names, group_by, filters, last) -> DataFrame:
+    """Distinct counts over sliding periods in one pass over (group, item, month).
+
+    An item active in month m counts in every period that ends between m and the
+    period's reach, or up to the month before its next activity, which takes over
+    from there.  So each activity is one interval of target months per period;
+    intervals are summed as +1 at their beginning and -1 behind their end.  No
+    activity is ever repeated per target month.
+    """
+    fact = BASE[part].fact
+    rows = _fact_rows(star, fact, [part], [*group_by, MONTH], filters)
+    groups = [F.col(f"`{table}.{column}`").alias(column) for table, column in group_by]
+    active = rows.select(
+        *groups, _month_of("`DimDate.YearMonth`").alias("m"), BASE[part].item().alias("item")
+    ).where("item IS NOT NULL AND m IS NOT NULL").distinct()
+    following = F.lead("m").over(Window.partitionBy(*names, "item").orderBy("m"))
+    active = active.withColumn("until", F.coalesce(following - 1, F.lit(2**31 - 2)))
+    m, until = F.col("m"), F.col("until")
+    reach = {"ytd": F.ceil(m / 12).cast("int") * 12, "r3": m + 2, "r12": m + 11}
+    event = lambda at, v, a, b, c: F.struct(
+        at.alias("target"), F.lit(v).alias("v"), F.lit(a).alias("ytd"), F.lit(b).alias("r3"), F.lit(c).alias("r12")
+    )
+    events = F.array(
+        event(m, 1, 1, 1, 1),
+        event(F.least(until, reach["ytd"]) + 1, 0, -1, 0, 0),
+        event(F.least(until, reach["r3"]) + 1, 0, 0, -1, 0),
+        event(F.least(until, reach["r12"]) + 1, 0, 0, 0, -1),
+    )
+    changes = (
+        active.select(*names, F.inline(events)).groupBy(*names, "target")
+        .agg(*[F.sum(c).alias(c) for c in ("v", "ytd", "r3", "r12")])
+    )
+    # one row per group and month: as many as the calendar has, from the group's first activity on
+    first = changes.groupBy(*names).agg(F.min("target").alias("first")) if names else changes.agg(F.min("target").alias("first"))
+    months = first.withColumn("last", last).where("first <= last").select(
+        *names, F.explode(F.sequence(F.col("first"), F.col("last"))).alias("target")
+    )
+    dense = _align(months.withColumn("here", F.lit(1)), changes, [*names, "target"]).where("here = 1")
+    order = Window.partitionBy(*(names or [F.lit(0)])).orderBy("target")
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    value = F.nullif(F.col("v"), F.lit(0))
+    blank = lambda c: F.nullif(c, F.lit(0))
+    out = dense.select(
+        *names,
+        "target",
+        value.alias("Value"),
+        F.lag(value, 1).over(order).alias("PreviousMonth"),
+        F.lag(value, 12).over(order).alias("PreviousYear"),
+        blank(F.sum("ytd").over(running)).alias("YearToDate"),
+        blank(F.sum("r3").over(running)).alias("Rolling3M"),
+        blank(F.sum("r12").over(running)).alias("Rolling12M"),
+    )
+    return out.where(F.coalesce(*PERIODS).isNotNull())
+
+
+def _sums_over_months(star, part, names, group_by, filters, last) -> DataFrame:
+    """Every month's value is sent to the twelve months after it, where one aggregate picks and adds."""
+    measure = part
     by_month = evaluate(star, [measure], [*group_by, MONTH], filters)
-    index = F.substring("YearMonth", 1, 4).cast("int") * 12 + F.substring(
-        "YearMonth", 6, 2
-    ).cast("int")
-    last = star["DimDate"].agg(F.max(F.year("FullDate") * 12 + F.month("FullDate"))).scalar()
+    index = _month_of("YearMonth")
     spread = (
         by_month.select(*names, index.alias("m"), F.col(f"`{measure}`").alias("v"))
         .withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(12))))
@@ -360,7 +664,7 @@ def monthly_series(
     def over(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("v")))
 
-    shaped = spread.groupBy(*names, "target").agg(
+    return spread.groupBy(*names, "target").agg(
         at(0).alias("Value"),
         at(1).alias("PreviousMonth"),
         at(12).alias("PreviousYear"),
@@ -368,6 +672,9 @@ def monthly_series(
         over(offset <= 2).alias("Rolling3M"),
         over(offset <= 11).alias("Rolling12M"),
     )
+
+
+def _with_changes(shaped: DataFrame, names: Sequence[str]) -> DataFrame:
     year = F.floor((F.col("target") - 1) / 12).cast("int")
     month = F.col("target") - year * 12
     return shaped.select(
@@ -386,9 +693,10 @@ def monthly_series(
     )
 
 
-def _change(current: str, previous: str) -> Column:
+def _change(current: Column | str, previous: Column | str) -> Column:
     """Difference with blanks as zero, blank only when both are."""
-    both_blank = F.col(current).isNull() & F.col(previous).isNull()
+    current, previous = (F.col(c) if isinstance(c, str) else c for c in (current, previous))
+    both_blank = current.isNull() & previous.isNull()
     return F.when(
         ~both_blank, F.coalesce(current, F.lit(0)) - F.coalesce(previous, F.lit(0))
     )
@@ -437,12 +745,7 @@ def retention_percent(
     """Retention of a cell; NULL unless it is exactly one cohort and one month."""
     rows = star["FactCohortRetention"]
     rows = rows.filter(condition) if condition is not None else rows
-    one_cell = (F.count_distinct("CohortMonth") == 1) & (
-        F.count_distinct("MonthsSinceFirstOrder") == 1
-    )
-    return rows.groupBy(*group_by).agg(
-        F.when(one_cell, ratio(F.sum("ActiveCustomers"), F.max("CohortSize"))).alias("Retention %")
-    )
+    return rows.groupBy(*group_by).agg(_one_cell().alias("Retention %"))
 
 
 def rfm_share(
