@@ -5,10 +5,11 @@ into one task.  Here the value range is cut at approximate quantiles, the window
 runs inside each slice, and small per-slice totals are added as offsets.
 
 * The slice of a row depends on its value only, so a recomputed task puts it in
-  the same slice again.
+  the same slice again.  The number of slices follows the rows.
 * A value that is itself a cut point gets a slice of its own.  Such a value may
   be held by any share of the rows, so its slice is cut again by the tiebreak
-  key; all its rows are ties, hence that second cut keeps the order too.
+  key, into as many parts as its share asks for; all its rows are ties, hence
+  that second cut keeps the order too.
 * NULL values come first ascending and last descending, as in a plain window.
   They are ties too: one slice, cut again by the key.
 * The cut points steer balance only.  Results do not depend on their accuracy.
@@ -24,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderwell.functions.slices import ROWS_PER_SLICE, cut_points, on_cut, slice_of
+from orderwell.functions.slices import ROWS_PER_SLICE, cut_points, with_places
 from orderwell.session import materialize
 
 
@@ -72,14 +73,11 @@ def order_globally(
     key_cuts, *value_cuts = cut_points(
         df, [key, *[o.value for o in orderings]], rows_per_slice
     )
-    places: dict[str, Column] = {}
+    sliced = df
     for i, (ordering, cuts) in enumerate(zip(orderings, value_cuts)):
-        missing = F.col(ordering.value).isNull()
-        exact = missing | F.coalesce(on_cut(ordering.value, cuts), F.lit(False))
-        position = F.when(missing, -1).otherwise(slice_of(ordering.value, cuts) * 2 + exact.cast("int"))
-        places[f"__p{i}"] = -position if ordering.descending else position
-        places[f"__k{i}"] = F.when(exact, slice_of(key, key_cuts)).otherwise(0)
-    sliced = df.withColumns(places)
+        sliced = with_places(sliced, ordering.value, key, cuts, key_cuts, (f"__p{i}", f"__k{i}"))
+        if ordering.descending:
+            sliced = sliced.withColumn(f"__p{i}", -F.col(f"__p{i}"))
 
     result = sliced
     for i, ordering in enumerate(orderings):
@@ -101,7 +99,7 @@ def _apply(
     groups = [F.col(group)] if group else [F.lit(0)]
     sums = ordering.running_sums
 
-    # Slice totals: a bounded number of rows per group.
+    # Slice totals: one row per group and slice.
     if ordering.dense_rank:
         per_value = source.groupBy(*keys, ordering.value).agg(
             F.count(F.lit(1)).alias("__n"),
@@ -138,11 +136,6 @@ def _apply(
         F.sum("__n").over(Window.partitionBy(*groups)).alias("__total"),
         *[f"__b_{m}" for m in sums],
     )
-    if group is None:
-        # Slices are at most MAX_SLICES, and only as many values can be cut by
-        # key: MAX_SLICES squared bounds this table.
-        offsets = F.broadcast(offsets)
-
     value = F.col(ordering.value).desc() if ordering.descending else F.col(ordering.value).asc()
     local = Window.partitionBy(*keys).orderBy(value, F.col(key).asc())
     ties = Window.partitionBy(*keys).orderBy(value)

@@ -24,12 +24,10 @@ def exact_quantiles(
     sliced = counts.withColumn("s", slice_of("v", cuts))
     per_slice = sliced.groupBy("s").agg(F.sum("n").alias("n"))
     before = Window.partitionBy(F.lit(0)).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = F.broadcast(
-        per_slice.select(
-            "s",
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
-            F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total"),
-        )
+    offsets = per_slice.select(
+        "s",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
+        F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total"),
     )
     up_to = Window.partitionBy("s").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (

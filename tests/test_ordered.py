@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from orderwell.functions.ordered import Ordering, order_globally
 from orderwell.functions.quantiles import exact_quantiles
-from orderwell.functions.sequence import first_orders, neighbour_dates, number_orders
+from orderwell.functions.sequence import first_orders, neighbour_dates, number_orders, with_slices
+from orderwell.functions.slices import cut_points, slice_of, with_places
 
 
 def skewed(spark, n, seed, nulls=False):
@@ -96,6 +97,42 @@ def test_exact_quantiles(spark, n):
     assert got == pytest.approx(list(want))
 
 
+def test_slices_follow_the_rows_and_shares(spark):
+    rows = [(i, 7 if i % 2 else i, Decimal(i) / 4, i * 0.1) for i in range(6000)]
+    df = spark.createDataFrame(rows, "key long, v long, m decimal(12,2), d double").repartition(3)
+    by_v, by_m, by_d = cut_points(df, ["v", "m", "d"], rows_per_slice=10)
+    assert len(by_m.values) > 500 and len(by_d.values) > 500  # no upper limit
+    assert dict(zip(by_v.values, by_v.shares))[7] in range(290, 311)  # half of 600 slices
+    for name, cuts in (("m", by_m), ("d", by_d), ("v", by_v)):
+        got = df.select(name, slice_of(name, cuts).alias("s")).collect()
+        assert all(r["s"] == sum(c < r[name] for c in cuts.values) for r in got)
+        assert len({r["s"] for r in got}) == len({sum(c < r[name] for c in cuts.values) for r in got})
+    placed = with_places(df, "v", "key", by_v, cut_points(df, ["key"], 10)[0], ("p", "k"))
+    sizes = placed.groupBy("p", "k").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 60 and sizes[1] <= 1300  # no slice is large, and there are not many more than rows ask for
+
+
+def test_customer_with_most_orders_at_one_moment(spark):
+    rng = random.Random(2)
+    moments = ["2024-03-31 02:30:00", "2024-03-31 02:30:00.000001", "2024-03-31 03:00:00", "1969-12-31 23:59:59.5"]
+    rows = [(i, 1 if rng.random() < 0.4 else rng.randrange(2, 9), moments[0] if rng.random() < 0.8 else rng.choice(moments), rng.random() < 0.3) for i in range(1500)]
+    df = spark.createDataFrame(rows, "OrderId long, CustomerId long, t string, cancelled boolean").select(
+        "OrderId", "CustomerId", F.col("t").cast("timestamp_ntz").alias("OrderDateTime"), F.to_date("t").alias("OrderDate"), "cancelled"
+    )
+    w = Window.partitionBy("CustomerId").orderBy("OrderDateTime", "OrderId")
+    valid = (~F.col("cancelled")).cast("int")
+    sliced = with_slices(df, 20)
+    assert sliced.where("CustomerId = 1").groupBy("__p", "__k").count().agg(F.max("count")).first()[0] < 200
+    got = neighbour_dates(number_orders(df, ~F.col("cancelled"), "n", floor=20), floor=20)
+    want = df.withColumns({
+        "n": F.sum(valid).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "PreviousOrderDate": F.lag("OrderDate").over(w), "NextOrderDate": F.lead("OrderDate").over(w),
+    })
+    names = ["OrderId", "n", "PreviousOrderDate", "NextOrderDate"]
+    rows = lambda df: sorted(map(tuple, df.select(names).collect()), key=lambda r: r[0])
+    assert rows(got) == rows(want)
+
+
 def orders_with_hot_customer(spark):
     rng = random.Random(11)
     rows = []
