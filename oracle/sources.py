@@ -1,8 +1,15 @@
-"""Source profile s07: row counts of all bound tables."""
+"""Sources: CSV round trips s01 and s03, row counts s07, snapshots s08."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
+from pyspark.sql import functions as F
+
 from oracle.catalog import query
+from orderwell.session import shared_folder
+from orderwell.sources import files, snapshots
 from orderwell.sources.files import row_counts
 
 _TABLES = {
@@ -15,3 +22,65 @@ query(
     "s07_row_counts", "s: TableName i: Rows", " ".join(_TABLES.values()),
     " UNION ALL ".join(f"SELECT '{name}' AS TableName, COUNT(*) AS Rows FROM {piece}" for name, piece in _TABLES.items()),
 )(row_counts)
+
+
+def _folder(t) -> str:
+    """A folder of its own in the shared one."""
+    return f"{shared_folder(t['orders'].sparkSession).rstrip('/')}/orderwell/{uuid.uuid4().hex}"
+
+
+@query(
+    "s01_csv_round_trip", "i: CustomerId s: FirstName LastName Email d: AcquisitionDate s: AcquisitionSource i: SegmentId IsActive",
+    "customers", r"""
+SELECT CustomerId, concat('"', FirstName, '" ""') AS FirstName, concat(LastName, ', ', chr(10), '"', chr(10), CustomerId) AS LastName, Email,
+       AcquisitionDate, AcquisitionSource, SegmentId, IsActive FROM customers""",
+)
+def csv_round_trip(t):
+    """Quotes, doubled quotes, commas and line breaks in texts come back as they were."""
+    folder, customers = _folder(t), t["customers"]
+    awkward = customers.withColumns({
+        "FirstName": F.concat(F.lit('"'), "FirstName", F.lit('" ""')),
+        "LastName": F.concat("LastName", F.lit(', \n"\n'), F.col("CustomerId").cast("string")),
+    })
+    files.write_csv(awkward, f"{folder}/customers.csv")
+    return files.read_table(customers.sparkSession, folder, "customers")
+
+
+@query(
+    "s03_rejects", "s: Kind i: Rows Total", "b_orders", """
+SELECT 'rejected' AS Kind, COUNT(*) AS Rows, SUM(OrderId) AS Total FROM b_orders WHERE OrderId % 7 = 0
+UNION ALL SELECT 'typed', COUNT(*), SUM(OrderId) FROM b_orders WHERE OrderId % 7 <> 0""",
+)
+def rejects(t):
+    """Records whose amount is no number are kept as they are; all others are typed."""
+    folder, orders = _folder(t), t["orders"]
+    wrong = F.when(F.col("OrderId") % 7 == 0, F.concat(F.lit("n/a "), F.col("OrderId").cast("string")))
+    files.write_csv(orders.withColumn("TaxAmount", F.coalesce(wrong, F.col("TaxAmount").cast("string"))), f"{folder}/orders.csv")
+    good, bad = files.read_with_rejects(orders.sparkSession, folder, "orders")
+    named = F.regexp_extract("Record", "n/a ([0-9]+)", 1).cast("bigint")
+    return good.agg(F.lit("typed").alias("Kind"), F.count("TaxAmount").alias("Rows"), F.sum("OrderId").alias("Total")).unionByName(
+        bad.agg(F.lit("rejected").alias("Kind"), F.count("Record").alias("Rows"), F.sum(named).alias("Total"))
+    )
+
+
+_DAYS = (dt.date(1995, 6, 30), dt.date(1996, 6, 30))
+
+
+@query(
+    "s08_snapshots", "s: Read d: SnapshotDate i: Customers Orders", "b_orders", f"""
+WITH day AS (SELECT * FROM (VALUES ('first', DATE '{_DAYS[0]}'), ('latest', DATE '{_DAYS[1]}')) AS v(Read, SnapshotDate))
+SELECT Read, SnapshotDate, COUNT(DISTINCT CustomerId) AS Customers, COUNT(*) AS Orders FROM b_orders JOIN day ON OrderDate <= SnapshotDate GROUP BY ALL""",
+)
+def two_snapshots(t):
+    """Two days are written, the first one twice; each is read as last written."""
+    spark, path = t["orders"].sparkSession, f"{_folder(t)}/orders_per_customer"
+
+    def until(day, last):
+        found = t["orders"].where(F.col("OrderDate").cast("date") <= F.lit(last)).groupBy("CustomerId").agg(F.count(F.lit(1)).alias("Orders"))
+        return found.withColumn("SnapshotDate", F.lit(day))
+
+    for day, last in ((_DAYS[0], _DAYS[1]), (_DAYS[1], _DAYS[1]), (_DAYS[0], _DAYS[0])):
+        snapshots.write_snapshot(until(day, last), path)
+    first = snapshots.read_snapshot(spark, path, _DAYS[0]).withColumn("Read", F.lit("first"))
+    both = first.unionByName(snapshots.read_snapshot(spark, path).withColumn("Read", F.lit("latest")))
+    return both.groupBy("Read", "SnapshotDate").agg(F.count(F.lit(1)).alias("Customers"), F.sum("Orders").alias("Orders"))

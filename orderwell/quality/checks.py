@@ -71,8 +71,8 @@ def null_profile(t: Tables, names: Iterable[str] | None = None) -> DataFrame:
         return t[name].agg(
             F.lit(name).alias("TableName"),
             F.count(F.lit(1)).alias("Rows"),
-            nulls(contract.required_not_null).alias("UnexpectedNulls"),
-            nulls(contract.expected_null).alias("ExpectedNulls"),
+            nulls(contract.not_null).alias("UnexpectedNulls"),
+            nulls(contract.gaps).alias("ExpectedNulls"),
         )
 
     return _union(one(n) for n in (names or CONTRACTS))
@@ -85,7 +85,7 @@ def check_constraints(t: Tables, names: Iterable[str] | None = None) -> DataFram
     """
 
     def one(name: str) -> DataFrame:
-        rules = CONTRACTS[name].rules
+        rules = CONTRACTS[name].checks.items()
         counted = t[name].agg(
             *[count_if(~F.expr(rule)).alias(label) for label, rule in rules]
         )
@@ -99,7 +99,7 @@ def check_constraints(t: Tables, names: Iterable[str] | None = None) -> DataFram
         )
         return counted.select(F.inline(pairs))
 
-    return _union(one(n) for n in (names or CONTRACTS) if CONTRACTS[n].rules)
+    return _union(one(n) for n in (names or CONTRACTS) if CONTRACTS[n].checks)
 
 
 def orphans(t: Tables, child: str, column: str, parent: str, key: str) -> DataFrame:

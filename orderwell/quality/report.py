@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderwell.operators.facts import Tables
 from orderwell.quality import checks
-from orderwell.sources.contracts import DataQualityError
+from orderwell.sources.contracts import SourceError
 
 ROW_CHECKS = {
     "orders_without_lines": checks.orders_without_lines,
@@ -91,5 +91,5 @@ def require_quality(report: DataFrame) -> DataFrame:
     failed = report.filter((F.col("Status") == "FAIL") & (F.col("Blocking") == 1))
     names = [row["CheckName"] for row in failed.select("CheckName").collect()]
     if names:
-        raise DataQualityError("; ".join(sorted(names)))
+        raise SourceError("; ".join(sorted(names)))
     return report

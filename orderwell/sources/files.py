@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderwell.sources.contracts import CONTRACTS, DataQualityError
+from orderwell.session import materialize
+from orderwell.sources.contracts import CONTRACTS, SourceError
 
 # Parents before children, so that a failed load leaves no dangling keys.
 LOAD_ORDER = (
@@ -24,43 +25,93 @@ def _path(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}.csv"
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One CSV table under its contract.
+#: Fields in double quotes may hold commas, doubled quotes and line breaks.
+QUOTED = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
+TIME = "yyyy-MM-dd['T'][ ]HH:mm:ss"
+BAD = "_record"
 
-    The header decides which file column is which; columns outside the contract
-    are dropped, a missing required column is an error, and a missing optional
-    one is NULL.  Values take the contract's types; an empty string is NULL.
-    """
+
+def _header(spark: SparkSession, folder: str, name: str) -> list[str]:
     contract = CONTRACTS[name]
     try:
-        header = spark.read.option("header", True).csv(_path(folder, name)).columns
+        header = spark.read.options(**QUOTED).csv(_path(folder, name)).columns
     except AnalysisException as error:
         raise FileNotFoundError(f"source table is missing: {_path(folder, name)}") from error
-    missing = sorted(set(contract.required) - set(header))
+    missing = sorted(set(contract.in_file) - set(header))
     if missing:
-        raise DataQualityError(f"{name} lacks required columns: {missing}")
-    types = {field.name: field.dataType for field in contract.schema}
+        raise SourceError(f"{name} lacks required columns: {missing}")
+    return header
+
+
+def _scan(
+    spark: SparkSession, folder: str, name: str, header: list[str], mode: str, line_breaks: bool
+) -> DataFrame:
+    """The columns of the files, typed as declared.  Every file's own header is held against the first one's."""
+    types = {field.name: field.dataType for field in CONTRACTS[name].schema}
     # Every column is read as written in the file, then cast where declared.
     layout = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
-    data = (
+    if mode == "PERMISSIVE":
+        layout = layout.add(BAD, T.StringType())
+    return (
         spark.read.schema(layout)
-        .option("header", True)
-        .option("encoding", "UTF-8")
+        .options(**QUOTED)
+        .option("multiLine", line_breaks)
+        .option("enforceSchema", False)
         .option("nullValue", "")
-        .option("mode", "FAILFAST")
-        .option("timestampNTZFormat", "yyyy-MM-dd['T'][ ]HH:mm:ss")
+        .option("mode", mode)
+        .option("columnNameOfCorruptRecord", BAD)
+        .option("timestampNTZFormat", TIME)
         .csv(_path(folder, name))
     )
+
+
+def _declared(data: DataFrame, name: str, header: list[str]) -> DataFrame:
     return data.select(
         *[
             F.col(field.name)
             if field.name in header
             else F.lit(None).cast(field.dataType).alias(field.name)
-            for field in contract.schema
+            for field in CONTRACTS[name].schema
         ]
     )
 
 
+def read_table(
+    spark: SparkSession, folder: str, name: str, line_breaks: bool = True
+) -> DataFrame:
+    """One CSV table under its contract; a record that does not parse is an error.
+
+    The header decides which file column is which; columns outside the contract
+    are dropped, a missing NOT NULL column is an error, and a missing optional
+    one is NULL.  Values take the contract's types; an empty string is NULL.
+    Without ``line_breaks`` in fields, large files are split among tasks.
+    """
+    header = _header(spark, folder, name)
+    return _declared(_scan(spark, folder, name, header, "FAILFAST", line_breaks), name, header)
+
+
+def read_with_rejects(
+    spark: SparkSession, folder: str, name: str, line_breaks: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that parse, and the records that do not: (TableName, Record, MissingKey).
+
+    A record is rejected if a value has not its declared type, if it has too
+    many or too few fields, or if its key is missing.  The files are parsed once,
+    into a table of the shared folder, from which both results are read.
+    """
+    header = _header(spark, folder, name)
+    parsed = _scan(spark, folder, name, header, "PERMISSIVE", line_breaks)
+    key = CONTRACTS[name].key
+    written = materialize(parsed.withColumn("_keyless", F.col(BAD).isNull() & F.col(key).isNull()))
+    bad = F.col(BAD).isNotNull() | F.col("_keyless")
+    rejects = written.where(bad).select(
+        F.lit(name).alias("TableName"),
+        F.coalesce(F.col(BAD), F.to_json(F.struct(*[F.col(f"`{c}`") for c in header]))).alias("Record"),
+        F.col("_keyless").alias("MissingKey"),
+    )
+    return _declared(written.where(~bad), name, header), rejects
+
+
 def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All seventeen tables.  Large facts are split by the scan, not by hand."""
     return {name: read_table(spark, folder, name) for name in CONTRACTS}
@@ -95,6 +146,11 @@ def six_decimals(df: DataFrame) -> DataFrame:
     return df.select(*shown)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A table as files that ``read_table`` reads back as it was, whatever its texts hold."""
+    df.write.mode("overwrite").options(**QUOTED).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+
+
 def export_star(star: Mapping[str, DataFrame], folder: str, as_csv: bool = False) -> DataFrame:
     """Write the 22 reporting tables in key order and return their row counts.
 
@@ -109,8 +165,8 @@ def export_star(star: Mapping[str, DataFrame], folder: str, as_csv: bool = False
         ordered = star[table].orderBy(*keys)
         path = f"{folder.rstrip('/')}/{file}"
         if as_csv:
-            six_decimals(ordered).write.mode("overwrite").option("header", True).csv(path)
-            written[file] = spark.read.option("header", True).csv(path)
+            six_decimals(ordered).write.mode("overwrite").options(**QUOTED).csv(path)
+            written[file] = spark.read.options(**QUOTED).option("multiLine", True).csv(path)
         else:
             ordered.write.mode("overwrite").parquet(path)
             written[file] = spark.read.parquet(path)
@@ -125,7 +181,8 @@ def read_export(
 
     return {
         table: spark.read.schema(star[table].schema)
-        .option("header", True)
+        .options(**QUOTED)
+        .option("multiLine", True)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(f"{folder.rstrip('/')}/{file}")
         for file, table, _ in EXPORTS

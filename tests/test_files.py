@@ -9,7 +9,7 @@ from orderwell.operators import customers
 from orderwell.plans.star import EXPORTS, Star, relationship_audit
 from orderwell.quality import report
 from orderwell.sources import files, snapshots
-from orderwell.sources.contracts import CONTRACTS, DataQualityError
+from orderwell.sources.contracts import CONTRACTS, SourceError
 from shop import shop, when
 
 
@@ -45,10 +45,30 @@ def test_missing_table_and_column(spark, tables, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_table(spark, str(tmp_path), "orders")
     tables["orders"].drop("CustomerId").write.option("header", True).csv(f"{tmp_path}/orders.csv")
-    with pytest.raises(DataQualityError):
+    with pytest.raises(SourceError):
         files.read_table(spark, str(tmp_path), "orders")
 
 
+def test_quoted_fields_headers_and_rejects(spark, tmp_path):
+    folder = tmp_path / "customer_segments.csv"
+    folder.mkdir()
+    text = 'SegmentId,SegmentName,Description,Extra\n1,"a ""b"", c","line\nbreak",x\n2,plain,,\n'
+    (folder / "part-0.csv").write_text(text)
+    rows = sorted(map(tuple, files.read_table(spark, str(tmp_path), "customer_segments").collect()))
+    assert rows == [(1, 'a "b", c', "line\nbreak"), (2, "plain", None)]
+    (folder / "part-1.csv").write_text("SegmentId,SegmentName,Description,Extra\nseven,x,y,z\n,no key,,\n8,short\n9,fine,,\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        files.read_table(spark, str(tmp_path), "customer_segments").collect()
+    good, bad = files.read_with_rejects(spark, str(tmp_path), "customer_segments")
+    assert sorted(r["SegmentId"] for r in good.collect()) == [1, 2, 9]
+    found = {r["Record"]: r["MissingKey"] for r in bad.collect()}
+    assert len(found) == 3 and found["seven,x,y,z"] is False and found["8,short"] is False and True in found.values()
+    # another file's columns in another order are an error, not shifted values
+    (folder / "part-2.csv").write_text("SegmentName,SegmentId,Description,Extra\nx,10,,\n")
+    with pytest.raises(Exception, match="header|Header|HEADER"):
+        files.read_table(spark, str(tmp_path), "customer_segments").where("SegmentId = 10").collect()
+
+
 def test_typed_load_replaces(spark, tables, csv_folder, tmp_path):
     for _ in range(2):
         loaded = files.load_typed(spark, csv_folder, str(tmp_path / "typed"))
@@ -97,8 +117,8 @@ def test_quality_report_and_fail_fast(spark, tables):
     assert report.require_quality(good) is good
     assert report.overall(good).first()["Status"] == "PASS"
     bad = {**tables, "order_items": tables["order_items"].withColumn("ProductId", F.lit(99).cast("long"))}
-    with pytest.raises(DataQualityError, match="foreign_key:order_items.ProductId"):
+    with pytest.raises(SourceError, match="foreign_key:order_items.ProductId"):
         report.require_quality(report.quality_report(bad))
     empty = {**tables, "orders": tables["orders"].withColumn("CustomerId", F.lit(None).cast("long"))}
-    with pytest.raises(DataQualityError, match="unexpected_nulls:orders"):
+    with pytest.raises(SourceError, match="unexpected_nulls:orders"):
         report.require_quality(report.quality_report(empty))
