@@ -5,12 +5,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from oracle.catalog import query
-from oracle.star import CHANNEL, REGION, SERIES, D, div, measure_query, series_changes
+from oracle.star import CHANNEL, REGION, SERIES, D, div, series_changes, tidy
 from orderwell.plans import measures
 from orderwell.plans.contexts import Base, Shift, ToDate, Trailing
 from orderwell.plans.star import Star
 
 MONTH = ("DimDate", "YearMonth")
+
+
+def asked(name, columns, needs, sql, names, group_by=(), filters=()):
+    """Register a call of ``evaluate``; a filter's condition is SQL text, as there is no session yet."""
+
+    def build(t):
+        made = [(table, F.expr(condition), *column) for table, condition, *column in filters]
+        return tidy(measures.evaluate(Star(t), names, group_by, made))
+
+    query(name, columns, needs, sql)(build)
+
+
 SAME, BEFORE, YEAR_AGO = "a.MonthStart = g.MonthStart", "a.MonthStart = g.MonthStart - INTERVAL 1 MONTH", "a.MonthStart = g.MonthStart - INTERVAL 12 MONTH"
 TO_DATE = "year(a.MonthStart) = year(g.MonthStart) AND a.MonthStart <= g.MonthStart"
 LAST_3 = "a.MonthStart BETWEEN g.MonthStart - INTERVAL 2 MONTH AND g.MonthStart"
@@ -69,7 +81,7 @@ def growth(value, before):
 
 
 _REVENUE, _KEPT, _PROFIT = total("NetRevenue"), total("RevenueAfterRefund"), total("GrossProfit")
-measure_query(
+asked(
     "x22a_time_measures",
     "s: ChannelName YearMonth f: RevenuePreviousMonth RevenueMoMChange RevenueMoMPct RevenuePreviousYear RevenueYoYChange RevenueYoYPct RevenueMTD"
     " RevenueYTD RevenueAfterRefundYTD Rolling3MRevenue Rolling12MRevenue i: OrdersPreviousYear f: OrdersYoYPct GrossProfitPreviousYear"
@@ -95,7 +107,7 @@ FROM w WHERE COALESCE(v, p, y, ytd, r3, r12) IS NOT NULL""",
 
 # quarters, the first and last of them cut by the date filter
 _FROM, _TO = "1996-02-10", "1997-05-20"
-_CUT = ("DimDate", F.col("FullDate").between(_FROM, _TO))
+_CUT = ("DimDate", f"FullDate BETWEEN DATE'{_FROM}' AND DATE'{_TO}'")
 
 
 def _moved(months: int) -> str:
@@ -115,38 +127,38 @@ _CONTEXTS = [
     ("RevenuePreviousYear", _moved(12)), ("RevenueMTD", _ended("date_trunc('month', z)")), ("RevenueYTD", _ended("date_trunc('year', z)")),
     ("Rolling3MRevenue", _ended(_TRAIL)),
 ]
-measure_query(
+asked(
     "x22b_partial_quarters", "i: CalendarYear CalendarQuarter f: " + " ".join(n for n, _ in _CONTEXTS), "order_summary calendar", f"""
 WITH cut AS (SELECT * FROM calendar WHERE FullDate BETWEEN DATE '{_FROM}' AND DATE '{_TO}'),
 met AS ({' UNION ALL '.join(f"SELECT '{n}' AS what, * FROM ({sql})" for n, sql in _CONTEXTS)})
 SELECT CalendarYear, CalendarQuarter, {', '.join(f"SUM(NetRevenue) FILTER (what = '{n}') AS {n}" for n, _ in _CONTEXTS)}
 FROM met JOIN order_summary USING (OrderDate) WHERE Region <> 'ASIA' GROUP BY ALL""",
     ["Revenue", "Revenue Previous Month", "Revenue Previous Year", "Revenue MTD", "Revenue YTD", "Rolling 3M Revenue"],
-    [("DimDate", "CalendarYear"), ("DimDate", "CalendarQuarter")], [_CUT, ("DimGeography", F.col("Region") != "ASIA")],
+    [("DimDate", "CalendarYear"), ("DimDate", "CalendarQuarter")], [_CUT, ("DimGeography", "Region != 'ASIA'")],
 )
-measure_query(
+asked(
     "x22c_new_customers", "s: SegmentName i: CalendarYear CalendarQuarter i: NewCustomers", "customer_metrics calendar", f"""
 SELECT SegmentName, CalendarYear, CalendarQuarter, COUNT(*) AS NewCustomers
 FROM customer_metrics JOIN calendar ON FullDate = FirstOrderDate
 WHERE FullDate BETWEEN DATE '{_FROM}' AND DATE '{_TO}' AND SegmentName <> 'MACHINERY' GROUP BY ALL""",
     ["New Customers"], [("DimCustomer", "SegmentName"), ("DimDate", "CalendarYear"), ("DimDate", "CalendarQuarter")],
-    [_CUT, ("DimCustomer", F.col("SegmentName") != "MACHINERY")],
+    [_CUT, ("DimCustomer", "SegmentName != 'MACHINERY'")],
 )
-measure_query(
+asked(
     "x22d_rfm_share_of_all_segments", "s: SegmentName RfmSegment i: RFMCustomers f: RFMCustomerSharePct", "rfm customer_metrics", f"""
 WITH r AS (SELECT SegmentName, Segment AS RfmSegment, CustomerId FROM rfm JOIN (SELECT CustomerId, SegmentName FROM customer_metrics) USING (CustomerId)),
 n AS (SELECT SegmentName, COUNT(*) AS everyone FROM r GROUP BY ALL)
 SELECT SegmentName, RfmSegment, COUNT(*) AS RFMCustomers, {div('COUNT(*)', 'any_value(everyone)')} AS RFMCustomerSharePct
 FROM r JOIN n USING (SegmentName) WHERE RfmSegment IN ('Champions', 'At Risk') GROUP BY ALL""",
     ["RFM Customers", "RFM Customer Share %"], [("DimCustomer", "SegmentName"), ("FactRfmSnapshot", "RfmSegment")],
-    [("FactRfmSnapshot", F.col("RfmSegment").isin("Champions", "At Risk"), "RfmSegment")],
+    [("FactRfmSnapshot", "RfmSegment IN ('Champions', 'At Risk')", "RfmSegment")],
 )
-measure_query(
+asked(
     "x22e_product_rank_in_channel", "s: ChannelName i: ProductId f: ProductRevenue i: ProductRevenueRank", "line_values", """
 SELECT ChannelName, ProductId, SUM(NetRevenue) AS ProductRevenue,
        dense_rank() OVER (PARTITION BY ChannelName ORDER BY SUM(NetRevenue) DESC) AS ProductRevenueRank
 FROM line_values WHERE year(OrderDate) = 1997 GROUP BY ChannelName, ProductId""",
-    ["Product Revenue", "Product Revenue Rank"], [CHANNEL, ("DimProduct", "ProductId")], [("DimDate", F.col("CalendarYear") == 1997)],
+    ["Product Revenue", "Product Revenue Rank"], [CHANNEL, ("DimProduct", "ProductId")], [("DimDate", "CalendarYear = 1997")],
 )
 _PARETO = ["Customer Revenue Rank", "Cumulative Customer Revenue", "Pareto Revenue %", "Pareto 80% Customer Flag"]
 
@@ -164,18 +176,18 @@ FROM r a JOIN r b ON {same}b.n = a.k"""
 
 
 _PARETO_COLUMNS = "i: CustomerId CustomerRevenueRank f: CumulativeCustomerRevenue ParetoRevenuePct i: Pareto80PctCustomerFlag"
-measure_query("x22f_customer_pareto", _PARETO_COLUMNS, "order_summary", _pareto_sql(""), _PARETO, [("DimCustomer", "CustomerId")])
-measure_query(
+asked("x22f_customer_pareto", _PARETO_COLUMNS, "order_summary", _pareto_sql(""), _PARETO, [("DimCustomer", "CustomerId")])
+asked(
     "x22g_customer_pareto_in_region", "s: Region " + _PARETO_COLUMNS, "order_summary", _pareto_sql("Region"), _PARETO,
     [REGION, ("FactOrders", "CustomerId")],
 )
-measure_query(
+asked(
     "x22h_retention_of_late_cohorts", "d: CohortMonth i: MonthsSinceFirstOrder f: RetentionPct", "cohort_retention",
     "SELECT CohortMonth, MonthsSinceFirstOrder, RetentionRate AS RetentionPct FROM cohort_retention WHERE CohortMonth >= DATE '1993-01-01'",
     ["Retention %"], [("FactCohortRetention", "CohortMonth"), ("FactCohortRetention", "MonthsSinceFirstOrder")],
-    [("FactCohortRetention", F.col("CohortMonth") >= "1993-01-01")],
+    [("FactCohortRetention", "CohortMonth >= DATE'1993-01-01'")],
 )
-measure_query(
+asked(
     "x22i_nested_contexts", "s: YearMonth i: OrdersYTDYearAgo ActiveLast12M", "order_summary calendar", f"""
 SELECT strftime(g.MonthStart, '%Y-%m') AS YearMonth,
        {ORDERS("year(a.MonthStart) = year(g.MonthStart) - 1 AND a.MonthStart <= g.MonthStart - INTERVAL 12 MONTH")} AS OrdersYTDYearAgo,
