@@ -12,18 +12,22 @@ smaller id. Products are integers; distances only prune, with a margin for round
 Queries and shards meet in blocks; each pair of a block of queries and a shard is a task's group, bounded in size. The
 best k of a shard go to a window over each query.
 
-Vectors that are null, or hold a null or a component that is not finite, take no part, nor do null ids. Rows with equal
-ids are one vector (the smallest in order). Vectors of unequal length are filled with zeros. Products must fit a long.
+Every row is a candidate for every query but itself. Rows with equal ids and different vectors are different candidates;
+wholly equal rows are one entry that knows its number of copies, which is spread into rows in the result. Each query row
+has results of its own, so a query id that stands in m rows has m results of each rank.
+
+Vectors that are null, or hold a null or a component that is not finite, take no part, nor do null ids. Vectors of unequal
+length are filled with zeros. Products must fit a long.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +36,7 @@ from orderwell.session import materialize
 
 K = 10
 SHARD = 8192
-BLOCK = 1024
+BLOCK = 16384
 PAGE = 128
 FANOUT = 16
 
@@ -40,21 +44,23 @@ FANOUT = 16
 class Page:
     """Entries below one routing vector: vectors with ids (a leaf) or routing vectors with radii and pages."""
 
-    __slots__ = ("vectors", "to_parent", "ids", "radii", "pages", "least_id", "norms")
+    __slots__ = ("vectors", "to_parent", "rows", "ids", "radii", "pages", "least_id")
 
-    def __init__(self, vectors, to_parent, ids=None, radii=None, pages=None):
-        self.vectors, self.to_parent, self.ids, self.radii, self.pages = vectors, to_parent, ids, radii, pages
+    def __init__(self, vectors, to_parent, rows=None, ids=None, radii=None, pages=None):
+        self.vectors, self.to_parent, self.rows, self.ids, self.radii, self.pages = vectors, to_parent, rows, ids, radii, pages
         self.least_id = int(ids.min()) if pages is None else min(p.least_id for p in pages)
 
 
 class MTree:
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray):
+    """The entries of a shard; `copies` says how many equal rows an entry stands for."""
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, copies: np.ndarray):
         squares = (vectors.astype(np.float64) ** 2).sum(axis=1)
         self.top = float(squares.max(initial=0.0))
         points = np.column_stack([vectors.astype(np.float64), np.sqrt(np.maximum(0, self.top - squares))])
         # rounding of a distance, with room to spare
         self.slack = 1e-6 * (1 + math.sqrt(self.top))
-        self.vectors, self.points, self.ids = vectors, points, ids
+        self.vectors, self.points, self.ids, self.copies = vectors, points, ids, copies
         self.root = self._grow(np.arange(len(ids)), None) if len(ids) else None
 
     def _distances(self, rows: np.ndarray, row: int) -> np.ndarray:
@@ -63,7 +69,7 @@ class MTree:
     def _grow(self, rows: np.ndarray, parent: int | None) -> Page:
         to_parent = np.zeros(len(rows)) if parent is None else self._distances(rows, parent)
         if len(rows) <= PAGE:
-            return Page(self.vectors[rows], to_parent, ids=self.ids[rows])
+            return Page(self.vectors[rows], to_parent, rows=rows, ids=self.ids[rows])
         routes = rows[np.linspace(0, len(rows) - 1, FANOUT).astype(int)]
         nearest = np.array([self._distances(rows, r) for r in routes]).argmin(axis=0)
         groups = [rows[nearest == i] for i in range(FANOUT)]
@@ -77,12 +83,17 @@ class MTree:
         up = np.zeros(len(routes)) if parent is None else self._distances(routes, parent)
         return Page(self.vectors[routes], up, radii=radii, pages=pages)
 
-    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """(score, id) of the k best, in order."""
+    def others(self, row: int, query: np.ndarray, own: int) -> int:
+        """Copies of an entry besides the query's own row."""
+        is_own = self.ids[row] == own and (self.vectors[row] == query).all()
+        return int(self.copies[row]) - int(is_own)
+
+    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int, int]]:
+        """(score, id, copies) of the k best entries, in order; `own` is the id of the query's row."""
         if self.root is None:
             return []
         length = float((query.astype(np.float64) ** 2).sum()) + self.top
-        best: list[tuple[int, int]] = []  # a heap of (score, -id): its first is the worst kept
+        best: list[tuple[int, int, int]] = []  # a heap of (score, -id, row): its first is the worst kept
         # (least distance, turn, page, distance of the query to the page's routing vector or None at the root)
         heap, turn = [(0.0, 0, self.root, None)], 0
         while heap:
@@ -97,26 +108,27 @@ class MTree:
                 live = np.flatnonzero(np.abs(to_route - page.to_parent) - radii <= limit)
             scores = page.vectors[live] @ query
             if page.pages is None:
-                for score, i in zip(scores.tolist(), page.ids[live].tolist(), strict=True):
-                    if i == own:
+                entries = zip(scores.tolist(), page.ids[live].tolist(), page.rows[live].tolist(), strict=True)
+                for score, i, row in entries:
+                    if i == own and not self.others(row, query, own):
                         continue
                     if len(best) < k:
-                        heapq.heappush(best, (score, -i))
-                    elif (score, -i) > best[0]:
-                        heapq.heapreplace(best, (score, -i))
+                        heapq.heappush(best, (score, -i, row))
+                    elif (score, -i) > best[0][:2]:
+                        heapq.heapreplace(best, (score, -i, row))
                 continue
             distance = np.sqrt(np.maximum(0.0, length - 2.0 * scores))
             for j, d in zip(live.tolist(), distance.tolist(), strict=True):
                 low = max(0.0, d - page.radii[j] - self.slack)
                 child = page.pages[j]
                 if len(best) == k:
-                    worst, minus = best[0]
+                    worst, minus, _ = best[0]
                     reach = math.sqrt(max(0.0, length - 2 * worst))
                     if low > reach + self.slack or (low + 2 * self.slack >= reach and self._only_ties(child, query, worst, -minus)):
                         continue
                 turn += 1
                 heapq.heappush(heap, (low, turn, child, d))
-        return [(s, -i) for s, i in sorted(best, key=lambda x: (-x[0], -x[1]))]
+        return [(s, -i, self.others(row, query, own)) for s, i, row in sorted(best, key=lambda x: (-x[0], -x[1]))]
 
     @staticmethod
     def _only_ties(page: Page, query: np.ndarray, worst: int, last: int) -> bool:
@@ -127,53 +139,69 @@ class MTree:
 
 
 def whole_numbers(embeddings: DataFrame) -> DataFrame:
-    """vec_id, v array<long>: floor(1024 x) of the vectors that take part, one per id."""
+    """vec_id, v array<long>: floor(1024 x) of the vectors that take part, one per row."""
     x = F.transform("embedding", lambda e: e.cast("double"))
     good = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     return (
         embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(F.coalesce(good, F.lit(False)))
         .select(F.col("vec_id").cast("long").alias("vec_id"),
                 F.transform(x, lambda e: F.floor(e * 1024).cast("long")).alias("v"))
-        .groupBy("vec_id").agg(F.min("v").alias("v"))
     )
 
 
-def _matrix(column: list[list[int]], width: int) -> np.ndarray:
-    out = np.zeros((len(column), width), np.int64)
-    for i, v in enumerate(column):
-        out[i, : len(v)] = v
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Lists of whole numbers as rows, filled with zeros up to the width."""
+    lists = column.combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(lists), width), np.int64)
+    out[np.arange(width) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
-RESULT = "query_id long, vec_id long, score long"
+def _width(column: pa.ChunkedArray) -> int:
+    return pc.max(pc.list_value_length(column)).as_py() or 0
+
+
+RESULT = "query_id long, asked long, times long, vec_id long, score long, copies long"
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: the k highest products of each query (vec_id, v) with vectors (vec_id, v)."""
-    vectors = materialize(vectors)
+    """query_id, rank, vec_id, score: the k highest products of each query row (vec_id, v) with other rows (vec_id, v)."""
+    counted = lambda rows: materialize(rows.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies")))
+    vectors, queries = counted(vectors), counted(queries)
     n_shards = max(1, -(-vectors.count() // shard))
     n_blocks = max(1, -(-queries.count() // block))
-    dealt = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
+    # equal vectors are spread by id, equal ids by vector
+    dealt = lambda n, seed: F.pmod(F.xxhash64("vec_id", "v", F.lit(seed)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    there = vectors.select("vec_id", "v", dealt(n_shards, 1).alias("shard"), every(n_blocks).alias("block"))
-    asked = queries.select("vec_id", "v", every(n_shards).alias("shard"), dealt(n_blocks, 2).alias("block"))
+    there = vectors.select("*", dealt(n_shards, 1).alias("shard"), every(n_blocks).alias("block"))
+    asked = queries.select(
+        "*", F.xxhash64("vec_id", "v").alias("asked"), every(n_shards).alias("shard"), dealt(n_blocks, 2).alias("block")
+    )
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        listed, asking = left.column("v").to_pylist(), right.column("v").to_pylist()
-        width = max([len(v) for v in listed + asking], default=0)
-        tree = MTree(_matrix(listed, width), np.array(left.column("vec_id").to_pylist(), np.int64))
+        width = max(_width(left.column("v")), _width(right.column("v")))
+        numbers = lambda table, name: table.column(name).to_numpy()
+        tree = MTree(_matrix(left.column("v"), width), numbers(left, "vec_id"), numbers(left, "copies"))
+        names = [numbers(right, c).tolist() for c in ("vec_id", "asked", "copies")]
         rows = [
-            (own, i, score)
-            for own, q in zip(right.column("vec_id").to_pylist(), _matrix(asking, width), strict=True)
-            for score, i in tree.search(q, own, k)
+            (own, key, times, i, score, copies)
+            for own, key, times, q in zip(*names, _matrix(right.column("v"), width), strict=True)
+            for score, i, copies in tree.search(q, own, k)
         ]
-        columns = list(zip(*rows, strict=True)) or [(), (), ()]
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns, strict=True)})
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in RESULT.split(", ")])
 
     found = there.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(search, RESULT)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
+    # the best k entries of a query hold its best k rows
+    entries = found.withColumn("entry", F.row_number().over(order)).where(F.col("entry") <= k)
+    before = F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = entries.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < k)
+    last = F.least(F.col("before") + F.col("copies"), F.lit(k))
+    ranked = placed.withColumn("rank", F.explode(F.sequence((F.col("before") + 1).cast("int"), last.cast("int"))))
+    one_each = ranked.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return one_each.select("query_id", "rank", "vec_id", "score")
 
 
 def op4_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,17 +210,17 @@ def op4_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OP4_SQL = """
-WITH v AS (
-    SELECT vec_id, min(list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE)))) AS v
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    GROUP BY vec_id
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-    FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.r <> q.r
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
 )
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-    vec_id, score
-FROM scored QUALIFY rank <= 10
+SELECT * FROM ranked WHERE rank <= 10
 """

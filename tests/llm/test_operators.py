@@ -240,14 +240,19 @@ def test_components(spark):
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(1)
     v = [(i, (rng.normal(size=8) if i % 3 else np.ones(8)).tolist()) for i in range(400)]
-    bad = [(500, None), (600, [1.0, None]), (700, [float("nan")] * 8), (None, [1.0] * 8), (800, [1.0])]
+    v += [(i, rng.normal(size=8).tolist()) for i in (0, 0, 7, 7, 100)]  # ids that repeat, with other vectors
+    v += [(200, v[200][1]), *[(300, [2.0] * 8)] * 12, (9, [3.0] * 8), (9, [3.0] * 8)]  # rows that repeat
+    bad = [(500, None), (600, [1.0, None]), (700, [float("nan")] * 8), (None, [1.0] * 8), (800, [1.0]), (900, [])]
     numbers = exact_topk.whole_numbers(spark.createDataFrame(v + bad, "vec_id long, embedding array<float>"))
     got = exact_topk.top_k(numbers, numbers.where("vec_id % 100 = 0"), shard=150, block=2).collect()
-    held = {r.vec_id: np.array(list(r.v) + [0] * (8 - len(r.v))) for r in numbers.collect()}
-    assert set(held) == {*range(400), 800}
-    for q in (0, 100, 200, 300, 800):
-        want = sorted((-int(held[q] @ x), i) for i, x in held.items() if i != q)[:10]
-        assert [(-r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == want
+    held = [(r.vec_id, np.array(list(r.v) + [0] * (8 - len(r.v)))) for r in numbers.collect()]
+    assert len(held) == len(v) + 2
+    want = []
+    for row, (q, x) in enumerate(held):
+        if q % 100 == 0:
+            best = sorted((-int(x @ y), i) for other, (i, y) in enumerate(held) if other != row)[:10]
+            want += [(q, rank, i, -score) for rank, (score, i) in enumerate(best, 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
     assert exact_topk.top_k(numbers.limit(0), numbers.limit(0)).count() == 0
 
 
