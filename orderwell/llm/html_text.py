@@ -6,9 +6,13 @@ subsequence of the lines of a pair is what the site repeats: menus, notices, foo
 
 What the differencing may not decide: lines inside `article` or `main` are kept even if a neighbour repeats them, because a
 site may hold near copies of an article; and elements that name themselves as menu, header, footer, sidebar, notice,
-advert, form, script, style or comments are left out even where no neighbour repeats them. Names are whole tokens of class
-or id, of containers only; inside an `article` or `main` only names of adverts and comments count. If a page has an
-`article` or `main` with text, outside such elements, only what lies inside belongs to the text.
+advert, form, script, style or comments are left out even where no neighbour repeats them. Names are whole tokens of the
+attributes class and id, of containers only; inside an `article` or `main` only names of adverts and comments count, and an
+article or list item may be a comment. If a page has an `article` or `main` with text, outside such elements, only what lies
+inside belongs to the text.
+
+Pages are read in one pass, in time linear in their length. A tag ends at the first > outside quotes; where a < outside
+quotes or the end of the page comes first, it is no tag but text.
 
 Rows: one per page, also for repeated rows. Null and empty html give an empty text. Pages without a host, and a page alone
 on its host, are paired with none. Null ids stay null; their pages are paired as others.
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderwell.llm.common import SLICE_BYTES, read, slices
-from orderwell.llm.url_filter import host_of, path_of
+from orderwell.llm.url_filter import ATTRIBUTE, host_of, path_of
 from orderwell.session import materialize
 
 # Elements of the HTML standard by their role.
@@ -54,38 +59,49 @@ NAMED = re.compile(
     r"(?:[_-]?(?:\d+|wrapper|container|box|bar|list|area|block|section|inner|top|bottom|left|right|links?))?",
     re.IGNORECASE,
 )
-#: What counts inside an article as well.
-NAMED_INSIDE = re.compile(
-    r"(?:ads?|adverts?|advertisement|advertising|sponsored|comments|disqus)(?:[_-]?(?:\d+|wrapper|container|box|list|area|block|section))?",
+#: Names of reader comments, anywhere.
+COMMENTS = re.compile(
+    r"(?:(?:reader|user|visitor|post|article|blog)s?[_-]?)?(?:comments?|disqus|replies)"
+    r"(?:[_-]?(?:\d+|wrapper|container|box|list|area|block|section|thread|body|content|inner|item|feed))?",
+    re.IGNORECASE,
+)
+#: Names of adverts, which count inside an article as well.
+ADVERTS = re.compile(
+    r"(?:ads?|adverts?|advertisement|advertising|sponsored)(?:[_-]?(?:\d+|wrapper|container|box|list|area|block|section))?",
     re.IGNORECASE,
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog".split())
 
+#: What stands between the name and the end of a tag. Two readings that begin at different tags can never both be in
+#: quotes of one kind, and neither reads past a < outside quotes, so no part of a page is read more than a few times.
+INSIDE = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|iframe)\b{INSIDE}>.*?(?:</\1\s*+>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/<>\"']*+)({INSIDE})>|<[!?][^<>]*+>|</[^<>]*+>",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 
 
-def _is_left_out(name: str, attributes: str, in_content: bool) -> bool:
+def _is_left_out(name: str, inside: str, in_content: bool) -> bool:
     if name in LEFT_OUT:
         return True
-    if not attributes.strip() or name in ("html", "body", *CONTENT):
+    if not inside.strip() or name in ("html", "body"):
         return False
-    for key, a, b, c in ATTRIBUTE.findall(attributes):
-        value = a or b or c
-        key = key.lower()
-        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+    values: dict[str, str] = {}
+    for key, a, b, c in ATTRIBUTE.findall(inside):  # the first of a name counts
+        values.setdefault(key.lower(), html.unescape(a or b or c))
+    if name not in CONTENT:
+        if "hidden" in values or values.get("aria-hidden", "").strip().lower() == "true":
             return True
-        if key == "role" and value.lower() in ROLES:
+        if values.get("role", "").strip().lower() in ROLES:
             return True
-        if key in ("class", "id") and name in CONTAINERS:
-            names = NAMED_INSIDE if in_content else NAMED
-            if any(map(names.fullmatch, value.split())):
-                return True
-    return False
+    kinds = []
+    if name in CONTAINERS or name in CONTENT or name == "li":
+        kinds.append(COMMENTS)
+    if name in CONTAINERS:
+        kinds.append(ADVERTS if in_content else NAMED)
+    names = [x for key in ("class", "id") for x in values.get(key, "").split()]
+    return any(kind.fullmatch(x) for kind in kinds for x in names)
 
 
 def lines_of(page: str | None) -> tuple[list[str], list[bool], list[bool]]:
@@ -94,6 +110,9 @@ def lines_of(page: str | None) -> tuple[list[str], list[bool], list[bool]]:
     if not page:
         return lines, inside, out
     stack: list[tuple[str, bool, bool]] = []  # open elements: name, content, left out
+    # how often each name is open: in all, and within each open article or main, so that no end tag is looked for in vain
+    everywhere: Counter[str] = Counter()
+    scopes: list[Counter[str]] = [Counter()]
     held: list[str] = []
     in_content = left_out = 0
 
@@ -105,6 +124,17 @@ def lines_of(page: str | None) -> tuple[list[str], list[bool], list[bool]]:
             inside.append(in_content > 0)
             out.append(left_out > 0)
 
+    def close() -> str:
+        nonlocal in_content, left_out
+        name, content, gone = stack.pop()
+        in_content -= content
+        left_out -= gone
+        everywhere[name] -= 1
+        scopes[-1][name] -= 1
+        if name in CONTENT:
+            scopes.pop()
+        return name
+
     past = 0
     for m in TOKEN.finditer(page):
         if m.start() > past:
@@ -116,23 +146,21 @@ def lines_of(page: str | None) -> tuple[list[str], list[bool], list[bool]]:
         if name in BLOCKS:
             flush()
         if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    for _, content, gone in stack[i:]:
-                        in_content -= content
-                        left_out -= gone
-                    del stack[i:]
-                    break
-                if stack[i][0] in CONTENT and name not in ("body", "html"):
-                    break  # a stray end tag does not close the article
+            # a stray end tag does not close the article
+            if (everywhere if name in ("body", "html") else scopes[-1])[name]:
+                while close() != name:
+                    pass
         elif name not in VOID and not m[4].endswith("/"):
             if name == "p" and stack and stack[-1][0] == "p":
-                _, content, gone = stack.pop()
-                in_content -= content
-                left_out -= gone
+                close()
             # an article in a part that is left out is not the page's
-            content, gone = name in CONTENT and not left_out, _is_left_out(name, m[4], in_content > 0)
+            gone = _is_left_out(name, m[4], in_content > 0)
+            content = name in CONTENT and not left_out and not gone
             stack.append((name, content, gone))
+            if name in CONTENT:
+                scopes.append(Counter())
+            everywhere[name] += 1
+            scopes[-1][name] += 1
             in_content += content
             left_out += gone
     if past < len(page):

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -326,6 +327,71 @@ def test_main_text_of_ordinary_pages_stays(spark):
     assert pairs == [("h", [2, 9], [2]), ("h", [2, 3], [2])]
 
 
+def test_attributes_are_read_by_name():
+    def kept(page):
+        return [x for x, gone in zip(*html_text.lines_of(page)[::2], strict=True) if not gone]
+
+    for opening in ('<div style="overflow:hidden">', '<p title="hidden gem">', "<div data-state='hidden-no'>", '<div data-id="comments">',
+                    '<div data-hidden>', '<div title="a < b > class=ad">', '<div class=comments-open>', '<div class="x" class="ad">'):
+        assert kept(f"<article><p>Intro</p>{opening}Body</article>") == ["Intro", "Body"], opening
+        assert kept(f"<p>Intro</p>{opening}Body") == ["Intro", "Body"], opening
+    for gone in ('<div class="comment">', '<section class="reader-comments">', "<ol id='comments_list'>", '<li class="x comment">', '<div HIDDEN>',
+                 '<article class="comment">', '<p aria-hidden="true">', "<div class='ad-box'>", '<div role="Search">', "<aside>"):
+        assert kept(f"<article><p>Intro</p>{gone}Body") == ["Intro"], gone
+    assert kept("<article>a</b>b</div>c</article>d") == ["ab", "c", "d"]
+    assert kept("<p>1 <a 2 <b>3</b>") == ["1 <a 2 3"] and kept("x < y <") == ["x < y <"]
+
+
+def test_pages_that_close_nothing_are_read_in_linear_time():
+    n = 1 << 20
+    for part in ("<a ", "<script ", "<!", "</", "<a '", '<a "\'', "<a title=\"'", "<i>", "<p><article>", "<link x='", "&", "<!--", "</script", '<a" ="'):
+        page = (part * n)[:n]
+        for text in (page, "<b>" + page + "</b></i>" * 10_000, "<script>" + page):
+            start = time.perf_counter()
+            html_text.lines_of(text)
+            assert time.perf_counter() - start < 15, part
+    deep = "<b>" + "<article>" * 100 + "<i>" * 100_000 + "</b>" * 100_000
+    start = time.perf_counter()
+    html_text.lines_of(deep)
+    assert time.perf_counter() - start < 15
+
+
+def test_differencing_decides_where_nothing_is_named(spark):
+    """Pages without an article: what the neighbour in the order of paths also has goes, as a plain table says."""
+    rng = random.Random(12)
+    rows, lines = [], {}
+    for i in range(60):
+        host = f"h{i % 3}"
+        own = [f"own {i} {k}" for k in range(rng.randint(0, 4))]
+        lines[i] = [f"{host} line {k}" for k in range(6) if rng.random() < 0.7] + own
+        rng.shuffle(lines[i])
+        rows.append((i, f"http://{host}/{i:03}", "".join(f"<div>{x}</div>" for x in lines[i])))
+    rows.append((99, "http://alone/", "<div>only</div>"))
+    want = {99: "only"}
+    for host in range(3):
+        ids = range(host, 60, 3)
+        first = {}
+        for i in ids:  # pages of equal lines are one
+            first.setdefault(tuple(lines[i]), i)
+        order = sorted(first, key=first.get)
+        shared = {x: set() for x in order}
+        for a, b in zip(order, order[1:]):
+            at = html_text.common(np.array([hash(x) for x in a]), np.array([hash(x) for x in b]))
+            table = np.zeros((len(a) + 1, len(b) + 1), int)
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+            assert len(at) == table[-1, -1]
+            both = {a[i] for i, _ in at}
+            shared[a] |= both
+            shared[b] |= both
+        for i in ids:
+            want[i] = "\n\n".join(x for x in lines[i] if x not in shared[tuple(lines[i])])
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in html_text.extract(frame).collect()} == want
+    assert html_text.extract(frame.limit(0)).count() == 0
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     rows = [(i, some_text(40, 1000 + i), "en", "s", 0) for i in range(40)] + [(90, some_text(40, 1000), "en", "s", 0)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
