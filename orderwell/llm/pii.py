@@ -24,6 +24,7 @@ Rows: one per input row, also for a null id; repeated rows give repeated results
 
 from __future__ import annotations
 
+import bisect
 import re
 import string
 from collections.abc import Iterator
@@ -118,28 +119,32 @@ def entity_of(kind: str, value: str) -> str:
 def terms_near(text: str, spans: list[Span]) -> list[tuple[str, int, int, str]]:
     """(entity, start, end, term) of the words near each base span, none of them inside a base span.
 
-    Both sides are cut to the window by position, so that a long text is not searched as a whole for each span.
+    The words of the text are found once; a word that a span cuts counts with the part before or after the span.
     """
-    taken = sorted((s, e) for s, e, _ in spans)
+    if not spans:
+        return []
+    # base spans as disjoint stretches, in order
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end, _ in sorted(spans):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    places = [m.span() for m in WORD.finditer(text)]
+    firsts, lasts = [a for a, _ in places], [b for _, b in places]
     out = []
     for start, end, kind in spans:
-        left: list[re.Match] = []
-        reach = 256
-        while True:
-            # the first word found may be cut in two, so one more than wanted is looked for
-            left = [m for m in WORD.finditer(text, max(0, start - reach), start)]
-            if len(left) > WINDOW or reach >= start:
-                break
-            reach *= 4
-        near = left[-WINDOW:]
-        for m in WORD.finditer(text, end):
-            if len(near) >= WINDOW + len(left[-WINDOW:]):
-                break
-            near.append(m)
-        inside = [m for m in near if not any(s < m.end() and m.start() < e for s, e in taken)]
-        folded = [m[0].encode().translate(FOLD).decode() for m in inside]
+        before = bisect.bisect_left(firsts, start)
+        after = bisect.bisect_right(lasts, end)
+        near = places[max(0, before - WINDOW) : before] + places[after : after + WINDOW]
         entity = entity_of(kind, text[start:end])
-        out += [(entity, m.start(), m.end(), w) for m, w in zip(inside, folded, strict=True)]
+        for k, (a, b) in enumerate(near):
+            a, b = (a, min(b, start)) if k < min(before, WINDOW) else (max(a, end), b)
+            last = bisect.bisect_left(starts, b) - 1  # the last stretch that begins before the word's end
+            if last < 0 or ends[last] <= a:
+                out.append((entity, a, b, text[a:b].encode().translate(FOLD).decode()))
     return out
 
 
