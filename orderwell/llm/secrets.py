@@ -7,7 +7,7 @@ Runs of hex digits have no keyword and are found by their own linear expression.
 
 Kinds. Base: assign (keyword, sign, value of 6 or more), access (20 or more characters), hex (24 or more). Added: registry
 (checked tokens), webtoken, private_key (PEM blocks). Spans are code points, end exclusive, leftmost and not overlapping
-within a kind; a match that fails its test is dropped and the search goes on after it.
+within a kind; a match that fails its test is dropped and the search goes on after it. Every scan is linear in the text.
 
 Rows: one per input row, also for repeated rows. Null and empty texts have no spans; null ids stay null.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 import string
@@ -39,8 +40,9 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 REGISTRY = re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-WEBTOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+WEBTOKEN = re.compile(r"(eyJ[A-Za-z0-9_-]++)(?:\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+)?")
 PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
+PEM_END = re.compile(r"-----END ([A-Z0-9 ]*PRIVATE KEY)(?=-----)")
 BASE62 = string.digits + string.ascii_uppercase + string.ascii_lowercase
 
 Span = tuple[int, int, str]
@@ -124,19 +126,22 @@ class Scanner:
         return self._anchored(text, starts, REGISTRY, lambda m: registry_checksum(m[1]) == m[2], "registry")
 
     def _webtoken(self, text, starts):
-        return self._anchored(text, starts, WEBTOKEN, lambda m: _is_web_token(m[1]), "webtoken")
+        # a head without its two further parts is passed over whole: what begins inside it ends like it
+        good = lambda m: m.end() > m.end(1) and _is_web_token(m[1])
+        return self._anchored(text, starts, WEBTOKEN, good, "webtoken")
 
     def _private_key(self, text, starts):
+        ends: dict[str, list[int]] = {}
+        for m in PEM_END.finditer(text):
+            ends.setdefault(m[1], []).append(m.start())
         found, past = [], 0
         for at in starts:
             if at >= past and (m := PEM_BEGIN.match(text, at)):
-                close = f"-----END {m[1]}-----"
-                if (end := text.find(close, m.end())) < 0:
-                    # the same block cannot close further on; one failed search per label would suffice
-                    past = m.end()
-                    continue
-                past = end + len(close)
-                found.append((at, past, "private_key"))
+                past = m.end()
+                closing = ends.get(m[1], [])
+                if (i := bisect.bisect_left(closing, past)) < len(closing):
+                    past = closing[i] + len(f"-----END {m[1]}-----")
+                    found.append((at, past, "private_key"))
         return found
 
 

@@ -131,6 +131,61 @@ def test_secrets_equal_the_expressions(docs, empty):
     assert secrets.find_secrets(docs).count() == len(TEXTS) and secrets.find_secrets(empty).count() == 0
 
 
+def test_added_kinds_equal_plain_searches():
+    """Checked tokens, web tokens and key blocks, against expressions tried at every place of random texts."""
+    head = base64.urlsafe_b64encode(b'{"alg":"HS256"}').decode().rstrip("=")
+    token = "ghp_" + "A" * 30 + secrets.registry_checksum("A" * 30)
+    parts = [head, "eyJ", ".", "ab", " ", "-", "npm_", token, "ghp_", "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----",
+             "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "-----BEGIN CERT-----", "é", "\n"]
+    web = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+    key = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----.*?-----END \1-----", re.DOTALL)
+    kinds = (("registry", secrets.REGISTRY, lambda m: secrets.registry_checksum(m[1]) == m[2]),
+             ("webtoken", web, lambda m: secrets._is_web_token(m[1])), ("private_key", key, lambda m: True))
+    rng, seen = random.Random(16), set()
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=12))
+        want = [(m.start(), m.end(), k) for k, p, ok in kinds for m in p.finditer(text) if ok(m)]
+        got = [s for s in secrets.Scanner().scan(text) if s[2] not in secrets.BASE_KINDS]
+        assert got == sorted(want, key=lambda s: (s[0], secrets.KINDS.index(s[2]))), text
+        seen |= {s[2] for s in got}
+    assert seen == {"registry", "webtoken", "private_key"}
+
+
+def test_long_texts_are_scanned_in_linear_time():
+    n = 1 << 20
+    labels = "".join(f"-----BEGIN A{i} PRIVATE KEY-----" for i in range(n // 32))
+    for text in ("eyJ" * (n // 3), "eyJa." * (n // 5), "eyJa.b " * (n // 7), "-----BEGIN PRIVATE KEY-----" * (n // 27), labels, "token" * (n // 5),
+                 "token=" * (n // 6), "token " * (n // 6), "AKIA" * (n // 4), "ghp_" * (n // 4), "token=" + " " * n):
+        start = time.perf_counter()
+        secrets.Scanner().scan(text)
+        assert time.perf_counter() - start < 15, text[:20]
+    for text in ("ab@c.de " * (n // 8), "1.2.3.4 " * (n // 8), "1.2.3.4, " + "-" * n, "+1 (988) 555-2485;" * (n // 18), "1.2.3.4.", "é@" * (n // 2),
+                 ". 1.2.3.4," * 10_000 + "." * n, "x" * n + " 1.2.3.4 " + "y" * n, "a@b.c" * (n // 5)):
+        start = time.perf_counter()
+        pii.terms_near(text, pii.base_spans(text))
+        assert time.perf_counter() - start < 15, text[:20]
+
+
+def test_words_near_a_span_equal_a_plain_search():
+    def plain(text, spans):
+        out = []
+        for start, end, kind in spans:
+            near = [*pii.WORD.finditer(text, 0, start)][-pii.WINDOW :] + [*pii.WORD.finditer(text, end)][: pii.WINDOW]
+            near = [m for m in near if not any(a < m.end() and m.start() < b for a, b, _ in spans)]
+            out += [(pii.entity_of(kind, text[start:end]), m.start(), m.end(), m[0].encode().translate(pii.FOLD).decode()) for m in near]
+        return out
+
+    rng, seen = random.Random(17), 0
+    parts = ["a@b.cc", "1.2.3.4", "4041894974608795", "+1 (988) 555-2485", " ", ", ", " Word ", "é", " x", "7", "...", " one two three four five"]
+    for _ in range(1500):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 16)))
+        spans = pii.base_spans(text)
+        want = plain(text, spans)
+        assert pii.terms_near(text, spans) == want, text
+        seen += len(want)
+    assert seen > 5000
+
+
 def test_benchmark_passages(spark, docs, empty):
     bench = spark.createDataFrame([(1, BENCH), (1, BENCH), (2, None), (None, "two spaces")], "item_id long, text string")
     rows = {r.doc_id: r for r in decontaminate.digest(decontaminate.find_benchmark(docs, bench)).collect()}
