@@ -14,7 +14,7 @@ from orderwell.llm.secrets import op9_secrets
 from orderwell.llm.spelling import op11_spelling
 from orderwell.llm.token_counts import op10_token_counts
 from orderwell.llm.toxicity import op1_toxicity
-from orderwell.llm.url_filter import op7_url_filter
+from orderwell.llm.url_filter import OP7_SQL, op7_url_filter
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
@@ -32,4 +32,4 @@ QUERIES = {
     "op13_licenses": op13_licenses,
 }
 
-SQL = {"op4_exact_topk": OP4_SQL, "op5_decontaminate": OP5_SQL, "op13_licenses": OP13_SQL}
+SQL = {"op4_exact_topk": OP4_SQL, "op5_decontaminate": OP5_SQL, "op7_url_filter": OP7_SQL, "op13_licenses": OP13_SQL}

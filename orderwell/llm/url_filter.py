@@ -18,11 +18,11 @@ import html as markup
 import re
 import string
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderwell.llm.common import read
+from orderwell.llm.common import arrow_map, read
 from orderwell.llm.components import connected_components
 from orderwell.session import materialize
 
@@ -64,9 +64,9 @@ def rule_of(host: F.Column, path: F.Column, rules=RULES) -> F.Column:
     return out
 
 
-#: A whole tag; quoted values may hold a >.
-TAG = r"(?is)<(?:link|meta)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-BASE = r"(?is)<base\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+#: A whole tag; quoted values may hold < and >. As no reading passes a < outside quotes, a page is read in linear time.
+INSIDE = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+TAG = re.compile(rf"<(?:link|meta|base)\b{INSIDE}>", re.IGNORECASE)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 GOES_TO = re.compile(r"\s*[\d.]*\s*[;,]?\s*(?:url\s*=\s*)?(?:\"([^\"]*)\"?|'([^']*)'?|(.*))", re.IGNORECASE | re.DOTALL)
 #: RFC 3986, appendix B: scheme, authority, path, query; a fragment is left out.
@@ -124,25 +124,30 @@ def target_of(tag: str) -> str | None:
     return next((x.strip() for x in GOES_TO.match(at.get("content", "")).groups() if x and x.strip()), None)
 
 
+def targets(html: str, url: str | None) -> list[str]:
+    """The urls a page at `url` names as canonical or refreshes to."""
+    tags = TAG.findall(html)
+    first_base = next((t for t in tags if t[:5].lower() == "<base"), None)
+    base = (resolved(attributes(first_base).get("href"), url) if first_base else None) or url
+    found = (resolved(target_of(t), base) for t in tags if t[:5].lower() != "<base")
+    return [t for t in found if t is not None]
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """a, b: nodes of the pages and of what they name as canonical or refresh to at once."""
 
-    @F.pandas_udf("string")
-    def named(tag: pd.Series, base: pd.Series, url: pd.Series) -> pd.Series:
-        out = []
-        for t, b, u in zip(tag, base, url, strict=True):
-            own = resolved(attributes(b).get("href") if b else None, u) or u
-            out.append(resolved(target_of(t), own))
-        return pd.Series(out, dtype=object)
+    def setup():
+        def work(batch: pa.RecordBatch) -> dict:
+            rows = zip(batch.column("html").to_pylist(), batch.column("url").to_pylist(), strict=True)
+            return {"url": batch.column("url"), "named": [targets(html, url) for html, url in rows]}
+
+        return work
 
     html = F.col("html").cast("string")
-    tags = pages.where(html.ilike("%canonical%") | html.ilike("%refresh%")).select(
-        F.col("url").cast("string").alias("url"),
-        F.regexp_extract(html, BASE, 0).alias("base"),
-        F.explode(F.regexp_extract_all(html, F.lit(TAG), 0)).alias("tag"),
-    )
-    tags = tags.where(F.col("tag").ilike("%canonical%") | F.col("tag").ilike("%refresh%"))
-    return tags.select(node_of(F.col("url")).alias("a"), node_of(named("tag", "base", "url")).alias("b"))
+    linked = pages.select(F.col("url").cast("string").alias("url"), html.alias("html"))
+    linked = linked.where(html.ilike("%canonical%") | html.ilike("%refresh%"))
+    edges = arrow_map(linked, setup, "url string, named array<string>", text="html").select("url", F.explode("named").alias("named"))
+    return edges.select(node_of(F.col("url")).alias("a"), node_of(F.col("named")).alias("b"))
 
 
 def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) -> DataFrame:
@@ -168,3 +173,45 @@ def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) ->
 
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge(read(spark, folder, "pages"))
+
+
+#: The rules as the contract states them, and verdicts of alias groups: reachability over canonical links and refreshes
+#: whose tags stand in their usual form (double quotes, absolute urls).
+OP7_SQL = r"""
+WITH RECURSIVE page AS (
+    SELECT page_id, html, url, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+    FROM (SELECT page_id, coalesce(CAST(html AS VARCHAR), '') AS html, coalesce(CAST(url AS VARCHAR), '') AS url FROM pages)
+), parts AS (
+    SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^/?#]*([^#]*)', 1, 's') AS tail
+    FROM page
+), named AS (
+    SELECT page_id, host, path, html, CASE WHEN host <> '' THEN host || CASE WHEN tail = '' THEN '/' ELSE tail END END AS node FROM parts
+), target AS (
+    SELECT node AS a, unnest(regexp_extract_all(html, '<link rel="canonical" href="[a-z]+://([^"#]+)', 1)
+        || regexp_extract_all(html, '<meta http-equiv="refresh" content="[0-9]+; ?url=[a-z]+://([^"#]+)', 1)) AS b
+    FROM named WHERE node IS NOT NULL
+), edge AS (
+    SELECT a, lower(regexp_extract(b, '^[^/?]*')) || CASE WHEN regexp_extract(b, '^[^/?]*(.*)', 1) = '' THEN '/'
+        ELSE regexp_extract(b, '^[^/?]*(.*)', 1) END AS b FROM target
+), linked AS (
+    SELECT a, b FROM edge UNION SELECT b, a FROM edge
+), reach AS (
+    SELECT a, a AS b FROM linked UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), rules(verdict, name, start) AS (
+    VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), place AS (
+    SELECT DISTINCT host, path FROM named UNION SELECT regexp_extract(b, '^[^/?]*'), regexp_extract(b, '^[^/?]*([^?]*)', 1) FROM reach
+), ruled AS (
+    SELECT host, path, arg_max(verdict, length(name || start)) AS verdict, arg_max(name || start, length(name || start)) AS rule
+    FROM place JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)
+    GROUP BY host, path
+), grouped AS (
+    SELECT a AS node, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' WHEN bool_or(verdict = 'block') THEN 'block' END AS verdict
+    FROM reach LEFT JOIN ruled ON host = regexp_extract(b, '^[^/?]*') AND path = regexp_extract(b, '^[^/?]*([^?]*)', 1)
+    GROUP BY a
+)
+SELECT n.page_id, n.host, n.path, r.rule, coalesce(r.verdict, g.verdict, 'allow') AS verdict
+FROM named n LEFT JOIN ruled r ON n.host = r.host AND n.path = r.path LEFT JOIN grouped g ON n.node = g.node
+"""

@@ -346,6 +346,65 @@ def test_references_are_resolved(spark):
     assert {i for i, v in got.items() if v == "block"} == {1, 2, 3, 4, 5, 7}
 
 
+def test_groups_of_aliases_equal_sql_and_brute_force(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(23)
+    hosts = ["a.org", "B.net", "example.com", "www.example.com", "m.example.com", "c.org", "d.org"]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("/es/1", "/en/1", "/it/2", "", "/it/2?q=1", "/x/3", "/x/4", "/x/5")]
+    urls += [f"http://e.org/{i}" for i in range(60)]
+    rows = [(i, u, "<p>x</p>") for i, u in enumerate(urls)] + [(900, urls[0], None), (901, None, None), (902, "none", ""), (None, urls[1] + "#f", "")]
+    forms = ('<link rel="canonical" href="%s">', '<meta http-equiv="refresh" content="0; url=%s">')
+    rows += [(1000 + i, rng.choice(urls), rng.choice(forms) % rng.choice(urls)) for i in range(25)]
+    rows += [(2000 + i, f"http://f.org/{i}", rng.choice(forms) % f"http://f.org/{i // 2}") for i in range(1, 9)]  # a chain, then blocked
+    rows += [(2100, "http://f.org/0", forms[0] % "http://q.net/fr/z")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(map(tuple, url_filter.judge(frame).collect()), key=str)
+    with duckdb.connect() as base:
+        base.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        assert got == sorted(base.execute(url_filter.OP7_SQL).fetchall(), key=str)
+
+    def node(url):
+        rest = url.split("#")[0].split("://")[1]
+        host, slash, path = rest.partition("/")
+        return host.lower() + "/" + path
+
+    def rule(place):
+        host, _, path = place.split("?")[0].partition("/")
+        fits = [(len(h + p), h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        return max(fits, default=(0, None, None))
+
+    group = {node(u): {node(u)} for _, u, _ in rows if u and "://" in u}
+    for _, u, page in rows:
+        if u and page and "http" in page:
+            a, b = node(u), node(re.search("http://[^\"]*", page)[0])
+            joined = group[a] | group[b]
+            for x in joined:
+                group[x] = joined
+    verdicts = {}
+    for x in group:
+        found = {rule(y)[2] for y in group[x]}
+        # a host alone has an empty path, which begins with no rule's
+        verdicts[x] = rule(x)[2] or ("allow" if "allow" in found else "block" if "block" in found else "allow")
+    decided = 0
+    for i, host, path, name, verdict in got:
+        u = dict((r[0], r[1]) for r in rows)[i]
+        if u and "://" in u and path:
+            assert verdict == verdicts[node(u)] and name == rule(node(u))[1], (u, verdict)
+            decided += name is None and verdict == "block"
+    assert decided > 3
+    assert url_filter.judge(frame.limit(0)).count() == 0
+
+
+def test_tags_without_an_end_are_read_in_linear_time():
+    n = 1 << 20
+    for part in ("<link ", "<meta '", '<link "\'', "<base ", '<link" ="', "<link rel=canonical href='"):
+        start = time.perf_counter()
+        url_filter.targets((part * n)[:n], "http://a/")
+        assert time.perf_counter() - start < 15, part
+
+
 def test_html(spark):
     page = "<html><head><title>T</title><script>x</p></script></head><body><nav>Menu</nav><div>Site line</div>{}<div class='ad'>Buy</div>"
     rows = [
