@@ -379,7 +379,7 @@ def test_groups_of_aliases_equal_sql_and_brute_force(spark, tmp_path):
     for _, u, page in rows:
         if u and page and "http" in page:
             a, b = node(u), node(re.search("http://[^\"]*", page)[0])
-            joined = group[a] | group[b]
+            joined = group[a] | group.setdefault(b, {b})  # a target need not be a page
             for x in joined:
                 group[x] = joined
     verdicts = {}
