@@ -189,6 +189,14 @@ def shipment_chronology(t: Tables) -> DataFrame:
     )
 
 
+def delivery_order(t: Tables) -> DataFrame:
+    """How many shipments were delivered on a day before the one they were shipped on."""
+    days = F.date_diff(F.col("DeliveredDate").cast("date"), F.col("ShippedDate").cast("date"))
+    return t["shipments"].agg(count_if(days < 0).alias("Violations")).select(
+        F.lit("delivery_not_before_shipment").alias("CheckName"), "Violations"
+    )
+
+
 def return_quantity(t: Tables) -> DataFrame:
     """Return lines for more units than were bought."""
     bought = t["order_items"].select("OrderItemId", "Quantity")

@@ -26,7 +26,12 @@ ROW_CHECKS = {
 }
 
 # The checks that decide whether the sources may be used at all.
-BLOCKING = ("unexpected_nulls:", "null_key:", "duplicate_key:", "foreign_key:", "range:", "grain:")
+BLOCKING = (
+    "unexpected_nulls:", "null_key:", "duplicate_key:", "foreign_key:", "range:", "grain:", "rows:refund_bounds",
+)
+
+# What is told of outliers that are found but kept.
+OUTLIERS_KEPT = {"high_value_order_lines": "unusually high order lines are kept: they may be real orders"}
 
 
 def quality_report(t: Tables) -> DataFrame:
@@ -52,7 +57,7 @@ def quality_report(t: Tables) -> DataFrame:
         )
     grouped = {
         "foreign_key:": checks.foreign_keys,
-        "range:": checks.value_ranges,
+        "range:": lambda t: checks.value_ranges(t).unionByName(checks.delivery_order(t)),
         "rule:": checks.check_constraints,
         "grain:": checks.grain_reconciliation,
     }
@@ -75,6 +80,26 @@ def quality_report(t: Tables) -> DataFrame:
     )
 
 
+def quality_profile(t: Tables) -> DataFrame:
+    """What the report tells besides its checks, as (Kind, Name, Value, Warning).
+
+    Kinds: rows, unexpected_nulls and expected_nulls of each table, and outliers. A warning is given with outliers that
+    were found and kept; it is null elsewhere. One scan per table for its rows and nulls.
+    """
+    kinds = {"rows": "Rows", "unexpected_nulls": "UnexpectedNulls", "expected_nulls": "ExpectedNulls"}
+    counted = F.array(*[F.struct(F.lit(k).alias("Kind"), F.col(c).alias("Value")) for k, c in kinds.items()])
+    nothing = F.lit(None).cast("string")
+    tables = checks.null_profile(t).select(F.col("TableName").alias("Name"), F.inline(counted))
+    warning = nothing
+    for name, text in OUTLIERS_KEPT.items():
+        warning = F.when((F.col("CheckName") == name) & (F.col("Rows") > 0), F.lit(text)).otherwise(warning)
+    outliers = checks.outliers(t).select(
+        F.lit("outliers").alias("Kind"), F.col("CheckName").alias("Name"), F.col("Rows").alias("Value"),
+        warning.alias("Warning"),
+    )
+    return tables.select("Kind", "Name", "Value", nothing.alias("Warning")).unionByName(outliers)
+
+
 def overall(report: DataFrame) -> DataFrame:
     """Status, passed and failed checks in one row."""
     failed = F.count(F.when(F.col("Status") == "FAIL", F.lit(1)))

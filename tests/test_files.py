@@ -10,7 +10,7 @@ from orderwell.plans.star import EXPORTS, Star, relationship_audit
 from orderwell.quality import report
 from orderwell.sources import files, snapshots
 from orderwell.sources.contracts import CONTRACTS, SourceError
-from shop import shop, when
+from shop import shop, table, when
 
 
 @pytest.fixture(scope="module")
@@ -122,3 +122,28 @@ def test_quality_report_and_fail_fast(spark, tables):
     empty = {**tables, "orders": tables["orders"].withColumn("CustomerId", F.lit(None).cast("long"))}
     with pytest.raises(SourceError, match="unexpected_nulls:orders"):
         report.require_quality(report.quality_report(empty))
+
+
+def test_late_shipments_and_negative_refunds_block(spark, tables):
+    sent = dict(ShipmentId=1, OrderId=1, ShippedDate=when("2024-03-05"), DeliveredDate=when("2024-03-04"))
+    late = {**tables, "shipments": table(spark, "shipments", [sent])}
+    with pytest.raises(SourceError, match="range:delivery_not_before_shipment"):
+        report.require_quality(report.quality_report(late))
+    returned = {
+        "returns": table(spark, "returns", [dict(ReturnId=1, OrderId=1, CustomerId=1)]),
+        "return_items": table(spark, "return_items", [dict(ReturnItemId=1, ReturnId=1, OrderItemId=1, RefundAmount=Decimal(-2))]),
+    }
+    with pytest.raises(SourceError, match="rows:refund_bounds"):
+        report.require_quality(report.quality_report({**tables, **returned}))
+
+
+def test_profile_counts_rows_nulls_and_outliers(tables):
+    got = {(r["Kind"], r["Name"]): (r["Value"], r["Warning"]) for r in report.quality_profile(tables).collect()}
+    for name in ("orders", "shipments", "product_reviews"):
+        assert got["rows", name] == (tables[name].count(), None)
+    assert got["unexpected_nulls", "orders"] == (0, None) and ("outliers", "delivery_over_14_days") in got
+    one = tables["order_items"].limit(1)
+    many = {**tables, "order_items": one.select("*", F.explode(F.sequence(F.lit(1), F.lit(40))).alias("i")).drop("i").unionByName(
+        one.withColumn("UnitPrice", (F.col("UnitPrice") * 1000).cast(one.schema["UnitPrice"].dataType)))}
+    warned = {r["Name"]: (r["Value"], r["Warning"]) for r in report.quality_profile(many).where("Kind = 'outliers'").collect()}
+    assert warned["high_value_order_lines"] == (1, report.OUTLIERS_KEPT["high_value_order_lines"])
