@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from oracle.catalog import QUERIES, query
-from orderwell.quality import checks, report
 from oracle.prelude import piece
+from orderwell.quality import checks, keys, report
 
 _KEYS = [
     ("customer_segments.SegmentId", "segments", "SegmentId"), ("customers.CustomerId", "customers", "CustomerId"),
@@ -184,6 +186,166 @@ query(
 )(checks.delivery_order)
 
 
+# What is wrong in a table on purpose: column, rows it is wrong in, wrong value, right value where the reference table lacks the column.
+_WRONG = {
+    "customers": [("AcquisitionSource", "CustomerId % 7 = 0", "'Nowhere'", None)],
+    "addresses": [("AddressType", "AddressId % 5 = 0", "'Work'", "'Shipping'")],
+    "products": [("UnitCost", "ProductId % 7 = 0", "-1", None), ("ListPrice", "ProductId % 11 = 0", "0", None)],
+    "promotions": [
+        ("PromotionType", "PromotionId = 3", "'Gift'", None), ("MinimumOrderValue", "PromotionId IN (4, 5)", "-1", None),
+        ("EndDate", "PromotionId > 12", "StartDate", None),
+    ],
+    "orders": [("ShippingAmount", "OrderId % 9 = 0", "-5.99", None), ("TaxAmount", "OrderId % 8 = 0", "-0.01", None)],
+    "order_items": [
+        ("Quantity", "OrderId % 5 = 0", "0", None), ("UnitPrice", "ProductId % 7 = 0", "-1", None), ("DiscountAmount", "OrderId % 11 = 0", "1000000", None),
+    ],
+    "payments": [
+        ("PaymentMethod", "OrderId % 3 = 0", "'Cash'", None), ("PaymentStatus", "OrderId % 10 = 1", "'Lost'", None), ("Amount", "OrderId % 6 = 5", "-1", None),
+    ],
+    "shipments": [("ShippingStatus", "OrderId % 13 = 0", "'Gone'", None), ("DeliveredDate", "OrderId % 4 = 0", "ShippedDate - INTERVAL 1 DAY", None)],
+    "returns": [("ReturnReason", "OrderId % 7 = 0", "'Lost'", None), ("ReturnStatus", "OrderId % 6 = 0", "'Open'", None)],
+    "return_items": [("ReturnQuantity", "RefundAmount < 300", "0", None), ("RefundAmount", "RefundAmount > 500", "-RefundAmount", None)],
+    "product_reviews": [("Rating", "ProductId % 13 = 0", "9", None), ("HelpfulVotes", "HelpfulVotes = 3", "-3", None)],
+    "campaign_interactions": [("InteractionType", "InteractionId % 5 = 0", "'Seen'", None), ("ChannelName", "PromotionId = 2", "'Radio'", None)],
+}
+# Table, name of its reference piece.
+_PIECES = {key.split(".")[0]: name.removeprefix("dirty_") for key, name, _ in _KEYS}
+
+
+def _wrong(t):
+    """The tables with those values in them."""
+
+    def one(name: str):
+        df = t[name]
+        return df.select(*[
+            next((F.expr(f"CASE WHEN {rows} THEN {bad} ELSE {c} END").cast(df.schema[c].dataType).alias(c)
+                  for column, rows, bad, _ in _WRONG[name] if column == c), F.col(c))
+            for c in df.columns
+        ])
+
+    return {**t, **{name: one(name) for name in _WRONG}}
+
+
+def _wrong_sql(name: str) -> str:
+    """The reference table with the wrong values as x_ columns."""
+    altered = ", ".join(f"CASE WHEN {rows} THEN {bad} ELSE {right or column} END AS x_{column}" for column, rows, bad, right in _WRONG[name])
+    return f"(SELECT *, {altered} FROM {_PIECES[name]})"
+
+
+def _one_of(column: str, *values: str) -> str:
+    return f"NOT list_contains([{', '.join(repr(v) for v in values)}], {column})"
+
+
+# Rule, when a row breaks it.
+_BROKEN = {
+    "customers.source_listed": _one_of("x_AcquisitionSource", "Organic", "Paid Search", "Social", "Referral", "Email", "Marketplace"),
+    "addresses.type_listed": _one_of("x_AddressType", "Billing", "Shipping"),
+    "products.cost_not_negative": "x_UnitCost < 0",
+    "products.price_covers_cost": "x_ListPrice <= 0 OR x_ListPrice < x_UnitCost",
+    "promotions.type_listed": _one_of("x_PromotionType", "Percentage", "Fixed Amount", "Free Shipping"),
+    "promotions.value_not_negative": "least(DiscountValue, x_MinimumOrderValue) < 0",
+    "promotions.dates_in_order": "x_EndDate <= StartDate",
+    "orders.shipping_not_negative": "x_ShippingAmount < 0",
+    "orders.tax_not_negative": "x_TaxAmount < 0",
+    "order_items.quantity_positive": "x_Quantity <= 0",
+    "order_items.price_positive": "x_UnitPrice <= 0 OR UnitCost < 0",
+    "order_items.discount_within_gross": "x_DiscountAmount < 0 OR x_DiscountAmount > x_Quantity * x_UnitPrice",
+    "payments.method_listed": _one_of("x_PaymentMethod", "Credit Card", "Debit Card", "PayPal", "Bank Transfer", "Gift Card"),
+    "payments.status_listed": _one_of("x_PaymentStatus", "Authorized", "Captured", "Failed", "Refunded", "Partially Refunded"),
+    "payments.amount_not_negative": "x_Amount < 0",
+    "shipments.status_listed": _one_of("x_ShippingStatus", "Pending", "Shipped", "In Transit", "Delivered", "Exception"),
+    "shipments.delivered_after_shipped": "x_DeliveredDate < ShippedDate",
+    "returns.reason_listed": _one_of("x_ReturnReason", "Damaged", "Wrong Item", "Not as Described", "Changed Mind", "Too Late", "Defective"),
+    "returns.status_listed": _one_of("x_ReturnStatus", "Requested", "Approved", "Received", "Refunded", "Rejected"),
+    "return_items.quantity_positive": "x_ReturnQuantity <= 0",
+    "return_items.refund_not_negative": "x_RefundAmount < 0",
+    "product_reviews.rating_in_range": "x_Rating < 1 OR x_Rating > 5",
+    "product_reviews.votes_not_negative": "x_HelpfulVotes < 0",
+    "campaign_interactions.type_listed": _one_of("x_InteractionType", "Sent", "Impression", "Click", "Conversion", "Unsubscribe"),
+    "campaign_interactions.channel_listed": _one_of("x_ChannelName", "Email", "Paid Social", "Display", "Push", "SMS"),
+}
+query(
+    "q19b_every_rule_broken", "s: CheckName i: Violations", " ".join(sorted(_PIECES[name] for name in _WRONG)),
+    " UNION ALL ".join(
+        f"SELECT '{rule}' AS CheckName, COUNT(*) FILTER ({broken}) AS Violations FROM {_wrong_sql(rule.split('.')[0])}" for rule, broken in _BROKEN.items()),
+)(lambda t: checks.check_constraints(_wrong(t)))
+query(
+    "q17b_ranges_broken", "s: CheckName i: Violations", "items reviews", f"""
+SELECT 'quantity_positive' AS CheckName, COUNT(*) FILTER (x_Quantity <= 0) AS Violations FROM {_wrong_sql('order_items')}
+UNION ALL SELECT 'economics_not_negative', COUNT(*) FILTER (least(x_UnitPrice, UnitCost, x_DiscountAmount) < 0) FROM {_wrong_sql('order_items')}
+UNION ALL SELECT 'discount_within_gross', COUNT(*) FILTER (x_DiscountAmount > x_Quantity * x_UnitPrice) FROM {_wrong_sql('order_items')}
+UNION ALL SELECT 'rating_in_range', COUNT(*) FILTER (x_Rating NOT BETWEEN 1 AND 5) FROM {_wrong_sql('product_reviews')}""",
+)(lambda t: checks.value_ranges(_wrong(t)))
+query(
+    "q13b_refunds_below_zero", "i: OrderId f: RefundAmount", "b_returns return_items items", f"""
+SELECT i.OrderId, SUM(x_RefundAmount) AS RefundAmount FROM {_wrong_sql('return_items')} JOIN b_returns USING (ReturnId) JOIN items i USING (OrderItemId)
+WHERE ReturnStatus <> 'Rejected' GROUP BY i.OrderId HAVING SUM(x_RefundAmount) < 0""",
+)(lambda t: checks.refund_bounds({**t, "return_items": _wrong(t)["return_items"]}))
+
+# Table, column that lacks a value, rows it lacks it in.
+_GAPS = [
+    ("customer_segments", "SegmentName", "SegmentId = 2"), ("customers", "Email", "CustomerId % 3 = 0"), ("addresses", "City", "AddressId % 4 = 0"),
+    ("categories", "CategoryName", "CategoryId > 20"), ("products", "SKU", "ProductId % 6 = 0"), ("sales_channels", "ChannelName", "ChannelId = 1"),
+    ("order_statuses", "StatusName", "StatusId > 3"), ("promotions", "PromotionCode", "PromotionId < 5"), ("orders", "OrderDate", "OrderId % 5 = 0"),
+    ("order_items", "Quantity", "ProductId % 8 = 0"), ("payments", "Amount", "PaymentId % 7 = 0"), ("shipments", "Carrier", "ShipmentId % 9 = 0"),
+    ("returns", "ReturnDate", "OrderId % 4 = 0"), ("return_items", "RefundAmount", "RefundAmount > 400"), ("product_reviews", "Rating", "Rating = 3"),
+    ("campaign_interactions", "ChannelName", "InteractionId % 2 = 0"), ("date_dimension", "MonthName", "DateKey % 10 = 0"),
+]
+query(
+    "q02b_unexpected_nulls", "s: TableName i: UnexpectedNulls", " ".join(sorted(set(_PIECES.values()))),
+    " UNION ALL ".join(f"SELECT '{name}' AS TableName, COUNT(*) AS UnexpectedNulls FROM {_PIECES[name]} WHERE {rows}" for name, _, rows in _GAPS),
+)(lambda t: checks.null_profile({name: t[name].withColumn(column, F.expr(f"CASE WHEN NOT ({rows}) THEN {column} END")) for name, column, rows in _GAPS}))
+
+# Label, reference rows, what two of them may not share.
+_UNIQUE = [
+    ("customer_segments.SegmentName", "segments", "SegmentName"), ("customers.Email", "customers", "Email"),
+    ("categories.CategoryName", "categories", "CategoryName"), ("products.SKU", "products", "SKU"), ("sales_channels.ChannelName", "channels", "ChannelName"),
+    ("order_statuses.StatusName", "statuses", "StatusName"), ("promotions.PromotionCode", "promotions", "PromotionCode"),
+    ("order_items.OrderId+ProductId", "items", "row(OrderId, ProductId)"),
+    ("payments.TransactionRef", "(SELECT CASE WHEN PaymentId % 17 <> 0 THEN PaymentId END AS r FROM payments)", "r"),
+    ("shipments.OrderId", "(SELECT OrderId FROM shipments UNION ALL SELECT OrderId FROM shipments WHERE OrderId % 13 = 0)", "OrderId"),
+    ("shipments.TrackingNumber", "shipments", "OrderId"), ("return_items.ReturnId+OrderItemId", "return_items", "row(ReturnId, OrderItemId)"),
+    ("product_reviews.OrderItemId", "(SELECT * FROM reviews, range(CASE WHEN ProductId % 11 = 0 THEN 3 ELSE 1 END))", "OrderItemId"),
+    ("date_dimension.FullDate", "calendar", "FullDate"),
+]
+
+
+def _twice(t):
+    """A second shipment of some orders, two more reviews of some lines, payments without a reference."""
+    again = t["shipments"].where("OrderId % 13 = 0").withColumns({
+        "ShipmentId": F.expr("-ShipmentId"), "TrackingNumber": F.concat("TrackingNumber", F.lit("-2"))})
+    copies = F.explode(F.expr("sequence(1, CASE WHEN ProductId % 11 = 0 THEN 3 ELSE 1 END)"))
+    return {
+        **t,
+        "shipments": t["shipments"].unionByName(again),
+        "product_reviews": t["product_reviews"].withColumn("copy", copies).drop("copy"),
+        "payments": t["payments"].withColumn("TransactionRef", F.expr("CASE WHEN PaymentId % 17 <> 0 THEN TransactionRef END")),
+    }
+
+
+_NEEDED = "segments customers categories products channels statuses promotions items payments shipments return_items reviews calendar"
+def _keys_sql(listed) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{label}' AS CheckName, COUNT(*) FILTER (k IS NOT NULL AND n > 1) AS DuplicateValues, COALESCE(SUM(n - 1) FILTER (k IS NOT NULL), 0) AS SurplusRows,"
+        f" COALESCE(SUM(n) FILTER (k IS NULL), 0) AS NullKeys FROM (SELECT {key} AS k, COUNT(*) AS n FROM {rows} GROUP BY ALL)" for label, rows, key in listed
+    )
+
+
+_COLUMNS = "s: CheckName i: DuplicateValues SurplusRows NullKeys"
+query("q24_declared_keys", _COLUMNS, _NEEDED, _keys_sql(_UNIQUE))(lambda t: checks.declared_keys(_twice(t)))
+_AS_THEY_ARE = {
+    "payments.TransactionRef": ("payments", "PaymentId"), "shipments.OrderId": ("shipments", "OrderId"), "product_reviews.OrderItemId": ("reviews", "OrderItemId"),
+}
+query(
+    "q24b_keys_as_they_are", _COLUMNS, _NEEDED, _keys_sql([(label, *_AS_THEY_ARE.get(label, (rows, key))) for label, rows, key in _UNIQUE]),
+)(checks.declared_keys)
+query(
+    "q25_repeated_keys", "s: CheckName Key i: Rows", "shipments reviews", """
+SELECT 'shipments.OrderId' AS CheckName, CAST(OrderId AS VARCHAR) AS Key, 2 AS Rows FROM shipments WHERE OrderId % 13 = 0
+UNION ALL SELECT 'product_reviews.OrderItemId', OrderItemId, 3 FROM reviews WHERE ProductId % 11 = 0""",
+)(lambda t: keys.repeated_keys(_twice(t), [("shipments", ("OrderId",)), ("product_reviews", ("OrderItemId",))]))
+
+
 def _profile_sql() -> tuple[str, str]:
     nulls, outliers = QUERIES["q02_null_profile"], QUERIES["q18_outliers"]
     text = report.OUTLIERS_KEPT["high_value_order_lines"]
@@ -218,6 +380,8 @@ def _report_sql() -> tuple[str, str]:
         part("q02_null_profile", "UnexpectedNulls", 1),
         part("q01_duplicate_keys", "DuplicateValues", 1),
         part("q01_duplicate_keys", "NullKeys", 1),
+        part("q24b_keys_as_they_are", "DuplicateValues", 0).replace(
+            "0 AS blocking", "CAST(CheckName = 'shipments.OrderId' AS INTEGER) AS blocking"),
         part("q16_foreign_keys", "Violations", 1),
         part("q17_value_ranges", "Violations", 1),
         part("q19_check_constraints", "Violations", 0),

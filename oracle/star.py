@@ -87,7 +87,7 @@ _FACTS = {
                                        "DimPromotion": "PromotionId"}),
     "FactReviews": ("(SELECT *, CAST(strftime(ReviewDate, '%Y%m%d') AS INTEGER) AS ReviewDateKey FROM reviews)",
                     {"DimDate": "ReviewDateKey", "DimCustomer": "CustomerId", "DimProduct": "ProductId"}),
-    "FactReturns": ("(SELECT r.*, CAST(strftime(ReturnDate, '%Y%m%d') AS INTEGER) AS ReturnDateKey, h.CustomerId, h.ChannelId, h.PromotionId, i.ProductId"
+    "FactReturns": ("(SELECT r.*, CAST(strftime(ReturnDate, '%Y%m%d') AS INTEGER) AS ReturnDateKey, h.CustomerId, h.ChannelId, h.PromotionId, h.AddressId, i.ProductId"
                     " FROM b_returns r JOIN headers h USING (OrderId) JOIN return_items x USING (ReturnId) JOIN items i ON i.OrderItemId = x.OrderItemId)",
                     {"DimDate": "ReturnDateKey", "DimCustomer": "CustomerId", "DimProduct": "ProductId", "DimChannel": "ChannelId", "DimPromotion": "PromotionId"}),
     "FactCampaignPerformance": ("(SELECT *, CAST(strftime(StartDate, '%Y%m%d') AS INTEGER) AS StartDateKey FROM campaign_performance)",
@@ -95,18 +95,57 @@ _FACTS = {
     "FactRfmSnapshot": ("(SELECT *, CAST(strftime(SnapshotDate, '%Y%m%d') AS INTEGER) AS SnapshotDateKey FROM rfm_base)",
                         {"DimDate": "SnapshotDateKey", "DimCustomer": "CustomerId"}),
 }
+_PLACED = "LEFT JOIN geo USING (City, StateProvince, Region, CountryCode)"
+_FACTS["FactOrders"] = (f"(SELECT * FROM order_summary {_PLACED})", _FACTS["FactOrders"][1] | {"DimGeography": "GeographyKey"})
+_FACTS["FactOrderLines"] = (f"(SELECT * FROM order_lines {_PLACED})", _FACTS["FactOrderLines"][1] | {"DimGeography": "GeographyKey"})
+_FACTS["FactReturns"] = (
+    f"(SELECT * FROM {_FACTS['FactReturns'][0]} JOIN (SELECT * EXCLUDE (CustomerId) FROM addresses) USING (AddressId) {_PLACED})",
+    _FACTS["FactReturns"][1] | {"DimGeography": "GeographyKey"},
+)
 _DIMS = {"DimDate": ("calendar", "DateKey"), "DimCustomer": ("customers", "CustomerId"), "DimProduct": ("products", "ProductId"),
-         "DimChannel": ("channels", "ChannelId"), "DimPromotion": ("promotions", "PromotionId")}
-_AUDIT = [
-    f"SELECT '{dim}_{fact}' AS Relationship, (SELECT COUNT(*) FROM (SELECT 1 FROM {_DIMS[dim][0]} GROUP BY {_DIMS[dim][1]} HAVING COUNT(*) > 1)) AS DuplicateKeys,"
-    f" COUNT(*) FILTER (k IS NOT NULL AND k NOT IN (SELECT {_DIMS[dim][1]} FROM {_DIMS[dim][0]})) AS Orphans FROM (SELECT {key} AS k FROM {source})"
-    for fact, (source, keys) in _FACTS.items() for dim, key in keys.items()
-] + [f"SELECT 'DimGeography_{fact}', 0, 0" for fact in ("FactOrders", "FactOrderLines", "FactReturns")]
-query(
-    "e07_relationship_audit", "s: Relationship i: DuplicateKeys Orphans",
-    "order_summary order_lines reviews b_returns headers return_items items campaign_performance rfm_base calendar customers products channels promotions",
-    " UNION ALL ".join(_AUDIT),
-)(lambda t: star.relationship_audit(Star(t)))
+         "DimChannel": ("channels", "ChannelId"), "DimPromotion": ("promotions", "PromotionId"), "DimGeography": ("geo", "GeographyKey")}
+_AUDITED = (
+    "order_summary order_lines reviews b_returns headers return_items items campaign_performance rfm_base calendar customers products channels promotions"
+    " geo addresses"
+)
+
+
+def _audit(facts: dict, dims: dict) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{dim}_{fact}' AS Relationship, (SELECT COUNT(*) FROM (SELECT 1 FROM {dims[dim][0]} GROUP BY {dims[dim][1]} HAVING COUNT(*) > 1)) AS DuplicateKeys,"
+        f" COUNT(*) FILTER (k IS NOT NULL AND k NOT IN (SELECT {dims[dim][1]} FROM {dims[dim][0]})) AS Orphans FROM (SELECT {key} AS k FROM {source})"
+        for fact, (source, keys) in facts.items() for dim, key in keys.items()
+    )
+
+
+query("e07_relationship_audit", "s: Relationship i: DuplicateKeys Orphans", _AUDITED, _audit(_FACTS, _DIMS))(
+    lambda t: star.relationship_audit(Star(t))
+)
+
+
+@query(
+    "e07b_audit_of_broken_star", "s: Relationship i: DuplicateKeys Orphans", _AUDITED,
+    _audit(
+        _FACTS | {"FactReviews": (_FACTS["FactReviews"][0].replace("SELECT *", "SELECT * REPLACE (ProductId * 5 - 3 AS ProductId)"), _FACTS["FactReviews"][1])},
+        _DIMS | {
+            "DimCustomer": ("(SELECT CustomerId FROM customers UNION ALL SELECT CustomerId FROM customers WHERE CustomerId % 7 = 0)", "CustomerId"),
+            "DimChannel": ("(SELECT * FROM channels WHERE ChannelId <> 2)", "ChannelId"),
+            "DimGeography": ("(SELECT * FROM geo WHERE GeographyKey % 3 <> 0)", "GeographyKey"),
+        },
+    ),
+)
+def broken_star(t):
+    """Customers twice, a channel and places gone, reviews of products that do not exist."""
+    built = Star(t)
+    tables = {name: built[name] for fact, _, dim, _ in star.RELATIONSHIPS for name in (fact, dim)}
+    people = built["DimCustomer"]
+    return star.relationship_audit(tables | {
+        "DimCustomer": people.unionByName(people.where("CustomerId % 7 = 0")),
+        "DimChannel": built["DimChannel"].where("ChannelId <> 2"),
+        "DimGeography": built["DimGeography"].where("GeographyKey % 3 <> 0"),
+        "FactReviews": built["FactReviews"].withColumn("ProductId", F.expr("ProductId * 5 - 3")),
+    })
+
 
 # ----------------------------------------------------------------- measures
 CHANNEL, REGION = ("DimChannel", "ChannelName"), ("DimGeography", "Region")

@@ -34,10 +34,13 @@ def small(dimension: DataFrame) -> DataFrame:
     return F.broadcast(dimension)
 
 
-def assert_unique(dimension: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once: a non-empty result breaks many-to-one joins."""
+def assert_unique(dimension: DataFrame, *key: str) -> DataFrame:
+    """Keys that occur more than once: a non-empty result breaks many-to-one joins.
+
+    ``quality.keys.many_to_one`` is the join that does not let them through.
+    """
     return (
-        dimension.groupBy(key).agg(F.count(F.lit(1)).alias("Copies")).filter(F.col("Copies") > 1)
+        dimension.groupBy(*key).agg(F.count(F.lit(1)).alias("Copies")).filter(F.col("Copies") > 1)
     )
 
 

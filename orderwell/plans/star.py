@@ -18,7 +18,7 @@ from orderwell.operators.facts import (
     product_names,
     valid_orders,
 )
-from orderwell.session import materialize
+from orderwell.quality.keys import references
 
 # Fact, its key, dimension, the dimension's key.
 RELATIONSHIPS = (
@@ -273,28 +273,9 @@ def date_keys(t: Tables) -> DataFrame:
 def relationship_audit(star: Mapping[str, DataFrame]) -> DataFrame:
     """Per relationship: duplicate dimension keys and fact keys without a dimension row.
 
-    The key columns of each table are written once and read per relationship.
+    Each table of the star is computed once and all its keys are counted together.
     A NULL fact key is allowed.
     """
-    used: dict[str, set[str]] = {}
-    for fact, fact_key, dim, dim_key in RELATIONSHIPS:
-        used.setdefault(fact, set()).add(fact_key)
-        used.setdefault(dim, set()).add(dim_key)
-    written = {name: materialize(star[name].select(*sorted(keys))) for name, keys in used.items()}
-
-    def one(fact: str, fact_key: str, dim: str, dim_key: str) -> DataFrame:
-        keys = written[dim].groupBy(F.col(dim_key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        rows = written[fact].groupBy(F.col(fact_key).alias("k")).agg(F.count(F.lit(1)).alias("m"))
-        return (
-            keys.join(rows, "k", "full")
-            .agg(
-                F.count(F.when(F.col("n") > 1, F.lit(1))).alias("DuplicateKeys"),
-                F.coalesce(
-                    F.sum(F.when(F.col("n").isNull() & F.col("k").isNotNull(), F.col("m"))),
-                    F.lit(0),
-                ).alias("Orphans"),
-            )
-            .select(F.lit(f"{dim}_{fact}").alias("Relationship"), "DuplicateKeys", "Orphans")
-        )
-
-    return reduce(DataFrame.unionByName, [one(*r) for r in RELATIONSHIPS])
+    used = {name for fact, _, dim, _ in RELATIONSHIPS for name in (fact, dim)}
+    listed = [(f"{dim}_{fact}", fact, fact_key, dim, dim_key) for fact, fact_key, dim, dim_key in RELATIONSHIPS]
+    return references({name: star[name] for name in sorted(used)}, listed).withColumnRenamed("Reference", "Relationship")

@@ -17,7 +17,8 @@ from orderwell.operators.facts import (
     line_facts,
     order_facts,
 )
-from orderwell.sources.contracts import CONTRACTS, FOREIGN_KEYS
+from orderwell.quality.keys import references, unique_keys
+from orderwell.sources.contracts import CONTRACTS, FOREIGN_KEYS, UNIQUE_KEYS
 
 TOLERANCE = 0.01
 PAID = ("Captured", "Refunded", "Partially Refunded")
@@ -47,16 +48,13 @@ def _counted(name: str, violations: DataFrame) -> DataFrame:
 def duplicate_keys(t: Tables, keys: Iterable[tuple[str, str]] | None = None) -> DataFrame:
     """Per key column: how many values occur more than once, and how many are NULL."""
     chosen = keys or [*((n, c.key) for n, c in CONTRACTS.items()), *NATURAL_KEYS]
+    counted = unique_keys(t, [(table, (column,)) for table, column in chosen])
+    return counted.select("CheckName", "DuplicateValues", "NullKeys")
 
-    def one(table: str, column: str) -> DataFrame:
-        copies = t[table].groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        return copies.agg(
-            F.lit(f"{table}.{column}").alias("CheckName"),
-            count_if(F.col("v").isNotNull() & (F.col("n") > 1)).alias("DuplicateValues"),
-            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("NullKeys"),
-        )
 
-    return _union(one(*key) for key in chosen)
+def declared_keys(t: Tables) -> DataFrame:
+    """Each declared unique key, of one column or several: repeated values and the rows beyond their first."""
+    return unique_keys(t, UNIQUE_KEYS)
 
 
 def null_profile(t: Tables, names: Iterable[str] | None = None) -> DataFrame:
@@ -102,14 +100,10 @@ def check_constraints(t: Tables, names: Iterable[str] | None = None) -> DataFram
     return _union(one(n) for n in (names or CONTRACTS) if CONTRACTS[n].checks)
 
 
-def orphans(t: Tables, child: str, column: str, parent: str, key: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent."""
-    keys = t[parent].select(F.col(key).alias(column))
-    return t[child].filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
-
-
 def foreign_keys(t: Tables) -> DataFrame:
-    return _union(_counted(f"{fk[0]}.{fk[1]}", orphans(t, *fk)) for fk in FOREIGN_KEYS)
+    """Child rows whose non-NULL key has no parent, per reference; each table is scanned once."""
+    listed = [(f"{fk[0]}.{fk[1]}", *fk) for fk in FOREIGN_KEYS]
+    return references(t, listed).select(F.col("Reference").alias("CheckName"), F.col("Orphans").alias("Violations"))
 
 
 def value_ranges(t: Tables) -> DataFrame:

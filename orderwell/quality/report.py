@@ -28,6 +28,7 @@ ROW_CHECKS = {
 # The checks that decide whether the sources may be used at all.
 BLOCKING = (
     "unexpected_nulls:", "null_key:", "duplicate_key:", "foreign_key:", "range:", "grain:", "rows:refund_bounds",
+    "unique:shipments.OrderId",  # order facts join shipments by order: a second one would double the order
 )
 
 # What is told of outliers that are found but kept.
@@ -55,6 +56,11 @@ def quality_report(t: Tables) -> DataFrame:
                 F.col(column).alias("Violations"),
             )
         )
+    parts.append(
+        checks.declared_keys(t).select(
+            F.concat(F.lit("unique:"), "CheckName").alias("CheckName"), F.col("DuplicateValues").alias("Violations")
+        )
+    )
     grouped = {
         "foreign_key:": checks.foreign_keys,
         "range:": lambda t: checks.value_ranges(t).unionByName(checks.delivery_order(t)),
