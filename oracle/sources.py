@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oracle.catalog import query
+from orderwell.plans.star import EXPORTS, Star
 from orderwell.session import shared_folder
 from orderwell.sources import files, snapshots
 from orderwell.sources.files import row_counts
@@ -84,3 +87,59 @@ def two_snapshots(t):
     first = snapshots.read_snapshot(spark, path, _DAYS[0]).withColumn("Read", F.lit("first"))
     both = first.unionByName(snapshots.read_snapshot(spark, path).withColumn("Read", F.lit("latest")))
     return both.groupBy("Read", "SnapshotDate").agg(F.count(F.lit(1)).alias("Customers"), F.sum("Orders").alias("Orders"))
+
+
+@query(
+    "s09_published_snapshots", "s: Read d: SnapshotDate i: Customers Orders", "b_orders", f"""
+WITH day AS (SELECT * FROM (VALUES ('first', DATE '{_DAYS[0]}'), ('between', DATE '{_DAYS[0]}'), ('latest', DATE '{_DAYS[1]}')) AS v(Read, SnapshotDate))
+SELECT Read, SnapshotDate, COUNT(DISTINCT CustomerId) AS Customers, COUNT(*) AS Orders FROM b_orders JOIN day ON OrderDate <= SnapshotDate GROUP BY ALL""",
+)
+def published(t):
+    """Both days in one write, the first one replaced by another; read by day, as of a day between, and the latest."""
+    spark, path = t["orders"].sparkSession, f"{_folder(t)}/published"
+
+    def until(day, last):
+        found = t["orders"].where(F.col("OrderDate").cast("date") <= F.lit(last)).groupBy("CustomerId").agg(F.count(F.lit(1)).alias("Orders"))
+        return found.withColumn("SnapshotDate", F.lit(day))
+
+    snapshots.publish_snapshot(until(_DAYS[0], _DAYS[1]).unionByName(until(_DAYS[1], _DAYS[1])), path)
+    snapshots.publish_snapshot(until(_DAYS[0], _DAYS[0]), path)
+    reads = {"first": dict(day=_DAYS[0]), "between": dict(as_of=_DAYS[1] - dt.timedelta(days=1)), "latest": {}}
+    found = [snapshots.read_published(spark, path, **which).withColumn("Read", F.lit(name)) for name, which in reads.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2]).groupBy("Read", "SnapshotDate").agg(
+        F.count(F.lit(1)).alias("Customers"), F.sum("Orders").alias("Orders")
+    )
+
+
+_EXPORTED = {
+    "dim_products": ("products", "SUM(UnitCost)", "UnitCost"), "fact_reviews": ("reviews", "SUM(Rating)", "Rating"),
+    "fact_order_lines": ("order_lines", "SUM(NetRevenue)", "NetRevenue"), "fact_orders": ("order_summary", "SUM(RefundAmount)", "RefundAmount"),
+}
+_SHARED = "products reviews order_lines order_summary"
+_EXPORT_SQL = " UNION ALL ".join(
+    f"SELECT '{file}' AS TableName, COUNT(*) AS Rows, COUNT(*) AS ReadBack, {total} AS Total, 0 AS Changed FROM {source}"
+    for file, (source, total, _) in _EXPORTED.items()
+)
+
+
+def _export(as_csv: bool):
+    def build(t):
+        spark, folder, built = t["orders"].sparkSession, _folder(t), Star(t)
+        written = files.export_star(built, folder, as_csv, only=_EXPORTED, run={"SnapshotDate": str(_DAYS[1])})
+        if as_csv:
+            back = files.read_export(spark, folder, built, only=_EXPORTED)
+        else:
+            back = {table: spark.read.parquet(f"{folder}/{file}") for file, table, _ in EXPORTS if file in _EXPORTED}
+        parts = [
+            back[table].agg(F.lit(file).alias("TableName"), F.count(F.lit(1)).alias("ReadBack"), F.sum(_EXPORTED[file][2]).cast("double").alias("Total"))
+            for file, table, _ in EXPORTS if file in _EXPORTED
+        ]
+        read = reduce(DataFrame.unionByName, parts)
+        changed = files.changed_files(spark, folder).groupBy("TableName").agg(F.count(F.lit(1)).alias("Changed"))
+        return written.select("TableName", "Rows").join(read, "TableName", "left").join(changed, "TableName", "left").fillna(0, ["Changed"])
+
+    return build
+
+
+for _name, _as_csv in (("s05_export_as_csv", True), ("s05b_export_as_parquet", False)):
+    query(_name, "s: TableName i: Rows ReadBack f: Total i: Changed", _SHARED, _EXPORT_SQL)(_export(_as_csv))

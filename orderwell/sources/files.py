@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,7 @@ def _path(folder: str, name: str) -> str:
 QUOTED = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
 TIME = "yyyy-MM-dd['T'][ ]HH:mm:ss"
 BAD = "_record"
+MANIFEST = "export_manifest"
 
 
 def _header(spark: SparkSession, folder: str, name: str) -> list[str]:
@@ -151,32 +153,85 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**QUOTED).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
 
 
-def export_star(star: Mapping[str, DataFrame], folder: str, as_csv: bool = False) -> DataFrame:
-    """Write the 22 reporting tables in key order and return their row counts.
+def _content(df: DataFrame) -> Column:
+    """Sum of a 64-bit hash of every row: no order, and two equal rows do not cancel out.
 
-    Parquet keeps full precision; CSV gets the presentation form.  Row counts
-    are read back from what was written.
+    Values are compared as text, NULL and empty text alike, so that a CSV file
+    and the table it was written from agree.
+    """
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    return F.coalesce(F.sum(F.xxhash64(*cells).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)")).cast("string")
+
+
+def _presented(df: DataFrame) -> DataFrame:
+    """The cells of a CSV file."""
+    shown = six_decimals(df)
+    return shown.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in shown.columns])
+
+
+def _exported(spark: SparkSession, path: str, as_csv: bool) -> DataFrame:
+    return spark.read.options(**QUOTED).option("multiLine", True).csv(path) if as_csv else spark.read.parquet(path)
+
+
+def export_star(
+    star: Mapping[str, DataFrame],
+    folder: str,
+    as_csv: bool = False,
+    only: Iterable[str] | None = None,
+    run: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Write the 22 reporting tables in key order and return what was written.
+
+    Parquet keeps full precision; CSV gets the presentation form.  Rows and a
+    content check of each table are taken while it is written, without a second
+    read.  They go, with the run's own facts (``run``: snapshot date, settings),
+    into the folder's manifest, which is written last: after an export that
+    broke off, ``changed_files`` names the tables that are not as it says.
+    ``only`` chooses files by name.
     """
     from orderwell.plans.star import EXPORTS
 
     spark = next(iter(star.values())).sparkSession
-    written = {}
+    chosen = set(only) if only is not None else {file for file, _, _ in EXPORTS}
+    unknown = chosen - {file for file, _, _ in EXPORTS}
+    if unknown:
+        raise ValueError(f"no such export: {', '.join(sorted(unknown))}")
+    facts = json.dumps(dict(run or {}), sort_keys=True)
+    lines = []
     for file, table, keys in EXPORTS:
+        if file not in chosen:
+            continue
         ordered = star[table].orderBy(*keys)
+        shown = _presented(ordered) if as_csv else ordered
+        seen = Observation()
+        watched = shown.observe(seen, F.count(F.lit(1)).alias("Rows"), _content(shown).alias("Content"))
         path = f"{folder.rstrip('/')}/{file}"
         if as_csv:
-            six_decimals(ordered).write.mode("overwrite").options(**QUOTED).csv(path)
-            written[file] = spark.read.options(**QUOTED).option("multiLine", True).csv(path)
+            watched.write.mode("overwrite").options(**QUOTED).csv(path)
         else:
-            ordered.write.mode("overwrite").parquet(path)
-            written[file] = spark.read.parquet(path)
-    return row_counts(written)
+            watched.write.mode("overwrite").parquet(path)
+        lines.append((file, seen.get["Rows"], seen.get["Content"], "csv" if as_csv else "parquet", facts))
+    manifest = spark.createDataFrame(lines, "TableName string, Rows bigint, Content string, Format string, Run string")
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{MANIFEST}")
+    return manifest
+
+
+def changed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Exported tables whose files no longer hold what the folder's manifest says."""
+    stored = spark.read.parquet(f"{folder.rstrip('/')}/{MANIFEST}")
+    parts = []
+    for line in stored.collect():  # one line per exported table
+        df = _exported(spark, f"{folder.rstrip('/')}/{line['TableName']}", line["Format"] == "csv")
+        parts.append(
+            df.agg(F.lit(line["TableName"]).alias("TableName"), F.count(F.lit(1)).alias("Rows"), _content(df).alias("Content"))
+        )
+    return changed_tables(stored.select("TableName", "Rows", "Content"), reduce(DataFrame.unionByName, parts))
 
 
 def read_export(
-    spark: SparkSession, folder: str, star: Mapping[str, DataFrame]
+    spark: SparkSession, folder: str, star: Mapping[str, DataFrame], only: Iterable[str] | None = None
 ) -> dict[str, DataFrame]:
-    """CSV export read back with the type of every column declared."""
+    """CSV export read back with the type of every column declared; ``only`` chooses files by name."""
     from orderwell.plans.star import EXPORTS
 
     return {
@@ -186,6 +241,7 @@ def read_export(
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(f"{folder.rstrip('/')}/{file}")
         for file, table, _ in EXPORTS
+        if only is None or file in only
     }
 
 

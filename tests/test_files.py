@@ -1,5 +1,6 @@
 """CSV contracts, typed loads, snapshots, exports and manifests."""
 
+import datetime as dt
 from decimal import Decimal
 
 import pytest
@@ -107,6 +108,56 @@ def test_export_writes_all_tables(spark, tables, tmp_path):
     assert orders.agg(F.sum("NetRevenue")).first()[0] == 280
 
 
+def test_export_manifest_tells_broken_files(spark, tables, tmp_path):
+    star, folder = Star(tables), str(tmp_path / "export")
+    for as_csv in (True, False):
+        written = files.export_star(star, folder, as_csv, only=["dim_products", "fact_orders"], run={"SnapshotDate": "2024-01-08"})
+        assert {(r["TableName"], r["Rows"], r["Run"]) for r in written.collect()} == {
+            ("dim_products", tables["products"].count(), '{"SnapshotDate": "2024-01-08"}'), ("fact_orders", 7, '{"SnapshotDate": "2024-01-08"}')}
+        assert files.changed_files(spark, folder).count() == 0
+    # a value, a lost row and a doubled row each show, and an export of an empty table is one as well
+    products = star["DimProduct"]
+    for broken in (products.withColumn("UnitCost", F.col("UnitCost") + 1), products.limit(1), products.unionByName(products)):
+        broken.write.mode("overwrite").parquet(f"{folder}/dim_products")
+        assert [r["TableName"] for r in files.changed_files(spark, folder).collect()] == ["dim_products"]
+    empty = Star({**tables, "products": tables["products"].limit(0)})
+    assert files.export_star(empty, folder, only=["dim_products"]).first()["Rows"] == 0
+    assert files.changed_files(spark, folder).count() == 0
+    with pytest.raises(ValueError, match="no such export"):
+        files.export_star(star, folder, only=["fact_nothing"])
+
+
+def test_published_snapshots_change_by_one_line(spark, tmp_path):
+    path = str(tmp_path / "store")
+
+    def rows(day, *ids):
+        return spark.createDataFrame([(i, f"n{i}", day) for i in ids], "id int, name string, SnapshotDate string")
+
+    snapshots.publish_snapshot(rows("2024-01-01", 1, 2).unionByName(rows("2024-01-03", 3)), path)
+    begun = snapshots.read_published(spark, path, dt.date(2024, 1, 1))
+    snapshots.publish_snapshot(rows("2024-01-01", 4, 5, 6), path)
+    # a write that broke off before its line leaves a folder that nobody reads
+    rows("2024-01-01", 9).write.partitionBy("SnapshotDate").parquet(f"{path}/runs/broken")
+
+    def ids(df):
+        return sorted((r["id"], r["name"], str(r["SnapshotDate"])) for r in df.collect())
+
+    assert ids(begun) == [(1, "n1", "2024-01-01"), (2, "n2", "2024-01-01")]
+    assert [i for i, *_ in ids(snapshots.read_published(spark, path, dt.date(2024, 1, 1)))] == [4, 5, 6]
+    assert ids(snapshots.read_published(spark, path)) == [(3, "n3", "2024-01-03")]
+    assert [i for i, *_ in ids(snapshots.read_published(spark, path, as_of=dt.date(2024, 1, 2)))] == [4, 5, 6]
+    assert {str(r["SnapshotDate"]): r["Rows"] for r in snapshots.published_days(spark, path).collect()} == {"2024-01-01": 3, "2024-01-03": 1}
+    assert snapshots.superseded_runs(spark, path).count() == 0  # the first run still serves the third of January
+    snapshots.publish_snapshot(rows("2024-01-03", 7), path)
+    assert snapshots.superseded_runs(spark, path).count() == 1
+    for early in (dict(day=dt.date(2024, 1, 2)), dict(as_of=dt.date(2023, 12, 31))):
+        with pytest.raises(SourceError, match="no snapshot"):
+            snapshots.read_published(spark, path, **early)
+    with pytest.raises(SourceError, match="SnapshotDate in every row"):
+        snapshots.publish_snapshot(rows(None, 8), path)
+    assert ids(snapshots.read_published(spark, path)) == [(7, "n7", "2024-01-03")]
+
+
 def test_relationships_hold(tables):
     for r in relationship_audit(Star(tables)).collect():
         assert (r["DuplicateKeys"], r["Orphans"]) == (0, 0), r
