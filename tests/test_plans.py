@@ -51,6 +51,25 @@ def test_unused_order_attributes_cost_no_join(spark):
     assert "customer.parquet" not in plan and "nation.parquet" not in plan
 
 
+def test_attributes_of_an_order_move_no_lines(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("m01_order_lines", "e02b_fact_order_lines"):
+            plan = plan_of(QUERIES[name].run(spark, FOLDER)).splitlines()
+            # A join by customer or address above the lines would move them: their exchange comes first then.
+            lines = next(i for i, row in enumerate(plan) if "l_discount" in row and "FileScan" in row)
+            depth = len(plan[lines]) - len(plan[lines].lstrip(" :+-"))
+            above = []
+            for row in reversed(plan[:lines]):
+                at = len(row) - len(row.lstrip(" :+-"))
+                if at < depth:
+                    above, depth = [*above, row], at
+            moved = [row for row in above if "Exchange hashpartitioning" in row]
+            assert moved and not any("CustomerId" in row or "ShippingAddressId" in row for row in moved), name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_shared_folder_is_read_from_the_session(spark, monkeypatch):
     def fake(master, **settings):
         context = SimpleNamespace(master=master, applicationId="app-1")
