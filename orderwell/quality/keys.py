@@ -2,13 +2,14 @@
 
 Every table is scanned once, however many keys and references it takes part in:
 its row becomes one small row per role, and all roles are counted in one
-aggregate.  Equal keys meet as partial counts, so a key that holds a third of
+aggregate.  References to one parent key share the parent's rows.  Equal keys meet as partial counts, so a key that holds a third of
 the rows sends one row per task.  A key of one whole-number column is compared
 as a number, any other one as text; one with a NULL in it is missing.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -23,41 +24,37 @@ WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 UniqueKey = tuple[str, Sequence[str]]
 #: (label, child table, child column, parent table, parent column)
 Reference = tuple[str, str, str, str, str]
+#: So many references to a parent key are counted beside one set of its rows.
+TOGETHER = 3
 
 
 def _whole(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, WHOLE)
 
 
-def _role(label: str, columns: Sequence[str], number: bool, parent: int, child: int) -> Column:
+def _role(at: int, slot: int, columns: Sequence[str], number: bool) -> Column:
     """One row's part in a key: the key as number or text, both NULL where it is missing."""
     named = [F.col(f"`{c}`") for c in columns]
     text = named[0].cast("string") if len(named) == 1 else F.to_json(F.struct(*named))
     present = reduce(Column.__and__, [c.isNotNull() for c in named])
     return F.struct(
-        F.lit(label).alias("Label"),
+        F.lit(at).alias("At"),
+        F.lit(slot).alias("Slot"),
         (named[0].cast("bigint") if number else F.lit(None).cast("bigint")).alias("Number"),
         (F.lit(None).cast("string") if number else F.when(present, text)).alias("Text"),
-        F.lit(parent).cast("bigint").alias("Parents"),
-        F.lit(child).cast("bigint").alias("Children"),
     )
 
 
-def _counted(tables: Mapping[str, DataFrame], roles: Mapping[str, list[Column]], labels: Iterable[str]) -> DataFrame:
-    """Per label and key: rows that declare it and rows that refer to it."""
+def _counted(tables: Mapping[str, DataFrame], roles: Mapping[str, list[Column]], keys: int, slots: Mapping[str, int]) -> DataFrame:
+    """Per key and value: the rows of each slot.  Keys go by number: every value held in memory is a row of its own."""
     parts = [tables[name].select(F.inline(F.array(*listed))) for name, listed in roles.items()]
-    # A label whose tables are empty is reported as well: one row without a key stands for it.
-    nothing = F.array(*[F.lit(label) for label in labels])
-    one = next(iter(tables.values())).sparkSession.range(1, numPartitions=1)
-    parts.append(
-        one.select(F.explode(nothing).alias("Label")).selectExpr(
-            "Label", "CAST(NULL AS BIGINT) AS Number", "CAST(NULL AS STRING) AS Text", "0L AS Parents", "0L AS Children"
-        )
-    )
+    # A key whose tables are empty is reported as well: one row without a value stands for it.
+    one = next(iter(tables.values())).sparkSession.range(keys, numPartitions=1)
+    parts.append(one.selectExpr("CAST(id AS INT) AS At", "-1 AS Slot", "CAST(NULL AS BIGINT) AS Number", "CAST(NULL AS STRING) AS Text"))
     return (
         reduce(DataFrame.unionByName, parts)
-        .groupBy("Label", "Number", "Text")
-        .agg(F.sum("Parents").alias("Parents"), F.sum("Children").alias("Children"))
+        .groupBy("At", "Number", "Text")
+        .agg(*[count_if(F.col("Slot") == slot).alias(name) for name, slot in slots.items()])
         .withColumn("Missing", F.col("Number").isNull() & F.col("Text").isNull())
     )
 
@@ -68,14 +65,13 @@ def label_of(key: UniqueKey) -> str:
 
 
 def _unique(tables: Mapping[str, DataFrame], keys: Iterable[UniqueKey]) -> DataFrame:
+    keys = list(dict.fromkeys((name, tuple(columns)) for name, columns in keys))
     roles: dict[str, list[Column]] = {}
-    labels = []
-    for key in keys:
-        name, columns = key
+    for at, (name, columns) in enumerate(keys):
         number = len(columns) == 1 and _whole(tables[name], columns[0])
-        roles.setdefault(name, []).append(_role(label_of(key), columns, number, 1, 0))
-        labels.append(label_of(key))
-    return _counted(tables, roles, labels)
+        roles.setdefault(name, []).append(_role(at, 0, columns, number))
+    labels = F.array(*[F.lit(label_of(key)) for key in keys])
+    return _counted(tables, roles, len(keys), {"Parents": 0}).withColumn("Label", F.get(labels, F.col("At")))
 
 
 def unique_keys(tables: Mapping[str, DataFrame], keys: Iterable[UniqueKey]) -> DataFrame:
@@ -102,17 +98,30 @@ def references(tables: Mapping[str, DataFrame], listed: Iterable[Reference]) ->
 
     A child without a key refers to nothing and is no orphan.
     """
+    groups: dict[tuple[str, str, bool, int], list[Reference]] = {}
+    met: Counter = Counter()
+    for reference in listed:
+        _, child, column, parent, key = reference
+        number = _whole(tables[child], column) and _whole(tables[parent], key)
+        groups.setdefault((parent, key, number, met[parent, key, number] // TOGETHER), []).append(reference)
+        met[parent, key, number] += 1
     roles: dict[str, list[Column]] = {}
     labels = []
-    for label, child, column, parent, key in listed:
-        number = _whole(tables[child], column) and _whole(tables[parent], key)
-        roles.setdefault(child, []).append(_role(label, [column], number, 0, 1))
-        roles.setdefault(parent, []).append(_role(label, [key], number, 1, 0))
-        labels.append(label)
+    for at, ((parent, key, number, _), together) in enumerate(groups.items()):
+        roles.setdefault(parent, []).append(_role(at, 0, [key], number))
+        for slot, (label, child, column, _, _) in enumerate(together, 1):
+            roles.setdefault(child, []).append(_role(at, slot, [column], number))
+            labels.append(F.struct(F.lit(label).alias("Reference"), F.lit(at).alias("Of"), F.lit(slot).alias("Child")))
+    slots = {f"Children{slot}": slot for slot in range(1, TOGETHER + 1)}
     stray = ~F.col("Missing") & (F.col("Parents") == 0)
-    return _counted(tables, roles, labels).groupBy(F.col("Label").alias("Reference")).agg(
+    counted = _counted(tables, roles, len(groups), {"Parents": 0} | slots).groupBy("At").agg(
         count_if(~F.col("Missing") & (F.col("Parents") > 1)).alias("DuplicateKeys"),
-        F.coalesce(F.sum(F.when(stray, F.col("Children"))), F.lit(0)).alias("Orphans"),
+        F.array(*[F.coalesce(F.sum(F.when(stray, F.col(c))), F.lit(0)) for c in slots]).alias("Strays"),
+    )
+    return (
+        counted.select("*", F.inline(F.array(*labels)))
+        .where(F.col("At") == F.col("Of"))
+        .select("Reference", "DuplicateKeys", F.get("Strays", F.col("Child") - 1).alias("Orphans"))
     )
 
 

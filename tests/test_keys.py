@@ -109,3 +109,14 @@ def test_second_shipment_and_second_review_are_reported(spark):
     one_each = {**t, "shipments": table(spark, "shipments", sent[1:])}
     failed = report.quality_report(one_each).where("Status = 'FAIL' AND CheckName LIKE 'unique:%'").collect()
     assert [(r["CheckName"], r["Blocking"]) for r in failed] == [("unique:product_reviews.OrderItemId", 0)]
+
+
+def test_references_to_one_parent_share_its_rows(random_tables):
+    """Five references to one key, of two groups, count as each alone does, with two sets of parent rows."""
+    tables, _, _ = random_tables
+    listed = [(f"r{i}", "child", ("k", "odd name")[i % 2], "parent", "id") for i in range(5)]
+    together = {tuple(r) for r in references(tables, listed).collect()}
+    assert together == {tuple(r) for one in listed for r in references(tables, [one]).collect()}
+    plan = references(tables, listed)._jdf.queryExecution().optimizedPlan().toString()
+    parents = next(row for row in plan.splitlines() if "Generate inline" in row and "id#" in row)
+    assert parents.count("struct(At") == 2
