@@ -17,7 +17,7 @@ from orderwell.operators.facts import (
     line_facts,
     order_facts,
 )
-from orderwell.quality.keys import references, unique_keys
+from orderwell.quality.keys import keys_and_references, label_of, references, unique_keys
 from orderwell.sources.contracts import CONTRACTS, FOREIGN_KEYS, UNIQUE_KEYS
 
 TOLERANCE = 0.01
@@ -47,11 +47,15 @@ def _counted(name: str, violations: DataFrame) -> DataFrame:
 
 def duplicate_keys(t: Tables, keys: Iterable[tuple[str, str]] | None = None) -> DataFrame:
     """Per key column: how many values occur more than once, and how many are NULL."""
-    chosen = keys or [*((n, c.key) for n, c in CONTRACTS.items()), *NATURAL_KEYS]
+    chosen = keys or _key_columns()
     counted = unique_keys(t, [(table, (column,)) for table, column in chosen])
     return counted.select("CheckName", "DuplicateValues", "NullKeys")
 
 
+def _key_columns() -> list[tuple[str, str]]:
+    return [*((n, c.key) for n, c in CONTRACTS.items()), *NATURAL_KEYS]
+
+
 def declared_keys(t: Tables) -> DataFrame:
     """Each declared unique key, of one column or several: repeated values and the rows beyond their first."""
     return unique_keys(t, UNIQUE_KEYS)
@@ -106,6 +110,24 @@ def foreign_keys(t: Tables) -> DataFrame:
     return references(t, listed).select(F.col("Reference").alias("CheckName"), F.col("Orphans").alias("Violations"))
 
 
+def key_checks(t: Tables) -> DataFrame:
+    """``duplicate_keys``, ``declared_keys`` and ``foreign_keys`` in one aggregate, as (CheckName, Violations).
+
+    A value that several of them look at is moved once.
+    """
+    columns = [(table, (column,)) for table, column in _key_columns()]
+    listed = [(f"foreign_key:{fk[0]}.{fk[1]}", *fk) for fk in FOREIGN_KEYS]
+    counted = keys_and_references(t, [*columns, *UNIQUE_KEYS], listed, apart=True)
+    label = F.col("Label")
+    named = {"duplicate_key:": (columns, "DuplicateValues"), "null_key:": (columns, "NullKeys"), "unique:": (UNIQUE_KEYS, "DuplicateValues")}
+    found = [
+        F.when(label.isin(*[label_of(key) for key in keys]), F.struct(F.concat(F.lit(prefix), label).alias("CheckName"), F.col(column).alias("Violations")))
+        for prefix, (keys, column) in named.items()
+    ]
+    found.append(F.when(label.startswith("foreign_key:"), F.struct(label.alias("CheckName"), F.col("Orphans").alias("Violations"))))
+    return counted.select(F.inline(F.array_compact(F.array(*found))))
+
+
 def value_ranges(t: Tables) -> DataFrame:
     """Line economics and ratings inside their bounds."""
     quantity, price = F.col("Quantity"), F.col("UnitPrice")

@@ -1,7 +1,7 @@
 """Keys counted table by table: duplicates, missing ones, and references without a parent.
 
-Every table is scanned once, however many keys and references it takes part in:
-its row becomes one small row per role, and all roles are counted in one
+Every table is scanned once, however many keys and references it takes part in
+(or, asked so, once per key): its row becomes one small row per role, and all roles are counted in one
 aggregate.  References to one parent key share the parent's rows.  Equal keys meet as partial counts, so a key that holds a third of
 the rows sends one row per task.  A key of one whole-number column is compared
 as a number, any other one as text; one with a NULL in it is missing.
@@ -45,9 +45,12 @@ def _role(at: int, slot: int, columns: Sequence[str], number: bool) -> Column:
     )
 
 
-def _counted(tables: Mapping[str, DataFrame], roles: Mapping[str, list[Column]], keys: int, slots: Mapping[str, int]) -> DataFrame:
+def _counted(
+    tables: Mapping[str, DataFrame], roles: Mapping[str, list[Column]], keys: int, slots: Mapping[str, int], apart: bool = False
+) -> DataFrame:
     """Per key and value: the rows of each slot.  Keys go by number: every value held in memory is a row of its own."""
-    parts = [tables[name].select(F.inline(F.array(*listed))) for name, listed in roles.items()]
+    scans = [(name, part) for name, listed in roles.items() for part in ([[role] for role in listed] if apart else [listed])]
+    parts = [tables[name].select(F.inline(F.array(*part))) for name, part in scans]
     # A key whose tables are empty is reported as well: one row without a value stands for it.
     one = next(iter(tables.values())).sparkSession.range(keys, numPartitions=1)
     parts.append(one.selectExpr("CAST(id AS INT) AS At", "-1 AS Slot", "CAST(NULL AS BIGINT) AS Number", "CAST(NULL AS STRING) AS Text"))
@@ -74,14 +77,19 @@ def _unique(tables: Mapping[str, DataFrame], keys: Iterable[UniqueKey]) -> DataF
     return _counted(tables, roles, len(keys), {"Parents": 0}).withColumn("Label", F.get(labels, F.col("At")))
 
 
+def _unique_counts(rows: Column) -> list[Column]:
+    """Over the values of a key, each with its number of rows."""
+    many = ~F.col("Missing") & (rows > 1)
+    return [
+        count_if(many).alias("DuplicateValues"),
+        F.coalesce(F.sum(F.when(many, rows - 1)), F.lit(0)).alias("SurplusRows"),
+        F.sum(F.when(F.col("Missing"), rows).otherwise(0)).alias("NullKeys"),
+    ]
+
+
 def unique_keys(tables: Mapping[str, DataFrame], keys: Iterable[UniqueKey]) -> DataFrame:
     """Per key: values held by more than one row, rows beyond the first of each value, rows without a key."""
-    many = ~F.col("Missing") & (F.col("Parents") > 1)
-    return _unique(tables, keys).groupBy(F.col("Label").alias("CheckName")).agg(
-        count_if(many).alias("DuplicateValues"),
-        F.coalesce(F.sum(F.when(many, F.col("Parents") - 1)), F.lit(0)).alias("SurplusRows"),
-        F.sum(F.when(F.col("Missing"), F.col("Parents")).otherwise(0)).alias("NullKeys"),
-    )
+    return _unique(tables, keys).groupBy(F.col("Label").alias("CheckName")).agg(*_unique_counts(F.col("Parents")))
 
 
 def repeated_keys(tables: Mapping[str, DataFrame], keys: Iterable[UniqueKey]) -> DataFrame:
@@ -98,31 +106,66 @@ def references(tables: Mapping[str, DataFrame], listed: Iterable[Reference]) ->
 
     A child without a key refers to nothing and is no orphan.
     """
-    groups: dict[tuple[str, str, bool, int], list[Reference]] = {}
+    return keys_and_references(tables, (), listed).select(
+        F.col("Label").alias("Reference"), F.col("DuplicateParents").alias("DuplicateKeys"), "Orphans"
+    ).where(F.col("Orphans").isNotNull())
+
+
+def keys_and_references(
+    tables: Mapping[str, DataFrame], keys: Iterable[UniqueKey], listed: Iterable[Reference], apart: bool = False
+) -> DataFrame:
+    """Unique keys and references in one aggregate, one row for each: (Label, counts of ``unique_keys`` or ``references``).
+
+    The counts a row does not have are NULL.  A key that is the parent or the child of a reference is counted there and
+    is not moved a second time.  ``apart`` reads a table once for each key, which suits tables in columnar files: a task
+    then holds one key of its rows in memory, not all of them.
+    """
+    groups: dict[tuple[str, tuple[str, ...], bool, int], list[Reference]] = {}
     met: Counter = Counter()
     for reference in listed:
         _, child, column, parent, key = reference
         number = _whole(tables[child], column) and _whole(tables[parent], key)
-        groups.setdefault((parent, key, number, met[parent, key, number] // TOGETHER), []).append(reference)
+        turn = met[parent, key, number] // TOGETHER
+        groups.setdefault((parent, (key,), number, turn), []).append(reference)
         met[parent, key, number] += 1
+    places: dict[tuple[UniqueKey, bool], tuple[int, int]] = {}
+    for at, ((parent, key, number, _), together) in enumerate(groups.items()):
+        places.setdefault(((parent, key), number), (at, 0))
+        for slot, (_, child, column, _, _) in enumerate(together, 1):
+            places.setdefault(((child, (column,)), number), (at, slot))
+    wanted = []
+    for name, columns in dict.fromkeys((name, tuple(columns)) for name, columns in keys):
+        number = len(columns) == 1 and _whole(tables[name], columns[0])
+        if ((name, columns), number) not in places:
+            places[(name, columns), number] = (len(groups), 0)
+            groups[name, columns, number, 0] = []
+        wanted.append(((name, columns), *places[(name, columns), number]))
+
     roles: dict[str, list[Column]] = {}
-    labels = []
+    found = []
+    slots = {"Parents": 0} | {f"Children{slot}": slot for slot in range(1, TOGETHER + 1)}
+    nothing = F.lit(None).cast("bigint")
+
+    def result(at: int, label: str, **counts: Column) -> Column:
+        named = ("DuplicateValues", "SurplusRows", "NullKeys", "DuplicateParents", "Orphans")
+        return F.struct(F.lit(at).alias("Of"), F.lit(label).alias("Label"), *[counts.get(c, nothing).alias(c) for c in named])
+
     for at, ((parent, key, number, _), together) in enumerate(groups.items()):
-        roles.setdefault(parent, []).append(_role(at, 0, [key], number))
+        roles.setdefault(parent, []).append(_role(at, 0, key, number))
         for slot, (label, child, column, _, _) in enumerate(together, 1):
             roles.setdefault(child, []).append(_role(at, slot, [column], number))
-            labels.append(F.struct(F.lit(label).alias("Reference"), F.lit(at).alias("Of"), F.lit(slot).alias("Child")))
-    slots = {f"Children{slot}": slot for slot in range(1, TOGETHER + 1)}
+            counts = {"DuplicateParents": F.get("Unique", F.lit(0)).getField("DuplicateValues"), "Orphans": F.get("Strays", F.lit(slot - 1))}
+            found.append(result(at, label, **counts))
+    for key, at, slot in wanted:
+        counted = F.get("Unique", F.lit(slot))
+        found.append(result(at, label_of(key), **{c: counted.getField(c) for c in ("DuplicateValues", "SurplusRows", "NullKeys")}))
+
     stray = ~F.col("Missing") & (F.col("Parents") == 0)
-    counted = _counted(tables, roles, len(groups), {"Parents": 0} | slots).groupBy("At").agg(
-        count_if(~F.col("Missing") & (F.col("Parents") > 1)).alias("DuplicateKeys"),
-        F.array(*[F.coalesce(F.sum(F.when(stray, F.col(c))), F.lit(0)) for c in slots]).alias("Strays"),
-    )
-    return (
-        counted.select("*", F.inline(F.array(*labels)))
-        .where(F.col("At") == F.col("Of"))
-        .select("Reference", "DuplicateKeys", F.get("Strays", F.col("Child") - 1).alias("Orphans"))
+    counted = _counted(tables, roles, len(groups), slots, apart).groupBy("At").agg(
+        F.array(*[F.struct(*_unique_counts(F.col(c))) for c in slots]).alias("Unique"),
+        F.array(*[F.coalesce(F.sum(F.when(stray, F.col(c))), F.lit(0)) for c in list(slots)[1:]]).alias("Strays"),
     )
+    return counted.select("At", F.inline(F.array(*found))).where(F.col("At") == F.col("Of")).drop("At", "Of")
 
 
 def many_to_one(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

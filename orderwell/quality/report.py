@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderwell.operators.facts import Tables
+from orderwell.operators.facts import SharedOrders, Tables
 from orderwell.quality import checks
+from orderwell.session import Stored
 from orderwell.sources.contracts import SourceError
 
 ROW_CHECKS = {
@@ -31,6 +32,9 @@ BLOCKING = (
     "unique:shipments.OrderId",  # order facts join shipments by order: a second one would double the order
 )
 
+# The tables with rows for an order's lines and payments: many checks read them, so they are built once.
+STORED = ("order_items", "payments", "return_items", "product_reviews")
+
 # What is told of outliers that are found but kept.
 OUTLIERS_KEPT = {"high_value_order_lines": "unusually high order lines are kept: they may be real orders"}
 
@@ -38,8 +42,10 @@ OUTLIERS_KEPT = {"high_value_order_lines": "unusually high order lines are kept:
 def quality_report(t: Tables) -> DataFrame:
     """All checks as (CheckName, Violations, Status, Blocking).
 
-    Every check is an aggregate on the cluster; the report has one row per check.
+    Every check is an aggregate on the cluster; the report has one row per check.  What several checks read is written
+    once: the larger tables and the orders' totals.
     """
+    t = SharedOrders(Stored(t, STORED))
     parts: list[DataFrame] = []
     nulls = checks.null_profile(t)
     parts.append(
@@ -48,21 +54,8 @@ def quality_report(t: Tables) -> DataFrame:
             F.col("UnexpectedNulls").alias("Violations"),
         )
     )
-    keys = checks.duplicate_keys(t)
-    for prefix, column in (("duplicate_key:", "DuplicateValues"), ("null_key:", "NullKeys")):
-        parts.append(
-            keys.select(
-                F.concat(F.lit(prefix), "CheckName").alias("CheckName"),
-                F.col(column).alias("Violations"),
-            )
-        )
-    parts.append(
-        checks.declared_keys(t).select(
-            F.concat(F.lit("unique:"), "CheckName").alias("CheckName"), F.col("DuplicateValues").alias("Violations")
-        )
-    )
+    parts.append(checks.key_checks(t))
     grouped = {
-        "foreign_key:": checks.foreign_keys,
         "range:": lambda t: checks.value_ranges(t).unionByName(checks.delivery_order(t)),
         "rule:": checks.check_constraints,
         "grain:": checks.grain_reconciliation,
