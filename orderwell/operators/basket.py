@@ -9,6 +9,11 @@ Exact, and without emitting all pairs of a huge basket:
 * A larger basket only adds to pairs that can still reach the threshold.  Pairs
   seen in ordinary baskets are looked up in the large ones; pairs seen in large
   baskets alone need products that are in ``min_pair_orders`` large baskets.
+
+What one task holds does not grow with the input: rows and pairs are counted
+first, and the number of tasks follows the count.  Rows are dealt to chunks, one
+per task; products and pairs are counted within a chunk before they move, so
+that a pair in very many orders moves as one row per chunk.
 """
 
 from __future__ import annotations
@@ -20,54 +25,87 @@ from pyspark.sql import functions as F
 
 from orderwell.operators.facts import Tables, is_valid, order_headers
 from orderwell.operators.validation import at_least, between, date_range, in_range
+from orderwell.session import materialize
 
 LARGE_BASKET = 200
 SALTS = 64
+ROWS_PER_TASK = 500_000
+PAIR = ["ProductAId", "ProductBId"]
 
 
-def baskets_between(t: Tables, first: dt.date, last: dt.date) -> DataFrame:
-    """Distinct (order, product) of valid orders in the date range."""
-    orders = order_headers(t).filter(is_valid() & in_range("OrderDateTime", first, last))
-    lines = t["order_items"].select("OrderId", "ProductId")
-    return lines.join(orders.select("OrderId"), "OrderId").distinct()
+def tasks_for(rows: int) -> int:
+    """One task per ROWS_PER_TASK, without an upper limit."""
+    return max(1, -(-rows // ROWS_PER_TASK))
 
 
-def _pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    a = left.withColumnRenamed("ProductId", "ProductAId")
-    b = right.withColumnRenamed("ProductId", "ProductBId")
-    return (
-        a.join(b, on)
+def _chunked(rows: DataFrame, tasks: int, *by: str) -> DataFrame:
+    """Rows dealt by these columns to ``tasks`` chunks, each of them one task's share."""
+    chunk = F.pmod(F.xxhash64(*by), F.lit(tasks)).cast("int")
+    return rows.withColumn("__chunk", chunk).repartitionById(tasks, "__chunk")
+
+
+def _counted(chunked: DataFrame, keys: list[str], tasks: int, name: str) -> DataFrame:
+    """Rows per key, counted within chunks first."""
+    within = chunked.groupBy("__chunk", *keys).agg(F.count(F.lit(1)).alias("__n"))
+    return within.repartition(tasks, *keys).groupBy(*keys).agg(F.sum("__n").alias(name))
+
+
+def baskets_between(t: Tables, first: dt.date, last: dt.date) -> DataFrame:
+    """Distinct (order, product) of valid orders in the date range."""
+    orders = order_headers(t).filter(is_valid() & in_range("OrderDateTime", first, last)).select("OrderId")
+    # Written first, as the number of tasks follows from the count.
+    lines = materialize(t["order_items"].select("OrderId", "ProductId"))
+    tasks = tasks_for(lines.count() + orders.count())
+    return lines.repartition(tasks, "OrderId").join(orders.repartition(tasks, "OrderId"), "OrderId").distinct()
+
+
+def _pairs(baskets: DataFrame, pairs: int) -> DataFrame:
+    """Pairs of ordinary baskets: each product meets those before it in its order."""
+    tasks = tasks_for(pairs)
+    before = (
+        Window.partitionBy("__chunk", "OrderId")
+        .orderBy("ProductId")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    met = (
+        _chunked(baskets.filter(F.col("OrderId").isNotNull()), tasks, "OrderId")
+        .withColumn("__before", F.collect_list("ProductId").over(before))
+        .select("__chunk", F.explode("__before").alias("ProductAId"), F.col("ProductId").alias("ProductBId"))
         .filter(F.col("ProductBId") > F.col("ProductAId"))
-        .groupBy("ProductAId", "ProductBId")
-        .agg(F.count(F.lit(1)).alias("PairOrders"))
     )
+    return _counted(met, PAIR, tasks, "PairOrders")
 
 
 def _salted_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of few but huge baskets: one side is cut by product, the other repeated."""
     salted = rows.withColumn("__salt", F.pmod(F.hash("ProductId"), F.lit(SALTS)))
     repeated = rows.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return _pairs(salted, repeated, ["OrderId", "__salt"])
+    a = salted.withColumnRenamed("ProductId", "ProductAId")
+    b = repeated.withColumnRenamed("ProductId", "ProductBId")
+    return (
+        a.join(b, ["OrderId", "__salt"])
+        .filter(F.col("ProductBId") > F.col("ProductAId"))
+        .groupBy(*PAIR)
+        .agg(F.count(F.lit(1)).alias("PairOrders"))
+    )
 
 
 def _with_large_baskets(
-    small: DataFrame, large: DataFrame, large_count: int, min_pair_orders: int
+    counted: DataFrame, large: DataFrame, large_count: int, min_pair_orders: int
 ) -> DataFrame:
-    """Pair counts over ordinary and large baskets together, threshold applied."""
-    pair = ["ProductAId", "ProductBId"]
-    counted = _pairs(small, small, ["OrderId"])
+    """Pair counts over ordinary (counted) and large baskets together, threshold applied."""
     reachable = counted.filter(F.col("PairOrders") + large_count >= min_pair_orders)
     holds_a = large.withColumnRenamed("ProductId", "ProductAId")
     holds_b = large.withColumnRenamed("ProductId", "ProductBId")
     added = (
-        reachable.select(*pair)
+        reachable.select(*PAIR)
         .join(holds_a, "ProductAId")
         .join(holds_b, ["OrderId", "ProductBId"])
-        .groupBy(*pair)
+        .groupBy(*PAIR)
         .agg(F.count(F.lit(1)).alias("__added"))
     )
     total = F.col("PairOrders") + F.coalesce(F.col("__added"), F.lit(0))
-    result = reachable.join(added, pair, "left").select(*pair, total.alias("PairOrders"))
+    result = reachable.join(added, PAIR, "left").select(*PAIR, total.alias("PairOrders"))
     if large_count >= min_pair_orders:
         often = (
             large.groupBy("ProductId")
@@ -75,7 +113,7 @@ def _with_large_baskets(
             .filter(F.col("n") >= min_pair_orders)
         )
         only_large = _salted_pairs(large.join(often, "ProductId", "left_semi"))
-        result = result.unionByName(only_large.join(counted, pair, "left_anti"))
+        result = result.unionByName(only_large.join(counted, PAIR, "left_anti"))
     return result.filter(F.col("PairOrders") >= min_pair_orders)
 
 
@@ -85,21 +123,32 @@ def pair_counts(
     large_basket: int = LARGE_BASKET,
 ) -> tuple[DataFrame, DataFrame, int]:
     """Pairs reaching the threshold, product supports, and the number of baskets."""
-    support = baskets.groupBy("ProductId").agg(F.count(F.lit(1)).alias("ProductOrders"))
+    baskets = materialize(baskets)
+    tasks = tasks_for(baskets.count())
+    # Dealt by both, as one order or one product may hold a third of the rows.
+    dealt = _chunked(baskets, tasks, "OrderId", "ProductId")
+    support = materialize(_counted(dealt, ["ProductId"], tasks, "ProductOrders"))
     frequent = support.filter(F.col("ProductOrders") >= min_pair_orders)
-    flagged = baskets.join(frequent, "ProductId", "left")
-    sizes = flagged.groupBy("OrderId").agg(F.count("ProductOrders").alias("__size"))
+    # Orders without a frequent product stay as baskets, with products of NULL.
+    flagged = materialize(
+        baskets.join(frequent, "ProductId", "left").select(
+            "OrderId", F.when(F.col("ProductOrders").isNotNull(), F.col("ProductId")).alias("ProductId")
+        )
+    )
+    sizes = _chunked(flagged, tasks, "OrderId").groupBy("__chunk", "OrderId").agg(F.count("ProductId").alias("__size"))
+    is_large = F.col("__size") > large_basket
     counts = sizes.agg(
         F.count(F.lit(1)).alias("baskets"),
-        F.count(F.when(F.col("__size") > large_basket, F.lit(1))).alias("large"),
+        F.count(F.when(is_large, F.lit(1))).alias("large"),
+        F.coalesce(F.sum(F.when(~is_large, F.expr("__size * (__size - 1) div 2"))), F.lit(0)).alias("pairs"),
     ).first()
-    kept = baskets.join(frequent, "ProductId", "left_semi")
+    kept = flagged.filter(F.col("ProductId").isNotNull())
     if counts["large"] == 0:
-        pairs = _pairs(kept, kept, ["OrderId"]).filter(F.col("PairOrders") >= min_pair_orders)
+        pairs = _pairs(kept, counts["pairs"]).filter(F.col("PairOrders") >= min_pair_orders)
     else:
-        huge = sizes.filter(F.col("__size") > large_basket).select("OrderId")
+        huge = sizes.filter(is_large).select("OrderId")
         pairs = _with_large_baskets(
-            kept.join(huge, "OrderId", "left_anti"),
+            _pairs(kept.join(huge, "OrderId", "left_anti"), counts["pairs"]),
             kept.join(huge, "OrderId", "left_semi"),
             counts["large"],
             min_pair_orders,

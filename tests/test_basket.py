@@ -5,7 +5,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderwell.operators import basket
 from orderwell.operators.basket import pair_counts, product_affinity
 from shop import shop, when
 
@@ -47,3 +49,31 @@ def test_affinity_dedupes_lines_and_skips_cancelled(spark):
     assert (row[0]["PairOrders"], row[0]["Support"], row[0]["Lift"], row[0]["LiftRank"]) == (3, 1.0, 1.0, 1)
     with pytest.raises(ValueError):
         product_affinity(t, "2025-01-01", "2025-01-05", min_pair_orders=2)
+
+
+@pytest.mark.parametrize("large", [3, 10_000])
+def test_pairs_over_many_chunks(spark, monkeypatch, large):
+    """A pair in every order, orders without a frequent product, and NULLs, dealt to many tasks."""
+    monkeypatch.setattr(basket, "ROWS_PER_TASK", 7)
+    baskets = {o: {1, 2} | items for o, items in random_baskets(seed=3).items()}
+    rows = [(o, p) for o, items in baskets.items() for p in items]
+    odd = [(900, 901), (901, None), (902, 1), (902, None), (None, 1), (None, 2)]
+    df = spark.createDataFrame(rows + odd, "OrderId long, ProductId long")
+    pairs, support, total = pair_counts(df, 4, large_basket=large)
+    want = Counter(
+        pair for items in baskets.values() for pair in itertools.combinations(sorted(items), 2)
+    )
+    assert want[1, 2] == len(baskets)
+    assert {(r[0], r[1]): r[2] for r in pairs.collect()} == {k: v for k, v in want.items() if v >= 4}
+    assert total == len(baskets) + 4
+    assert {r[0]: r[1] for r in support.collect()} == Counter(p for _, p in rows + odd)
+
+
+def test_what_one_task_holds_does_not_grow(spark, monkeypatch):
+    monkeypatch.setattr(basket, "ROWS_PER_TASK", 100)
+    rng = random.Random(5)
+    for orders in (100, 400):
+        rows = [(o, p) for o in range(orders) for p in rng.sample(range(300), 5)]
+        pairs, _, _ = pair_counts(spark.createDataFrame(rows, "OrderId long, ProductId long"), 1)
+        held = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) > 8 * orders and max(held) < 200
