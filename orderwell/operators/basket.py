@@ -13,7 +13,8 @@ Exact, and without emitting all pairs of a huge basket:
 What one task holds does not grow with the input: rows and pairs are counted
 first, and the number of tasks follows the count.  Rows are dealt to chunks, one
 per task; products and pairs are counted within a chunk before they move, so
-that a pair in very many orders moves as one row per chunk.
+that a pair in very many orders moves as one row per chunk.  Joins by product are
+left to adaptive execution, which splits hot products.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from orderwell.session import materialize
 LARGE_BASKET = 200
 SALTS = 64
 ROWS_PER_TASK = 500_000
+# A task opens at most 32 files (maxPartitionBytes by openCostInBytes) and, where it deals to many tasks, holds their rows.
+ROWS_PER_FILE = 125_000
 PAIR = ["ProductAId", "ProductBId"]
 
 
@@ -54,7 +57,7 @@ def baskets_between(t: Tables, first: dt.date, last: dt.date) -> DataFrame:
     """Distinct (order, product) of valid orders in the date range."""
     orders = order_headers(t).filter(is_valid() & in_range("OrderDateTime", first, last)).select("OrderId")
     # Written first, as the number of tasks follows from the count.
-    lines = materialize(t["order_items"].select("OrderId", "ProductId"))
+    lines = materialize(t["order_items"].select("OrderId", "ProductId"), ROWS_PER_FILE)
     tasks = tasks_for(lines.count() + orders.count())
     return lines.repartition(tasks, "OrderId").join(orders.repartition(tasks, "OrderId"), "OrderId").distinct()
 
@@ -123,7 +126,7 @@ def pair_counts(
     large_basket: int = LARGE_BASKET,
 ) -> tuple[DataFrame, DataFrame, int]:
     """Pairs reaching the threshold, product supports, and the number of baskets."""
-    baskets = materialize(baskets)
+    baskets = materialize(baskets, ROWS_PER_FILE)
     tasks = tasks_for(baskets.count())
     # Dealt by both, as one order or one product may hold a third of the rows.
     dealt = _chunked(baskets, tasks, "OrderId", "ProductId")
@@ -133,7 +136,8 @@ def pair_counts(
     flagged = materialize(
         baskets.join(frequent, "ProductId", "left").select(
             "OrderId", F.when(F.col("ProductOrders").isNotNull(), F.col("ProductId")).alias("ProductId")
-        )
+        ),
+        ROWS_PER_FILE,
     )
     sizes = _chunked(flagged, tasks, "OrderId").groupBy("__chunk", "OrderId").agg(F.count("ProductId").alias("__size"))
     is_large = F.col("__size") > large_basket

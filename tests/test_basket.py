@@ -1,5 +1,6 @@
 """Affinity counts against brute force, through every path for large baskets."""
 
+import datetime as dt
 import itertools
 import random
 from collections import Counter
@@ -77,3 +78,11 @@ def test_what_one_task_holds_does_not_grow(spark, monkeypatch):
         pairs, _, _ = pair_counts(spark.createDataFrame(rows, "OrderId long, ProductId long"), 1)
         held = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(held) > 8 * orders and max(held) < 200
+
+
+def test_written_rows_are_dealt_to_many_files(spark, monkeypatch):
+    monkeypatch.setattr(basket, "ROWS_PER_FILE", 10)
+    orders = [dict(OrderId=1, OrderDate=when("2024-01-05"), StatusId=4)]
+    t = shop(spark, orders=orders, order_items=[dict(OrderItemId=i, OrderId=1, ProductId=i) for i in range(95)])
+    found = basket.baskets_between(t, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    assert found.count() == 95 and len(found.inputFiles()) >= 10
