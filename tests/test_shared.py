@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from orderwell.operators.facts import SharedOrders, accepted_returns, line_facts, order_facts
 from orderwell.operators.insights import insights
+from orderwell.plans.measures import evaluate
 from orderwell.plans.star import Star
 from orderwell.quality import report
 from orderwell.quality.keys import keys_and_references, references, unique_keys
@@ -89,3 +90,13 @@ def test_reviews_meet_no_returns_unless_asked(spark):
     columns = ["ReviewId", "ReviewDateKey", "ProductId", "Rating"]
     same(slim.select(columns), star["FactReviews"].select(columns))
     assert "WasReturned" in star.rows("FactReviews", {"WasReturned"}).columns
+
+
+def test_review_measures_bring_the_returns_they_need(spark):
+    """x09: the rate of returned reviews finds its flag, alone or beside other measures, by product."""
+    star = Star(small_shop(spark))
+    by = [("DimProduct", "ProductId")]
+    # lines 2 and 3 have an accepted return, line 1 a rejected one, line 9 none
+    found = evaluate(star, ["Reviews", "Average Rating", "Reviewed Item Return Rate"], by).collect()
+    assert [tuple(r) for r in found] == [(1, 4, 5.0, 0.5)]
+    assert [tuple(r) for r in evaluate(star, ["Returned Reviews"]).collect()] == [(2,)]
