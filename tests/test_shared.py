@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from orderwell.operators.facts import SharedOrders, accepted_returns, line_facts, order_facts
 from orderwell.operators.insights import insights
+from orderwell.plans import pages
 from orderwell.plans.measures import evaluate
 from orderwell.plans.star import Star
 from orderwell.quality import report
@@ -100,3 +101,11 @@ def test_review_measures_bring_the_returns_they_need(spark):
     found = evaluate(star, ["Reviews", "Average Rating", "Reviewed Item Return Rate"], by).collect()
     assert [tuple(r) for r in found] == [(1, 4, 5.0, 0.5)]
     assert [tuple(r) for r in evaluate(star, ["Returned Reviews"]).collect()] == [(2,)]
+
+
+def test_returned_reviews_by_rating(spark):
+    """x21s: a group of the fact itself, and the flag beside it."""
+    t = small_shop(spark)
+    rated = t["product_reviews"].withColumn("Rating", F.when(F.col("ReviewId") == "2", 1).otherwise(4))
+    found = pages.rating_behavior(Star({**t, "product_reviews": rated})).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 1.0), (4, 3, 1 / 3)]
