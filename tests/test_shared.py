@@ -1,5 +1,8 @@
 """What several checks or findings read is built once, with the same results."""
 
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from orderwell.operators.facts import SharedOrders, accepted_returns, line_facts, order_facts
@@ -9,6 +12,8 @@ from orderwell.plans.measures import evaluate
 from orderwell.plans.star import Star
 from orderwell.quality import report
 from orderwell.quality.keys import keys_and_references, references, unique_keys
+from orderwell.session import RELEASE, materialize
+from orderwell.sources import files
 from shop import shop, when
 
 
@@ -109,3 +114,48 @@ def test_returned_reviews_by_rating(spark):
     rated = t["product_reviews"].withColumn("Rating", F.when(F.col("ReviewId") == "2", 1).otherwise(4))
     found = pages.rating_behavior(Star({**t, "product_reviews": rated})).collect()
     assert sorted(tuple(r) for r in found) == [(1, 1, 1.0), (4, 3, 1 / 3)]
+
+
+def shuffles(spark):
+    """Ids of the shuffles whose files the session holds."""
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keySet()
+    return {int(i) for i in held.mkString(",").split(",") if i}
+
+
+def left_behind(spark, run):
+    """The shuffles of ``run`` that are still held after it; they are let go in the background."""
+    before = shuffles(spark)
+    result = run()
+    for _ in range(50):
+        left = shuffles(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return result, left
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    """The setting that lets them go is as it was afterwards, also where the write failed."""
+    summed = spark.range(100).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+    before = spark.conf.get(RELEASE, None)
+    written, left = left_behind(spark, lambda: materialize(summed))
+    assert not left and spark.conf.get(RELEASE, None) == before
+    same(written, summed)
+    with pytest.raises(Exception):
+        materialize(summed.select(F.raise_error(F.lit("no")).alias("x")))
+    assert spark.conf.get(RELEASE, None) == before
+
+
+@pytest.mark.parametrize("as_csv", [True, False])
+def test_export_leaves_no_shuffle_files(spark, tmp_path, as_csv):
+    """s05: facts are written before they are sorted; the files hold what the star holds, in order."""
+    star = Star(small_shop(spark))
+    only = ["fact_orders", "fact_order_lines", "fact_returns", "fact_reviews"]
+    written, left = left_behind(spark, lambda: files.export_star(star, str(tmp_path), as_csv, only=only))
+    assert not left and {r["TableName"]: r["Rows"] for r in written.collect()} == dict(zip(only, (4, 8, 5, 4)))
+    assert files.changed_files(spark, str(tmp_path)).count() == 0
+    if not as_csv:
+        for name, table in (("fact_orders", "FactOrders"), ("fact_order_lines", "FactOrderLines"), ("fact_reviews", "FactReviews")):
+            same(spark.read.parquet(f"{tmp_path}/{name}"), star[table])
+        keys = [r[0] for r in spark.read.parquet(f"{tmp_path}/fact_order_lines").select("OrderItemId").collect()]
+        assert keys == sorted(keys)
