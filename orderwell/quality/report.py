@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderwell.operators.facts import SharedOrders, Tables
 from orderwell.quality import checks
-from orderwell.session import Stored
+from orderwell.session import Stored, materialize
 from orderwell.sources.contracts import SourceError
 
 ROW_CHECKS = {
@@ -43,7 +43,8 @@ def quality_report(t: Tables) -> DataFrame:
     """All checks as (CheckName, Violations, Status, Blocking).
 
     Every check is an aggregate on the cluster; the report has one row per check.  What several checks read is written
-    once: the larger tables and the orders' totals.
+    once: the larger tables and the orders' totals.  Each check's counts are written as well, so that the disks hold what
+    one check has shuffled, not what all of them have.
     """
     t = SharedOrders(Stored(t, STORED))
     parts: list[DataFrame] = []
@@ -71,7 +72,7 @@ def quality_report(t: Tables) -> DataFrame:
             .select(F.lit(f"rows:{name}").alias("CheckName"), "Violations")
         )
     blocking = reduce(lambda a, b: a | b, [F.col("CheckName").startswith(p) for p in BLOCKING])
-    return reduce(DataFrame.unionByName, parts).select(
+    return reduce(DataFrame.unionByName, [materialize(part) for part in parts]).select(
         "CheckName",
         "Violations",
         F.when(F.col("Violations") == 0, "PASS").otherwise("FAIL").alias("Status"),
