@@ -5,7 +5,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from orderwell.operators.facts import SharedOrders, accepted_returns, line_facts, order_facts
+from orderwell.functions import date_key
+from orderwell.operators.facts import ORDER_LINE_COLUMNS, SharedOrders, accepted_returns, line_facts, order_facts, order_lines
 from orderwell.operators.insights import insights
 from orderwell.plans import pages
 from orderwell.plans.measures import evaluate
@@ -160,3 +161,14 @@ def test_export_leaves_no_shuffle_files(spark, tmp_path, as_csv):
             same(spark.read.parquet(f"{tmp_path}/{name}"), star[table])
         keys = [r[0] for r in spark.read.parquet(f"{tmp_path}/fact_order_lines").select("OrderItemId").collect()]
         assert keys == sorted(keys)
+
+
+def test_order_lines_build_product_and_returns_once(spark):
+    """m01: lines are written with product and returns; the rows are those of one plan."""
+    t = small_shop(spark)
+    built, left = left_behind(spark, lambda: order_lines(marked(t, "order_items")))
+    assert "rand(1)" not in plan_of(built) and not left
+    facts = line_facts(t, customer=True, geography=True, product=True, promotion=True)
+    whole = facts.withColumn("OrderDateKey", date_key("OrderDate")).select(*ORDER_LINE_COLUMNS)
+    same(order_lines(t), whole)
+    assert whole.count() == 8
