@@ -163,11 +163,12 @@ def test_export_leaves_no_shuffle_files(spark, tmp_path, as_csv):
         assert keys == sorted(keys)
 
 
-def test_order_lines_build_product_and_returns_once(spark):
-    """m01: lines are written with product and returns; the rows are those of one plan."""
+def test_order_lines_move_with_the_id_of_their_category(spark):
+    """m01: names of categories meet lines that have met their orders; the rows are those of line facts."""
     t = small_shop(spark)
-    built, left = left_behind(spark, lambda: order_lines(marked(t, "order_items")))
-    assert "rand(1)" not in plan_of(built) and not left
+    top = plan_of(order_lines({**t, "categories": t["categories"].where(F.rand(1) < 2)}))
+    joins = [line for line in top.splitlines() if "Join" in line]
+    assert "CategoryId" in joins[0] and "OrderId" in joins[1]
     facts = line_facts(t, customer=True, geography=True, product=True, promotion=True)
     whole = facts.withColumn("OrderDateKey", date_key("OrderDate")).select(*ORDER_LINE_COLUMNS)
     same(order_lines(t), whole)
